@@ -23,19 +23,30 @@ ORDER_CUTOFF = "2001-01-01"
 ACTION_CUTOFF = "2024-01-25"
 
 
-def order_log(t: Tables) -> DataFrame:
+def order_log(t: Tables, with_area: bool = False) -> DataFrame:
+    """One row per order line. The customer lookup for ``orderArea`` is only
+    planned when asked for (Catalyst cannot drop an unused outer join)."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
-    area = t.customer.select(F.col("c_custkey").alias("o_custkey"),
-                             F.col("c_nationkey").alias("orderArea"))
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(area, "o_custkey", "left")
-              .select(F.col("o_custkey").alias("userId"),
-                      F.col("l_partkey").alias("productId"),
-                      F.col("o_orderkey").alias("orderId"),
-                      F.to_date("o_orderdate").alias("orderDate"),
-                      F.col("orderArea"),
-                      F.col("l_quantity").cast("int").alias("buyNum")))
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    cols = [F.col("o_custkey").alias("userId"),
+            F.col("l_partkey").alias("productId"),
+            F.col("o_orderkey").alias("orderId"),
+            F.to_date("o_orderdate").alias("orderDate"),
+            F.col("l_quantity").cast("int").alias("buyNum")]
+    if with_area:
+        area = t.customer.select(F.col("c_custkey").alias("o_custkey"),
+                                 F.col("c_nationkey").alias("orderArea"))
+        j = j.join(area, "o_custkey", "left")
+        cols.insert(4, F.col("orderArea"))
+    return j.select(*cols)
+
+
+def order_products(t: Tables) -> DataFrame:
+    """Distinct (orderId, productId) pairs, read from the order lines alone."""
+    return (t.lineitem.select(F.col("l_orderkey").alias("orderId"),
+                              F.col("l_partkey").alias("productId"))
+                      .distinct())
 
 
 def action_log(t: Tables) -> DataFrame:

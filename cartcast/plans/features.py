@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import score_of_level
 from ..functions.dates import days_before, elapsed_days
-from ..operators.horizons import HORIZONS, horizon_sums, one_per_day
+from ..operators.horizons import HORIZONS, horizon_exprs, horizon_sums, one_per_day
 
 PAIR = ("userId", "productId")
 
@@ -19,14 +19,29 @@ def _next_month(cutoff: str):
 
 
 def order_features(orders: DataFrame, cutoff: str,
-                   horizons: Sequence[int] = HORIZONS) -> DataFrame:
+                   horizons: Sequence[int] = HORIZONS,
+                   with_label: bool = False) -> DataFrame:
     """``o{n}``: units bought per pair in the n days before the cutoff.
 
-    The date filter is on the raw column, so it reaches the scan.
+    With ``with_label`` the same single aggregate also reads the cutoff
+    month and returns ``label`` = first purchase day there (0 if none), so
+    the order log is scanned, joined and shuffled once for both. Only pairs
+    with a pre-cutoff order are kept (quirk Q8). The date filter is on the
+    raw column, so it reaches the scan.
     """
-    pre = orders.filter(F.col("orderDate") < F.lit(cutoff).cast("date"))
+    start = F.lit(cutoff).cast("date")
+    end = _next_month(cutoff) if with_label else start
+    rows = orders.filter(F.col("orderDate") < end)
+    pre = F.col("orderDate") < start
     day = days_before(cutoff, "orderDate")
-    return horizon_sums(pre, PAIR, day, {"o{n}": "buyNum"}, horizons)
+    exprs = horizon_exprs(day, {"o{n}": F.when(pre, F.col("buyNum"))}, horizons)
+    if not with_label:
+        return rows.groupBy(*PAIR).agg(*exprs)
+    agg = rows.groupBy(*PAIR).agg(
+        *exprs,
+        F.count(F.when(pre, 1)).alias("_n_pre"),
+        F.coalesce(F.min(F.when(~pre, F.dayofmonth("orderDate"))), F.lit(0)).alias("label"))
+    return agg.filter(F.col("_n_pre") > 0).drop("_n_pre")
 
 
 def action_features(actions: DataFrame, cutoff: str,
@@ -39,7 +54,7 @@ def action_features(actions: DataFrame, cutoff: str,
     return horizon_sums(pre, PAIR, days_before(cutoff, "actionDate"), measures, horizons)
 
 
-def comment_features(comments: DataFrame, orders: DataFrame, cutoff: str,
+def comment_features(comments: DataFrame, order_products: DataFrame, cutoff: str,
                      horizons: Sequence[int] = HORIZONS) -> DataFrame:
     """``s{n}``: comment points per pair.
 
@@ -49,7 +64,7 @@ def comment_features(comments: DataFrame, orders: DataFrame, cutoff: str,
     """
     c = (comments.withColumn("d", elapsed_days(cutoff, "commentTime"))
                  .filter(F.col("d") > 0))
-    op = orders.select("orderId", "productId").distinct()
+    op = order_products.select("orderId", "productId").distinct()
     joined = c.join(op, "orderId")
     per_day = one_per_day(joined, PAIR, "d", "scoreLevel", ["commentTime", "orderId"],
                           out="level")
@@ -71,7 +86,8 @@ def purchase_labels(orders: DataFrame, cutoff: str, policy: str = "first") -> Da
     raise ValueError(policy)
 
 
-def purchase_features(orders: DataFrame, actions: DataFrame, comments: DataFrame,
+def purchase_features(orders: DataFrame, order_products: DataFrame,
+                      actions: DataFrame, comments: DataFrame,
                       users: DataFrame, products: DataFrame, cutoff: str,
                       action_cutoff: str | None = None,
                       horizons: Sequence[int] = HORIZONS,
@@ -85,15 +101,16 @@ def purchase_features(orders: DataFrame, actions: DataFrame, comments: DataFrame
     them when their estimated size is under the broadcast threshold and
     otherwise shuffles (AQE splits skewed partitions).
     """
-    of = order_features(orders, cutoff, horizons)
+    first = label_policy == "first"
+    of = order_features(orders, cutoff, horizons, with_label=first)
     af = action_features(actions, action_cutoff or cutoff, horizons)
-    cf = comment_features(comments, orders, cutoff, horizons)
-    feats = (of.join(af, list(PAIR), "left")
-               .join(cf, list(PAIR), "left")
-               .join(users, "userId", "left")
-               .join(products, "productId", "left"))
-    labels = purchase_labels(orders, cutoff, label_policy)
-    out = feats.join(labels, list(PAIR), "left")
+    cf = comment_features(comments, order_products, cutoff, horizons)
+    out = (of.join(af, list(PAIR), "left")
+             .join(cf, list(PAIR), "left")
+             .join(users, "userId", "left")
+             .join(products, "productId", "left"))
+    if not first:
+        out = out.join(purchase_labels(orders, cutoff, label_policy), list(PAIR), "left")
     return out.na.fill(0)
 
 

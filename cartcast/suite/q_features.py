@@ -34,7 +34,7 @@ def horizon_action_sums(spark, sf):
        _with(OLOG, CLOG, comment_features_sql()) + "SELECT * FROM cfeat")
 def horizon_scores(spark, sf):
     t = Tables(spark, sf)
-    return FT.comment_features(C.comment_log(t), C.order_log(t), C.ORDER_CUTOFF)
+    return FT.comment_features(C.comment_log(t), C.order_products(t), C.ORDER_CUTOFF)
 
 
 def _purchase_features_sql() -> str:
@@ -59,8 +59,8 @@ LEFT JOIN lab l ON l.userId = f.userId AND l.productId = f.productId""")
 
 def purchase_features_df(spark, sf):
     t = Tables(spark, sf)
-    orders = C.order_log(t)
-    return FT.purchase_features(orders, C.action_log(t), C.comment_log(t),
+    return FT.purchase_features(C.order_log(t), C.order_products(t),
+                                C.action_log(t), C.comment_log(t),
                                 C.user_table(t), C.product_table(t),
                                 C.ORDER_CUTOFF, action_cutoff=C.ACTION_CUTOFF)
 
@@ -133,7 +133,7 @@ SELECT userId, productId, date_diff('day', orderDate, DATE '{C.ORDER_CUTOFF}') A
 FROM olog WHERE orderDate < DATE '{C.ORDER_CUTOFF}'
 GROUP BY userId, productId, d""")
 def group_sum_min(spark, sf):
-    o = C.order_log(Tables(spark, sf))
+    o = C.order_log(Tables(spark, sf), with_area=True)
     pre = o.filter(F.col("orderDate") < F.lit(C.ORDER_CUTOFF).cast("date"))
     return (pre.withColumn("d", F.datediff(F.lit(C.ORDER_CUTOFF).cast("date"), "orderDate").cast("long"))
                .groupBy("userId", "productId", "d")

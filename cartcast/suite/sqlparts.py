@@ -72,7 +72,8 @@ def comment_features_sql(cutoff=ORDER_CUTOFF) -> str:
   SELECT c.userId, op.productId,
          CAST(TRUNC((epoch(TIMESTAMP '{cutoff}') - epoch(c.commentTime)) / 86400) AS INTEGER) AS d,
          c.scoreLevel, c.commentTime, c.orderId
-  FROM clog c JOIN (SELECT DISTINCT orderId, productId FROM olog) op ON c.orderId = op.orderId),
+  FROM clog c JOIN (SELECT DISTINCT l_orderkey AS orderId, l_partkey AS productId FROM lineitem) op
+    ON c.orderId = op.orderId),
 cper AS (
   SELECT userId, productId, d, arg_max(scoreLevel, (commentTime, orderId)) AS level
   FROM cday WHERE d > 0 GROUP BY userId, productId, d),
