@@ -25,4 +25,5 @@ def load_all() -> None:
     """Import every suite module so its queries register."""
     from . import (  # noqa: F401
         q_features,
+        q_sources,
     )
