@@ -26,4 +26,5 @@ def load_all() -> None:
     from . import (  # noqa: F401
         q_features,
         q_sources,
+        q_relational,
     )
