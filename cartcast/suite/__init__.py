@@ -27,4 +27,5 @@ def load_all() -> None:
         q_features,
         q_sources,
         q_relational,
+        q_scalar,
     )
