@@ -147,3 +147,30 @@ def dense_index(df: DataFrame, order_col: str, out: str = "idx",
     return (parted.join(F.broadcast(offsets), pid == F.col("_pid"))
                   .withColumn(out, F.col("_off") + local)
                   .drop("_mid", "_pid", "_off"))
+
+
+def global_running_sum(df: DataFrame, order_col: str, value_col: str,
+                       out: str = "running", num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``value_col`` in ``order_col`` order over the
+    whole frame, without a single-partition window.
+
+    Range-partition on the order column, take per-partition totals (one row
+    per partition), turn them into offsets, and add each row's running sum
+    inside its own partition. Rows are checkpointed to the shared
+    ``spark.checkpoint.dir`` so both passes see the same partitioning.
+    Ties in ``order_col`` should be pre-aggregated by the caller.
+    """
+    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    parted = (df.repartitionByRange(n, F.col(order_col))
+                .withColumn("_pid", F.spark_partition_id())
+                .checkpoint(eager=True))
+    totals = parted.groupBy("_pid").agg(F.sum(value_col).alias("_t"))
+    offsets = totals.select(
+        "_pid", F.coalesce(F.sum("_t").over(
+            Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0)).alias("_off"))
+    w = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    return (parted.withColumn("_loc", F.sum(value_col).over(w))
+                  .join(F.broadcast(offsets), "_pid")
+                  .withColumn(out, F.col("_off") + F.col("_loc"))
+                  .drop("_pid", "_loc", "_off"))

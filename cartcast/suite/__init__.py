@@ -28,4 +28,5 @@ def load_all() -> None:
         q_sources,
         q_relational,
         q_scalar,
+        q_metrics,
     )
