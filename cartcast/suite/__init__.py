@@ -29,4 +29,5 @@ def load_all() -> None:
         q_relational,
         q_scalar,
         q_metrics,
+        q_mlfeatures,
     )
