@@ -80,3 +80,15 @@ def product_table(t: Tables) -> DataFrame:
                     F.col("p_retailprice").alias("price"),
                     F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int").alias("cate"),
                     F.col("p_size").alias("size"))
+
+
+def page_views(t: Tables) -> DataFrame:
+    """Click-stream page views from events: url from the item key, status 500
+    for error events, zip from the user id (S16, T8–T10, T18)."""
+    e = t.events
+    k = F.get_json_object("props", "$.k").cast("long")
+    return e.select(F.col("ts"),
+                    F.concat(F.lit("/p/"), (k % 10).cast("string")).alias("url"),
+                    F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status"),
+                    (F.col("user_id") % 10).cast("int").alias("zip"),
+                    F.col("user_id").alias("user"))

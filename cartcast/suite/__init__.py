@@ -30,4 +30,5 @@ def load_all() -> None:
         q_scalar,
         q_metrics,
         q_mlfeatures,
+        q_streaming,
     )
