@@ -31,4 +31,5 @@ def load_all() -> None:
         q_metrics,
         q_mlfeatures,
         q_streaming,
+        q_jobs,
     )
