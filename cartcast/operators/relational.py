@@ -22,9 +22,26 @@ def _col(c) -> Column:
 
 
 def hash_unit(key, salt: int = 0) -> Column:
-    """Deterministic value in [0, 1) from an integer key (no overflow)."""
-    k = F.pmod(_col(key).cast("long") + F.lit(salt), F.lit(HASH_MOD))
-    return F.pmod(k * F.lit(HASH_MULT), F.lit(HASH_MOD)) / F.lit(float(HASH_MOD))
+    """Deterministic, well-mixed value in (0, 1) from an integer key.
+
+    Three rounds of the Lehmer generator on ``1 + (key + salt) mod (M - 1)``;
+    every product stays below 2^47, so there is no overflow, and the same
+    arithmetic is written in the SQL twins.
+    """
+    m = F.lit(HASH_MOD)
+    x = F.pmod(_col(key).cast("long") + F.lit(salt), F.lit(HASH_MOD - 1)) + F.lit(1)
+    for _ in range(3):
+        x = F.pmod(x * F.lit(HASH_MULT), m)
+    return x / F.lit(float(HASH_MOD))
+
+
+def hash_unit_sql(key: str, salt: int = 0) -> str:
+    """SQL twin of ``hash_unit`` (for the oracle queries)."""
+    m, a = HASH_MOD, HASH_MULT
+    x = f"((((({key} + {salt}) % {m - 1}) + {m - 1}) % {m - 1}) + 1)"
+    for _ in range(3):
+        x = f"({x} * {a} % {m})"
+    return f"({x} / {float(m)})"
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, salt: int = 0) -> DataFrame:

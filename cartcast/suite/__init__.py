@@ -32,4 +32,5 @@ def load_all() -> None:
         q_mlfeatures,
         q_streaming,
         q_jobs,
+        q_models,
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
+from ..operators import relational as R
 from ..plans import contest as C
 from ..plans import jobs as J
 from ..session import scratch_path
@@ -16,8 +17,7 @@ from .sqlparts import CLOG, OLOG, PRODUCTS, USERS
 
 
 def _hs(key: str, salt: int) -> str:
-    m = 2147483647
-    return f"((((({key} + {salt}) % {m}) + {m}) % {m}) * 48271 % {m}) / {float(m)}"
+    return R.hash_unit_sql(key, salt)
 
 
 @query("profile_tables", "WITH " + ",\n".join([OLOG, USERS, PRODUCTS]) + """
