@@ -111,7 +111,8 @@ def purchase_features(orders: DataFrame, order_products: DataFrame,
              .join(products, "productId", "left"))
     if not first:
         out = out.join(purchase_labels(orders, cutoff, label_policy), list(PAIR), "left")
-    return out.na.fill(0)
+    rest = [c for c in out.columns if c not in (*PAIR, "label")]
+    return out.na.fill(0).select(*PAIR, *rest, "label")
 
 
 def feature_columns(horizons: Sequence[int] = HORIZONS) -> list[str]:
