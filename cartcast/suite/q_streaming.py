@@ -205,3 +205,46 @@ def stream_modulo_count(spark, sf):
     """Queue of batches (T19): one staged slice per trigger."""
     s = _event_stream(spark, sf)
     return RN.run_to_table(ST.modulo_counts(s, "user_id"), "complete", name="modulo")
+
+
+# ---- online statistics and models (T21, T24) ----------------------------------
+
+@query("welch_test", """
+WITH g AS (SELECT event_type AS grp, COUNT(*) AS n, AVG(value) AS m, VAR_SAMP(value) AS v FROM events
+           WHERE event_type IN ('click', 'view') GROUP BY 1),
+a AS (SELECT * FROM g WHERE grp = 'click'), b AS (SELECT * FROM g WHERE grp = 'view')
+SELECT ROUND((a.m - b.m) / SQRT(a.v / a.n + b.v / b.n), 6) AS t,
+       ROUND(POW(a.v / a.n + b.v / b.n, 2) / (POW(a.v / a.n, 2) / (a.n - 1) + POW(b.v / b.n, 2) / (b.n - 1)), 6) AS df
+FROM a, b""")
+def welch_test(spark, sf):
+    """Cumulative per-group moments maintained by a streaming aggregate
+    (complete mode); the Welch statistic is computed on the final two rows."""
+    from ..streaming.online import group_moments, welch_columns
+    s = _event_stream(spark, sf)
+    s = s.filter(F.col("event_type").isin("click", "view"))
+    mom = RN.run_to_table(group_moments(s, "event_type", "value"), "complete", name="welch")
+    w = welch_columns(mom, "event_type", "click", "view")
+    return w.select(F.round("t", 6).alias("t"), F.round("df", 6).alias("df"))
+
+
+@query("stream_kmeans", "SELECT 3 AS k, CAST(COUNT(*) AS DOUBLE) AS total_weight FROM embeddings")
+def stream_kmeans(spark, sf):
+    """Streaming k-means (decay 1.0) over embeddings arriving in four
+    slices; checked by the total weight = rows seen, once each."""
+    from ..operators.relational import hash_unit
+    from ..streaming.online import StreamingKMeans
+    e = Tables(spark, sf).embeddings.select(
+        "vec_id", F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double")).alias("x"))
+    u = hash_unit("vec_id", 9)
+    init = [r.x for r in e.orderBy(u).limit(3).collect()]  # k starting centres
+    path = scratch_path(spark, "kmeans-src")
+    RN.stage_slices(e, path, [(u >= i / 4) & (u < (i + 1) / 4) for i in range(4)], files_per_slice=1)
+    stream = RN.read_stream(spark, path, e.schema, files_per_trigger=1)
+    km = StreamingKMeans(init, decay=1.0)
+    q = (stream.writeStream.foreachBatch(lambda b, bid: km.update(b, bid))
+               .option("checkpointLocation", scratch_path(spark, "kmeans-ckpt"))
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = [(i, float(w), c) for i, (w, c) in enumerate(zip(km.weights, km.centers))]
+    model = spark.createDataFrame(rows, "cluster int, weight double, center array<double>")
+    return model.agg(F.count(F.lit(1)).cast("int").alias("k"), F.sum("weight").alias("total_weight"))
