@@ -248,3 +248,19 @@ def stream_kmeans(spark, sf):
     rows = [(i, float(w), c) for i, (w, c) in enumerate(zip(km.weights, km.centers))]
     model = spark.createDataFrame(rows, "cluster int, weight double, center array<double>")
     return model.agg(F.count(F.lit(1)).cast("int").alias("k"), F.sum("weight").alias("total_weight"))
+
+
+@query("stream_stateful_count", f"""WITH {_LINES_SQL},
+w AS (SELECT unnest(string_split(value, ' ')) AS word FROM lines),
+init AS (SELECT word, CAST(COUNT(*) AS BIGINT) AS c FROM (SELECT unnest(string_split(text, ' ')) AS word FROM benchmark) GROUP BY word),
+seen AS (SELECT word, COUNT(*) AS c FROM w GROUP BY word)
+SELECT s.word, CAST(s.c + COALESCE(i.c, 0) AS BIGINT) AS count FROM seen s LEFT JOIN init i ON s.word = i.word""")
+def stream_stateful_count(spark, sf):
+    """Running word counts over the document stream, seeded with the
+    word counts of the benchmark passages as initial state. Output is the
+    latest count per word that the stream touched."""
+    from ..streaming.stateful import running_counts
+    init = (ST.words(Tables(spark, sf).benchmark.select(F.col("text").alias("value")))
+              .groupBy("word").agg(F.count(F.lit(1)).cast("long").alias("count")))
+    out = running_counts(ST.words(_line_stream(spark, sf)), init)
+    return RN.run_to_table(out, "update", keys=["word"], name="stateful")
