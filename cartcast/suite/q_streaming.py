@@ -264,3 +264,14 @@ def stream_stateful_count(spark, sf):
               .groupBy("word").agg(F.count(F.lit(1)).cast("long").alias("count")))
     out = running_counts(ST.words(_line_stream(spark, sf)), init)
     return RN.run_to_table(out, "update", keys=["word"], name="stateful")
+
+
+@query("stream_custom_source", "SELECT event_type, COUNT(*) AS n, ROUND(SUM(value), 6) AS total FROM events GROUP BY 1")
+def stream_custom_source(spark, sf):
+    """The events table through the user-defined row-group source."""
+    from ..streaming.source import read_rowgroup_stream
+    s = read_rowgroup_stream(spark, [f"{sf.rstrip('/')}/events.parquet"],
+                             "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                             "value double, props string")
+    g = s.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
+    return RN.run_to_table(g, "complete", name="custom")
