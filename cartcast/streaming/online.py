@@ -117,3 +117,38 @@ class StreamingKMeans:
             self.centers[k] = [(self.centers[k][i] * w_old + r[f"s{i}"]) / new_w for i in range(dim)]
             self.weights[k] = new_w
         self.seen.add(batch_id)
+
+
+class StreamingSGD:
+    """Online linear or logistic regression (T22, T23): one gradient step
+    per micro-batch, the gradient summed by a distributed aggregate over the
+    batch; weights (d + 1 numbers) stay on the driver. Replayed batches are
+    skipped by batch id."""
+
+    def __init__(self, dim: int, step: float = 0.1, logistic: bool = False):
+        self.w = [0.0] * dim
+        self.b = 0.0
+        self.step = step
+        self.logistic = logistic
+        self.seen: set[int] = set()
+
+    def _margin(self, col: str):
+        m = F.lit(self.b)
+        for i, wi in enumerate(self.w):
+            m = m + F.lit(wi) * F.col(col)[i]
+        return m
+
+    def predict_col(self, col: str = "x"):
+        m = self._margin(col)
+        return 1 / (1 + F.exp(-m)) if self.logistic else m
+
+    def update(self, batch: DataFrame, batch_id: int, col: str = "x", label: str = "y") -> None:
+        if batch_id in self.seen:
+            return
+        err = self.predict_col(col) - F.col(label)
+        g = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(err).alias("gb"),
+                      *[F.sum(err * F.col(col)[i]).alias(f"g{i}") for i in range(len(self.w))]).first()
+        if g["n"]:
+            self.b -= self.step * g["gb"] / g["n"]
+            self.w = [wi - self.step * g[f"g{i}"] / g["n"] for i, wi in enumerate(self.w)]
+        self.seen.add(batch_id)

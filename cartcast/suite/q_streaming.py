@@ -275,3 +275,37 @@ def stream_custom_source(spark, sf):
                              "value double, props string")
     g = s.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
     return RN.run_to_table(g, "complete", name="custom")
+
+
+def _sgd_stream(spark, sf, logistic: bool):
+    from ..operators.relational import hash_unit
+    from ..streaming.online import StreamingSGD
+    li = Tables(spark, sf).lineitem
+    label = (F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0) if logistic
+             else F.col("l_extendedprice") / 100000)
+    d = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"),
+                  F.array(F.col("l_quantity") / 50, F.col("l_discount") * 10, F.col("l_tax") * 10).alias("x"),
+                  label.alias("y"))
+    u = hash_unit("k", 13)
+    path = scratch_path(spark, "sgd-src")
+    RN.stage_slices(d, path, [(u >= i / 4) & (u < (i + 1) / 4) for i in range(4)], files_per_slice=1)
+    stream = RN.read_stream(spark, path, d.schema, files_per_trigger=1)
+    model = StreamingSGD(3, step=0.5, logistic=logistic)
+    q = (stream.writeStream.foreachBatch(lambda b, bid: model.update(b, bid))
+               .option("checkpointLocation", scratch_path(spark, "sgd-ckpt"))
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
+    # score the whole table with the final weights (a second, static frame)
+    return d.select("k", "y", model.predict_col("x").alias("prediction"))
+
+
+@query("stream_linreg")
+def stream_linreg(spark, sf):
+    """Streaming least squares, then predictions on the full table."""
+    return _sgd_stream(spark, sf, logistic=False)
+
+
+@query("stream_logreg")
+def stream_logreg(spark, sf):
+    """Streaming logistic regression, then probabilities on the full table."""
+    return _sgd_stream(spark, sf, logistic=True)

@@ -59,3 +59,9 @@ def test_watermark_drops_late_row(spark):
     out = RN.run_to_table(g2, "update", keys=["window_start", "window_end"], checkpoint=ckpt)
     got = {r.window_start.hour: r.n for r in out.collect()}
     assert got.get(10) in (None, 1)
+
+
+def test_student_t_p_value():
+    from cartcast.streaming.online import student_t_two_sided_p
+    assert student_t_two_sided_p(2.228138851986, 10) == pytest.approx(0.05, abs=1e-6)
+    assert student_t_two_sided_p(0.0, 5) == pytest.approx(1.0, abs=1e-9)
