@@ -80,11 +80,18 @@ def write_libsvm(df: DataFrame, path: str, label: str = "label",
       .write.mode("overwrite").format("libsvm").save(path)
 
 
-def read_ctrl_a_table(spark: SparkSession, path: str, schema: str, table: str) -> DataFrame:
+def save_table(df: DataFrame, table: str, location: str) -> DataFrame:
+    """Register ``df`` as a catalog table stored at ``location`` (an external
+    table under shared storage, so no warehouse folder is left behind)."""
+    df.write.mode("overwrite").option("path", location).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def read_ctrl_a_table(spark: SparkSession, path: str, schema: str, table: str,
+                      location: str) -> DataFrame:
     """Ctrl-A delimited text loaded into a catalog table."""
     df = spark.read.csv(path, schema=schema, sep="\x01")
-    df.write.mode("overwrite").saveAsTable(table)
-    return spark.table(table)
+    return save_table(df, table, location)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_key
 from ..operators import relational as R
 from ..plans import contest as C
+from ..session import scratch_path
+from ..sources import files as SF
 from ..tables import Tables
 from . import query
 
@@ -213,10 +215,11 @@ SELECT n.n_name, COUNT(*) AS n_customers FROM customer c JOIN nation n ON c.c_na
 GROUP BY n.n_name""")
 def join_view_table(spark, sf):
     t = Tables(spark, sf)
-    t.nation.write.mode("overwrite").saveAsTable("cartcast_nation")
+    name = f"cartcast_nation_{uuid.uuid4().hex[:8]}"
+    SF.save_table(t.nation, name, scratch_path(spark, "nation-table"))
     v = _view(t.customer, "customers")
     return spark.sql(f"""SELECT n.n_name, COUNT(*) AS n_customers FROM {v} c
-                         JOIN cartcast_nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""")
+                         JOIN {name} n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""")
 
 
 @query("join_distinct_side", """

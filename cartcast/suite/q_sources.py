@@ -3,6 +3,8 @@ driver tables to a fresh path under the shared checkpoint folder, then read it."
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -93,8 +95,9 @@ def catalog_table_kv(spark, sf):
     lines = Tables(spark, sf).part.select(
         F.concat_ws("\x01", F.col("p_partkey").cast("string"), F.col("p_brand")).alias("value"))
     lines.write.mode("overwrite").text(path)
-    SF.read_ctrl_a_table(spark, path, "key LONG, value STRING", "cartcast_kv")
-    return spark.sql("SELECT value, COUNT(*) AS n FROM cartcast_kv GROUP BY value")
+    name = f"cartcast_kv_{uuid.uuid4().hex[:8]}"
+    SF.read_ctrl_a_table(spark, path, "key LONG, value STRING", name, scratch_path(spark, "kv-table"))
+    return spark.sql(f"SELECT value, COUNT(*) AS n FROM {name} GROUP BY value")
 
 
 @query("scan_text_split", "SELECT c_name AS name, c_acctbal AS acctbal FROM customer")
