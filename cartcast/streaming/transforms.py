@@ -55,13 +55,17 @@ def windowed_counts(df: DataFrame, ts: str, length: str, slide: str | None = Non
 
 
 def error_rate(views: DataFrame, ts: str, length: str, slide: str,
-               threshold: float = 0.05) -> DataFrame:
-    """Share of non-200 statuses per url and window, with a flag."""
+               threshold: float = 0.05, key: str = "zip") -> DataFrame:
+    """Share of non-200 statuses per key (zip code by default) and window,
+    with the report line ``"<key>: <ratio>"``, the ratio starred when above
+    ``threshold`` (T9, F16). The ratio is rounded to 4 places."""
     w = F.window(F.col(ts), length, check_slide(length, slide))
-    g = views.groupBy(w.alias("w"), "url").agg(
-        F.avg(F.when(F.col("status") != 200, 1.0).otherwise(0.0)).alias("error_rate"))
-    return g.withColumn("flag", F.when(F.col("error_rate") > threshold,
-                                       F.format_string("**%s**", F.col("url"))).otherwise(F.col("url")))
+    g = views.groupBy(w.alias("w"), key).agg(
+        F.round(F.avg(F.when(F.col("status") != 200, 1.0).otherwise(0.0)), 4).alias("error_rate"))
+    k, r = F.col(key).cast("string"), F.col("error_rate").cast("string")
+    return g.withColumn("line", F.when(F.col("error_rate") > threshold,
+                                       F.format_string("%s: **%s**", k, r))
+                                 .otherwise(F.format_string("%s: %s", k, r)))
 
 
 def active_users(views: DataFrame, ts: str, length: str, slide: str,
@@ -93,3 +97,29 @@ def window_bounds(c: str = "w") -> list[Column]:
     """Window struct → NTZ start/end columns for comparison with SQL."""
     return [F.col(f"{c}.start").cast("timestamp_ntz").alias("window_start"),
             F.col(f"{c}.end").cast("timestamp_ntz").alias("window_end")]
+
+
+DASHBOARD_METRICS = ("pageCounts", "slidingPageCounts", "errorRatePerZipCode",
+                     "activeUserCount", "popularUsersSeen")
+
+
+def dashboard(views: DataFrame, metric: str, users: DataFrame | None = None,
+              ts: str = "ts") -> DataFrame:
+    """Click-stream dashboard (L8): one of five metrics selected by name.
+
+    ``views`` has (ts, url, status, zip, user); ``users`` (user, name) is the
+    static table for ``popularUsersSeen``.
+    """
+    if metric == "pageCounts":
+        return views.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+    if metric == "slidingPageCounts":
+        return windowed_counts(views, ts, "10 seconds", "2 seconds", ["url"])
+    if metric == "errorRatePerZipCode":
+        return error_rate(views, ts, "30 seconds", "2 seconds")
+    if metric == "activeUserCount":
+        return active_users(views, ts, "15 seconds", "2 seconds")
+    if metric == "popularUsersSeen":
+        if users is None:
+            raise ValueError("popularUsersSeen needs a users table")
+        return views.select("user").join(users, "user").select("user", "name").dropDuplicates(["user"])
+    raise ValueError(f"invalid metric {metric!r}; one of {DASHBOARD_METRICS}")

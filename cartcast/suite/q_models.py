@@ -524,3 +524,65 @@ def sales_forecast(spark, sf):
     pred = m.transform(d)
     met = M.regression_metrics(pred, "label", "prediction").select("rmse", "score")
     return met
+
+
+@query("pca_vs_full")
+def pca_vs_full(spark, sf):
+    """Linear regression of the label on all 64 dims vs on 8 principal
+    components; RMSE of each on a held-out split."""
+    from pyspark.ml.feature import PCA
+    d = _emb(Tables(spark, sf))
+    train, test = _split(d, "vec_id")
+    full = LinearRegression(maxIter=20).fit(train)
+    pca = PCA(k=8, inputCol="features", outputCol="pc").fit(train)
+    lr_pc = LinearRegression(maxIter=20, featuresCol="pc").fit(pca.transform(train))
+    ev = RegressionEvaluator(metricName="rmse")
+    r_full = ev.evaluate(full.transform(test))
+    r_pca = ev.evaluate(lr_pc.transform(pca.transform(test)))
+    return spark.createDataFrame([("full", 64, r_full), ("pca", 8, r_pca)], "model string, dims int, rmse double")
+
+
+@query("kmeans_cost")
+def kmeans_cost(spark, sf):
+    """Training cost (within-set SSE) and silhouette by k."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    d = _emb(Tables(spark, sf)).cache()
+    rows = []
+    for k in (2, 5, 10):
+        m = KMeans(k=k, seed=1, maxIter=10, initMode="random").fit(d)
+        sil = ClusteringEvaluator().evaluate(m.transform(d))
+        rows.append((k, float(m.summary.trainingCost), float(sil)))
+    d.unpersist()
+    return spark.createDataFrame(rows, "k int, cost double, silhouette double")
+
+
+@query("lda_em")
+def lda_em(spark, sf):
+    """EM-optimised LDA with log-likelihood and log-perplexity."""
+    cv, corpus = _lda_corpus(Tables(spark, sf))
+    m = LDA(k=3, maxIter=5, optimizer="em", seed=1).fit(corpus)
+    return spark.createDataFrame([(float(m.logLikelihood(corpus)), float(m.logPerplexity(corpus)),
+                                   len(cv.vocabulary))], "log_likelihood double, log_perplexity double, vocab int")
+
+
+@query("word2vec_synonyms")
+def word2vec_synonyms(spark, sf):
+    """Word vectors over the benchmark passages and the 5 nearest words
+    to the most frequent token."""
+    from pyspark.ml.feature import Word2Vec
+    b = regex_tokens(Tables(spark, sf).benchmark.select("item_id", "text"))
+    m = Word2Vec(vectorSize=8, minCount=2, maxIter=1, seed=5, inputCol="tokens", outputCol="v").fit(b)
+    top = (b.select(F.explode("tokens").alias("w")).groupBy("w").count()
+             .orderBy(F.col("count").desc(), "w").first()["w"])
+    return m.findSynonyms(top, 5)
+
+
+@query("als_rmse")
+def als_rmse(spark, sf):
+    """Explicit ALS, RMSE on the held-out (user, item) pairs."""
+    r = _als_ratings(Tables(spark, sf)).withColumn("_k", F.col("user") * 1000003 + F.col("item"))
+    train, test = R.split_frames(r, "_k", [0.8, 0.2], salt=5)
+    m = ALS(rank=5, maxIter=3, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating",
+            coldStartStrategy="drop", seed=1).fit(train)
+    rmse = RegressionEvaluator(metricName="rmse", labelCol="rating").evaluate(m.transform(test))
+    return spark.createDataFrame([(float(rmse),)], "rmse double")

@@ -118,13 +118,15 @@ def stream_url_counts(spark, sf):
 
 
 @query("stream_error_rate", "WITH " + PV_SQL + """, r AS (""" + _sliding_sql(
-    10, 3, "url, AVG(CASE WHEN status <> 200 THEN 1.0 ELSE 0.0 END) AS error_rate", ", url", "pv") + """)
-SELECT window_start, window_end, url, ROUND(error_rate, 9) AS error_rate,
-       CASE WHEN error_rate > 0.05 THEN '**' || url || '**' ELSE url END AS flag FROM r""")
+    10, 3, "zip, ROUND(AVG(CASE WHEN status <> 200 THEN 1.0 ELSE 0.0 END), 4) AS error_rate", ", zip", "pv") + """)
+SELECT window_start, window_end, zip, error_rate,
+       CASE WHEN error_rate > 0.05 THEN CAST(zip AS VARCHAR) || ': **' || CAST(error_rate AS VARCHAR) || '**'
+            ELSE CAST(zip AS VARCHAR) || ': ' || CAST(error_rate AS VARCHAR) END AS line FROM r""")
 def stream_error_rate(spark, sf):
+    """Error rate per zip code over 30-minute windows sliding by 10."""
     g = ST.error_rate(_pv_stream(spark, sf), "ts", "30 minutes", "10 minutes")
-    g = g.select(*ST.window_bounds(), "url", F.round("error_rate", 9).alias("error_rate"), "flag")
-    return RN.run_to_table(g, "update", keys=["window_start", "window_end", "url"], name="errrate")
+    g = g.select(*ST.window_bounds(), "zip", "error_rate", "line")
+    return RN.run_to_table(g, "update", keys=["window_start", "window_end", "zip"], name="errrate")
 
 
 @query("stream_active_users", _sliding_sql(5, 3, "CAST(COUNT(DISTINCT usr) AS BIGINT) AS users", "", "pv",
@@ -309,3 +311,15 @@ def stream_linreg(spark, sf):
 def stream_logreg(spark, sf):
     """Streaming logistic regression, then probabilities on the full table."""
     return _sgd_stream(spark, sf, logistic=True)
+
+
+@query("clickstream_dashboard", "WITH " + PV_SQL + """
+SELECT DISTINCT pv.usr AS user, c.c_name AS name FROM pv JOIN customer c ON pv.usr = c.c_custkey""")
+def clickstream_dashboard(spark, sf):
+    """The dashboard's ``popularUsersSeen`` metric on the page-view
+    stream: users of the stream found in the customer table."""
+    t = Tables(spark, sf)
+    pv = _event_stream(spark, sf, C.page_views(t))
+    users = t.customer.select(F.col("c_custkey").alias("user"), F.col("c_name").alias("name"))
+    seen = ST.dashboard(pv, "popularUsersSeen", users)
+    return RN.run_to_table(seen, "append", name="dash").select("user", "name").dropDuplicates(["user"])
