@@ -39,9 +39,22 @@ def horizon_exprs(day_col, measures: Mapping[str, object],
 
 def horizon_sums(df: DataFrame, keys: Sequence[str], day_col,
                  measures: Mapping[str, object],
-                 horizons: Sequence[int] = HORIZONS) -> DataFrame:
-    """One aggregate per key with all horizon sums."""
-    return df.groupBy(*keys).agg(*horizon_exprs(day_col, measures, horizons))
+                 horizons: Sequence[int] = HORIZONS,
+                 extra_aggs: Sequence[Column] = (),
+                 extra_cols: Mapping[str, object] | None = None) -> DataFrame:
+    """One aggregate per key with all horizon sums.
+
+    The day and each measure are projected once per row before the
+    aggregate, so the nine conditional sums only compare an int and add.
+    ``extra_cols`` are projected alongside for ``extra_aggs`` to use.
+    """
+    names = list(measures)
+    proj = [F.col(k) for k in keys] + [_col(day_col).alias("_d")]
+    proj += [_col(x).alias(f"_m{i}") for i, x in enumerate(measures.values())]
+    proj += [_col(v).alias(k) for k, v in (extra_cols or {}).items()]
+    slim = df.select(*proj)
+    aggs = horizon_exprs("_d", {n: f"_m{i}" for i, n in enumerate(names)}, horizons)
+    return slim.groupBy(*keys).agg(*aggs, *extra_aggs)
 
 
 def one_per_day(df: DataFrame, keys: Sequence[str], day_col: str, value_col: str,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import score_of_level
 from ..functions.dates import days_before, elapsed_days
-from ..operators.horizons import HORIZONS, horizon_exprs, horizon_sums, one_per_day
+from ..operators.horizons import HORIZONS, horizon_sums, one_per_day
 
 PAIR = ("userId", "productId")
 
@@ -34,13 +34,14 @@ def order_features(orders: DataFrame, cutoff: str,
     rows = orders.filter(F.col("orderDate") < end)
     pre = F.col("orderDate") < start
     day = days_before(cutoff, "orderDate")
-    exprs = horizon_exprs(day, {"o{n}": F.when(pre, F.col("buyNum"))}, horizons)
+    measures = {"o{n}": F.when(pre, F.col("buyNum"))}
     if not with_label:
-        return rows.groupBy(*PAIR).agg(*exprs)
-    agg = rows.groupBy(*PAIR).agg(
-        *exprs,
-        F.count(F.when(pre, 1)).alias("_n_pre"),
-        F.coalesce(F.min(F.when(~pre, F.dayofmonth("orderDate"))), F.lit(0)).alias("label"))
+        return horizon_sums(rows, PAIR, day, measures, horizons)
+    agg = horizon_sums(
+        rows, PAIR, day, measures, horizons,
+        extra_cols={"_pre": pre, "_dom": F.dayofmonth("orderDate")},
+        extra_aggs=[F.count(F.when(F.col("_pre"), 1)).alias("_n_pre"),
+                    F.coalesce(F.min(F.when(~F.col("_pre"), F.col("_dom"))), F.lit(0)).alias("label")])
     return agg.filter(F.col("_n_pre") > 0).drop("_n_pre")
 
 

@@ -11,11 +11,12 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 STATE_SCHEMA = T.StructType([T.StructField("count", T.LongType())])
-OUTPUT_SCHEMA = T.StructType([T.StructField("word", T.StringType()),
+OUTPUT_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
                               T.StructField("count", T.LongType())])
 
 
@@ -28,7 +29,7 @@ class RunningCount(StatefulProcessor):
         for pdf in rows:
             total += len(pdf)
         self.count.update((total,))
-        yield pd.DataFrame({"word": [key[0]], "count": [total]})
+        yield pd.DataFrame({"key": [str(key[0])], "count": [total]})
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         base = int(initialState["count"].sum())
@@ -39,14 +40,16 @@ class RunningCount(StatefulProcessor):
         pass
 
 
-def running_counts(word_rows: DataFrame, initial: DataFrame | None = None) -> DataFrame:
-    """Per word, the running count including the initial counts."""
-    spark = word_rows.sparkSession
+def running_counts(rows: DataFrame, key: str = "key", initial: DataFrame | None = None) -> DataFrame:
+    """Per key, the running count of rows including the initial counts
+    (``initial`` has columns ``key`` and ``count``)."""
+    spark = rows.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    g = word_rows.groupBy("word")
+    g = rows.select(F.col(key).cast("string").alias("key")).groupBy("key")
     kw = {}
     if initial is not None:
-        kw["initialState"] = initial.groupBy("word")
+        kw["initialState"] = initial.select(F.col("key").cast("string").alias("key"),
+                                            "count").groupBy("key")
     return g.transformWithStateInPandas(statefulProcessor=RunningCount(), outputStructType=OUTPUT_SCHEMA,
                                         outputMode="Update", timeMode="None", **kw)

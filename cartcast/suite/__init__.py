@@ -4,6 +4,7 @@ over the driver tables registered as views)."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 QUERIES: dict[str, Callable] = {}
@@ -11,10 +12,19 @@ ORACLE: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
+    """Register ``fn(spark, sf_dir)``. The driver tables hold wall-clock
+    (``timestamp_ntz``) times; the session time zone is pinned to UTC so
+    casts to instants (watermarks, windows, elapsed seconds) are the same
+    arithmetic as the SQL twins in any caller's session."""
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -252,20 +252,21 @@ def stream_kmeans(spark, sf):
     return model.agg(F.count(F.lit(1)).cast("int").alias("k"), F.sum("weight").alias("total_weight"))
 
 
-@query("stream_stateful_count", f"""WITH {_LINES_SQL},
-w AS (SELECT unnest(string_split(value, ' ')) AS word FROM lines),
-init AS (SELECT word, CAST(COUNT(*) AS BIGINT) AS c FROM (SELECT unnest(string_split(text, ' ')) AS word FROM benchmark) GROUP BY word),
-seen AS (SELECT word, COUNT(*) AS c FROM w GROUP BY word)
-SELECT s.word, CAST(s.c + COALESCE(i.c, 0) AS BIGINT) AS count FROM seen s LEFT JOIN init i ON s.word = i.word""")
+@query("stream_stateful_count", """
+WITH seen AS (SELECT CAST(user_id AS VARCHAR) AS key, COUNT(*) AS c FROM events GROUP BY 1),
+init AS (SELECT CAST(o_custkey AS VARCHAR) AS key, COUNT(*) AS c FROM orders
+         WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY 1)
+SELECT s.key, CAST(s.c + COALESCE(i.c, 0) AS BIGINT) AS count FROM seen s LEFT JOIN init i ON s.key = i.key""")
 def stream_stateful_count(spark, sf):
-    """Running word counts over the document stream, seeded with the
-    word counts of the benchmark passages as initial state. Output is the
-    latest count per word that the stream touched."""
+    """Running event count per user over the event stream, seeded with
+    each customer's order count since 2001 as the initial state. Output is
+    the latest count of every user the stream touched."""
     from ..streaming.stateful import running_counts
-    init = (ST.words(Tables(spark, sf).benchmark.select(F.col("text").alias("value")))
-              .groupBy("word").agg(F.count(F.lit(1)).cast("long").alias("count")))
-    out = running_counts(ST.words(_line_stream(spark, sf)), init)
-    return RN.run_to_table(out, "update", keys=["word"], name="stateful")
+    o = Tables(spark, sf).orders
+    init = (o.filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+             .groupBy(F.col("o_custkey").alias("key")).agg(F.count(F.lit(1)).alias("count")))
+    out = running_counts(_event_stream(spark, sf), "user_id", init)
+    return RN.run_to_table(out, "update", keys=["key"], name="stateful")
 
 
 @query("stream_custom_source", "SELECT event_type, COUNT(*) AS n, ROUND(SUM(value), 6) AS total FROM events GROUP BY 1")
