@@ -52,27 +52,30 @@ def binary_curve(df: DataFrame, score: str, label: str, num_bins: int | None = N
     cum = global_running_sum(cum, "neg_threshold", "n", "fp").drop("neg_threshold")
     tot = g.agg(F.sum("p").alias("P"), F.sum("n").alias("N")).first()  # one-row scalars
     b2 = beta * beta
-    prec = F.col("tp") / (F.col("tp") + F.col("fp"))
-    rec = F.col("tp") / F.lit(tot["P"])
-    return cum.select("threshold", "tp", "fp", prec.alias("precision"), rec.alias("recall"),
+    prec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
+    rec = F.try_divide(F.col("tp"), F.lit(tot["P"]))
+    return cum.select("threshold", "p", "n", "tp", "fp", prec.alias("precision"), rec.alias("recall"),
                       F.when(prec + rec > 0, (1 + b2) * prec * rec / (b2 * prec + rec))
                        .otherwise(0.0).alias("f_measure"),
-                      (F.col("fp") / F.lit(tot["N"])).alias("fpr"))
+                      F.try_divide(F.col("fp"), F.lit(tot["N"])).alias("fpr"),
+                      F.lit(tot["P"]).alias("total_p"), F.lit(tot["N"]).alias("total_n"))
 
 
 def auc(curve: DataFrame) -> DataFrame:
     """Areas under ROC and PR (trapezoids) from ``binary_curve``.
 
-    The curve has one row per distinct threshold; the ordered pass uses the
-    previous point via ``lag`` on that bounded set.
+    Each threshold's trapezoid only needs its own increments: the previous
+    point is (tp - p, fp - n), so both areas are plain sums over the curve
+    rows with no ordering step, whatever the number of distinct scores.
     """
-    w = Window.orderBy(F.col("threshold").desc())
-    c = (curve.withColumn("fpr0", F.coalesce(F.lag("fpr").over(w), F.lit(0.0)))
-              .withColumn("tpr0", F.coalesce(F.lag("recall").over(w), F.lit(0.0)))
-              .withColumn("prec0", F.coalesce(F.lag("precision").over(w), F.col("precision"))))
-    return c.agg(F.sum((F.col("fpr") - F.col("fpr0")) * (F.col("recall") + F.col("tpr0")) / 2).alias("auc_roc"),
-                 F.sum((F.col("recall") - F.col("tpr0")) * (F.col("precision") + F.col("prec0")) / 2)
-                  .alias("auc_pr"))
+    tp, fp, p, n = F.col("tp"), F.col("fp"), F.col("p"), F.col("n")
+    P, N = F.col("total_p"), F.col("total_n")
+    tp0, fp0 = tp - p, fp - n
+    prec = F.col("precision")
+    prec0 = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(prec)
+    roc = F.try_divide(n * (tp + tp0), 2 * N * P)
+    pr = F.try_divide(p, P) * (prec + prec0) / 2
+    return curve.agg(F.sum(roc).alias("auc_roc"), F.sum(pr).alias("auc_pr"))
 
 
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
