@@ -109,8 +109,9 @@ def multiclass_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
                       F.sum(wgt * F.col("fpr")).alias("weighted_fpr"),
                       (F.sum("tp") / F.first("total")).alias("accuracy"))
     summary_long = summary.select(F.lit(None).cast("double").alias("label"), F.expr(
-        "stack(5, 'weighted_precision', weighted_precision, 'weighted_recall', weighted_recall, "
-        "'weighted_f1', weighted_f1, 'weighted_fpr', weighted_fpr, 'accuracy', accuracy)")
+        "stack(6, 'weighted_precision', weighted_precision, 'weighted_recall', weighted_recall, "
+        "'weighted_f1', weighted_f1, 'weighted_fpr', weighted_fpr, 'accuracy', accuracy, "
+        "'test_error', 1 - accuracy)")
         .alias("metric", "value"))
     return long_rows.unionByName(summary_long)
 

@@ -191,3 +191,20 @@ def lookback_cumulative(spark, sf):
                   F.col("l_quantity").alias("v"))
     out = H.lookback_cumulative(w, ["item"], "t", "v", target=300, steps=8)
     return out.select("item", F.transform("lookback", lambda x: F.round(x, 4)).alias("lookback"))
+
+
+@query("reverse_time_index", """
+WITH w AS (SELECT l_partkey AS item, CAST(FLOOR(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) / 7) AS BIGINT) AS week,
+                  l_quantity AS qty FROM lineitem)
+SELECT item, (SELECT MAX(week) FROM w) + 1 - week AS weeks_back, ROUND(SUM(qty), 4) AS qty
+FROM w GROUP BY item, week""")
+def reverse_time_index(spark, sf):
+    """weekly sales re-indexed backwards from the last week (1 = latest),
+    the time axis the look-back vectors count on."""
+    li = Tables(spark, sf).lineitem
+    w = li.select(F.col("l_partkey").alias("item"),
+                  F.floor(F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date")) / 7)
+                   .cast("long").alias("week"), F.col("l_quantity").alias("qty"))
+    last = w.agg(F.max("week")).first()[0]  # scalar
+    g = w.groupBy("item", "week").agg(F.round(F.sum("qty"), 4).alias("qty"))
+    return g.select("item", (F.lit(last + 1) - F.col("week")).alias("weeks_back"), "qty")

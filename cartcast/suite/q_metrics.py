@@ -116,7 +116,8 @@ UNION ALL SELECT NULL, 'weighted_precision', ROUND(SUM(actual / total * precisio
 UNION ALL SELECT NULL, 'weighted_recall', ROUND(SUM(actual / total * recall), 9) FROM m2
 UNION ALL SELECT NULL, 'weighted_f1', ROUND(SUM(actual / total * f1), 9) FROM m2
 UNION ALL SELECT NULL, 'weighted_fpr', ROUND(SUM(actual / total * fpr), 9) FROM m2
-UNION ALL SELECT NULL, 'accuracy', ROUND(SUM(tp) / MAX(total), 9) FROM m2""")
+UNION ALL SELECT NULL, 'accuracy', ROUND(SUM(tp) / MAX(total), 9) FROM m2
+UNION ALL SELECT NULL, 'test_error', ROUND(1 - SUM(tp) / MAX(total), 9) FROM m2""")
 def multiclass_metrics(spark, sf):
     m = M.multiclass_metrics(_multiclass(Tables(spark, sf)), "label", "prediction")
     return m.withColumn("value", _r("value"))
