@@ -6,7 +6,6 @@ distinct (optionally binned) scores before any ordered pass.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -211,5 +210,3 @@ def contest_score(submission: DataFrame, answer: DataFrame, alpha: float = 0.4,
     return s1.select("s1", F.lit(s2).alias("s2"),
                      (alpha * F.col("s1") + (1 - alpha) * F.lit(s2)).alias("score"))
 
-
-LOG2 = math.log(2)

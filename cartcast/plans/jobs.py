@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import days_before, month_key
 from ..operators import relational as R
 from ..operators.horizons import lookback_cumulative
-from . import contest as C
 from .features import PAIR
 
 ID_COLS = ("userId", "productId", "label")

@@ -32,7 +32,6 @@ def check_slide(length: str, slide: str | None) -> str:
     an error (quirk Q13)."""
     if slide is None:
         return length
-    from pyspark.sql import SparkSession  # noqa: F401
     to_sec = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
     def secs(s: str) -> int:

@@ -86,8 +86,8 @@ def _multiclass(t: Tables):
 
 
 _MC_SQL = """WITH d AS (
-  SELECT CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 1.0 ELSE 2.0 END AS label,
-         CASE WHEN l_linestatus = 'O' THEN 1.0 WHEN l_discount >= 0.05 THEN 2.0 ELSE 0.0 END AS prediction
+  SELECT CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS DOUBLE) AS label,
+         CAST(CASE WHEN l_linestatus = 'O' THEN 1 WHEN l_discount >= 0.05 THEN 2 ELSE 0 END AS DOUBLE) AS prediction
   FROM lineitem)"""
 
 
@@ -108,7 +108,7 @@ m AS (SELECT k, actual, total, tp,
              CASE WHEN actual > 0 THEN tp / actual ELSE 0 END AS recall,
              (predicted - tp) / (total - actual) AS fpr FROM per),
 m2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM m)
-SELECT k AS label, 'precision' AS metric, ROUND(precision, 9) AS value FROM m2
+SELECT CAST(k AS DOUBLE) AS label, 'precision' AS metric, ROUND(precision, 9) AS value FROM m2
 UNION ALL SELECT k, 'recall', ROUND(recall, 9) FROM m2
 UNION ALL SELECT k, 'f1', ROUND(f1, 9) FROM m2
 UNION ALL SELECT k, 'fpr', ROUND(fpr, 9) FROM m2
@@ -287,7 +287,7 @@ _KDE_POINTS = (10.0, 100.0, 250.0, 400.0)
 
 
 @query("kernel_density", " UNION ALL ".join(
-    f"SELECT {p} AS point, ROUND(AVG(EXP(-POW(({p} - value) / 20.0, 2) / 2)) / (20.0 * SQRT(2 * PI())), 12) AS density FROM events"
+    f"SELECT CAST({p} AS DOUBLE) AS point, ROUND(AVG(EXP(-POW(({p} - value) / 20.0, 2) / 2)) / (20.0 * SQRT(2 * PI())), 12) AS density FROM events"
     for p in _KDE_POINTS))
 def kernel_density(spark, sf):
     k = S.kernel_density(Tables(spark, sf).events, "value", _KDE_POINTS, 20.0)

@@ -31,7 +31,7 @@ _KEY = "l_orderkey, l_linenumber"
 
 
 @query("one_hot", """
-SELECT c_custkey, list_transform(range(24), lambda i: CASE WHEN i = c_nationkey THEN 1.0 ELSE 0.0 END) AS vec
+SELECT c_custkey, list_transform(range(24), lambda i: CAST(CASE WHEN i = c_nationkey THEN 1 ELSE 0 END AS DOUBLE)) AS vec
 FROM customer""")
 def one_hot(spark, sf):
     c = Tables(spark, sf).customer.select("c_custkey", "c_nationkey")
@@ -127,15 +127,15 @@ def normalize_rows(spark, sf):
                       _arr("_linf").alias("linf"))
 
 
-@query("binarize", f"SELECT {_KEY}, CASE WHEN l_discount > 0.05 THEN 1.0 ELSE 0.0 END AS b FROM lineitem")
+@query("binarize", f"SELECT {_KEY}, CAST(CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END AS DOUBLE) AS b FROM lineitem")
 def binarize(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_discount")
     return Binarizer(threshold=0.05, inputCol="l_discount", outputCol="b").transform(li).drop("l_discount")
 
 
 @query("bucketize", """
-SELECT event_id, CASE WHEN value < 0 THEN 0.0 WHEN value < 10 THEN 1.0 WHEN value < 100 THEN 2.0
-                      WHEN value < 250 THEN 3.0 ELSE 4.0 END AS bucket FROM events""")
+SELECT event_id, CAST(CASE WHEN value < 0 THEN 0 WHEN value < 10 THEN 1 WHEN value < 100 THEN 2
+                      WHEN value < 250 THEN 3 ELSE 4 END AS DOUBLE) AS bucket FROM events""")
 def bucketize(spark, sf):
     e = Tables(spark, sf).events.select("event_id", "value")
     b = Bucketizer(splits=[float("-inf"), 0.0, 10.0, 100.0, 250.0, float("inf")],

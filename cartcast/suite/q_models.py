@@ -28,7 +28,6 @@ from ..operators import metrics as M
 from ..operators import models as MD
 from ..operators import relational as R
 from ..operators.text import CUSTOM_STOPWORDS, regex_tokens
-from ..plans import contest as C
 from ..plans import jobs as J
 from ..session import scratch_path
 from ..tables import Tables

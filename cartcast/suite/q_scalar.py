@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
@@ -68,7 +67,7 @@ def clip_unit_q(spark, sf):
 
 @query("rating_binarize", """
 SELECT l_orderkey, l_linenumber, l_quantity / 10 - 2.5 AS shifted,
-       CASE WHEN l_quantity / 10 - 2.5 > 0 THEN 1.0 ELSE 0.0 END AS relevant FROM lineitem""")
+       CAST(CASE WHEN l_quantity / 10 - 2.5 > 0 THEN 1 ELSE 0 END AS DOUBLE) AS relevant FROM lineitem""")
 def rating_binarize(spark, sf):
     li = Tables(spark, sf).lineitem
     s = F.col("l_quantity") / 10 - 2.5

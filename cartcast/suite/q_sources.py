@@ -202,7 +202,7 @@ def parquet_sink_roundtrip(spark, sf):
 
 
 @query("vector_parquet_roundtrip", """
-SELECT vec_id, len(embedding) AS dim,
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim,
        ROUND(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total
 FROM embeddings""")
 def vector_parquet_roundtrip(spark, sf):
