@@ -171,7 +171,7 @@ def pandas_udaf(spark, sf):
 
 
 @udtf(returnType=T.StructType([T.StructField("pos", T.IntegerType()),
-                                 T.StructField("token", T.StringType())]))
+                                 T.StructField("token", T.StringType())]), useArrow=True)
 class Tokens:
     def eval(self, text: str):
         if text is None:
