@@ -68,6 +68,24 @@ def one_per_day(df: DataFrame, keys: Sequence[str], day_col: str, value_col: str
               .agg(F.max_by(F.col(value_col), tie).alias(out)))
 
 
+def latest_code_per_day(df: DataFrame, keys: Sequence[str], day_col: str, time_col: str,
+                        order_col: str, code_col: str, out: str = "code") -> DataFrame:
+    """Per (keys, day), the code of the latest row by (time, order); the
+    code must be an int in [0, 10) and the order a non-negative long.
+
+    Same result as ``one_per_day`` but as a plain ``max`` over one
+    DECIMAL(38,0) key ``micros * 1e20 + order * 10 + code``: its buffer is
+    mutable, so Spark runs a hash aggregate (partial + final) instead of
+    sorting every row by the group key.
+    """
+    d38 = "decimal(38,0)"
+    key = (F.unix_micros(F.col(time_col).cast("timestamp")).cast(d38)
+           * F.lit("100000000000000000000").cast(d38)
+           + (F.col(order_col) * 10 + F.col(code_col)).cast(d38))
+    g = df.groupBy(*keys, day_col).agg(F.max(key.cast(d38)).alias("_k"))
+    return g.select(*keys, day_col, F.pmod(F.col("_k"), F.lit(10)).cast("int").alias(out))
+
+
 def horizon_scores(df: DataFrame, keys: Sequence[str], day_col: str,
                    points, prefix: str = "s",
                    horizons: Sequence[int] = HORIZONS) -> DataFrame:

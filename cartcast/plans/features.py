@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import score_of_level
 from ..functions.dates import days_before, elapsed_days
-from ..operators.horizons import HORIZONS, horizon_sums, one_per_day
+from ..operators.horizons import HORIZONS, horizon_sums, latest_code_per_day
 
 PAIR = ("userId", "productId")
 
@@ -67,8 +67,8 @@ def comment_features(comments: DataFrame, order_products: DataFrame, cutoff: str
                  .filter(F.col("d") > 0))
     op = order_products.select("orderId", "productId").distinct()
     joined = c.join(op, "orderId")
-    per_day = one_per_day(joined, PAIR, "d", "scoreLevel", ["commentTime", "orderId"],
-                          out="level")
+    per_day = latest_code_per_day(joined, PAIR, "d", "commentTime", "orderId", "scoreLevel",
+                                  out="level")
     return horizon_sums(per_day, PAIR, "d", {"s{n}": score_of_level("level")}, horizons)
 
 

@@ -92,3 +92,15 @@ def test_flagship_shape(spark):
     assert cols[:2] == ["userId", "productId"]
     assert {"o5", "o400", "ua1_5", "ua2_400", "s5", "s400", "label"} <= set(cols)
     assert df.count() > 0
+
+
+def test_latest_code_equals_max_by(spark):
+    from cartcast.operators.horizons import latest_code_per_day, one_per_day
+    t = dt.datetime(2017, 3, 1, 10, 0, 0)
+    rows = [(1, 1, t, 5, 2), (1, 1, t, 7, 3),             # same second: larger order wins
+            (1, 2, t, 9, 1), (1, 2, t + dt.timedelta(hours=1), 2, 2),  # later time wins
+            (2, 1, t, 1, 1)]
+    df = spark.createDataFrame(rows, "u long, d int, t timestamp_ntz, o long, c int")
+    a = {(r.u, r.d): r.code for r in latest_code_per_day(df, ["u"], "d", "t", "o", "c").collect()}
+    b = {(r.u, r.d): r.code for r in one_per_day(df, ["u"], "d", "c", ["t", "o"], out="code").collect()}
+    assert a == b == {(1, 1): 3, (1, 2): 2, (2, 1): 1}
