@@ -20,8 +20,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._seen: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
+        """Each table is resolved once per instance (one listing and footer
+        read); the DataFrame is lazy, so reuse costs nothing at run time."""
         if name.startswith("_"):
             raise AttributeError(name)
-        return table(self.spark, self.sf_dir, name)
+        if name not in self._seen:
+            self._seen[name] = table(self.spark, self.sf_dir, name)
+        return self._seen[name]
