@@ -42,6 +42,8 @@ def _betacf(a: float, b: float, x: float) -> float:
 
 def student_t_two_sided_p(t: float, df: float) -> float:
     """Two-sided p-value of Student's t (regularised incomplete beta)."""
+    if t == 0:
+        return 1.0
     x = df / (df + t * t)
     a, b = df / 2.0, 0.5
     lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
