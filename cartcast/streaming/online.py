@@ -154,3 +154,35 @@ class StreamingSGD:
             self.b -= self.step * g["gb"] / g["n"]
             self.w = [wi - self.step * g[f"g{i}"] / g["n"] for i, wi in enumerate(self.w)]
         self.seen.add(batch_id)
+
+
+class StreamingWelch:
+    """Two-sample Welch test over a stream (T24): per batch, one grouped
+    aggregate of (n, sum, sum of squares) is merged into running moments;
+    the query is stopped once p < ``alpha`` or after ``max_batches``."""
+
+    def __init__(self, group: str, value: str, a, b, alpha: float = 0.05, max_batches: int = 10):
+        self.group, self.value, self.a, self.b = group, value, a, b
+        self.alpha, self.max_batches = alpha, max_batches
+        self.m = {a: [0, 0.0, 0.0], b: [0, 0.0, 0.0]}
+        self.history: list[tuple[int, float, float, float]] = []
+        self.seen: set[int] = set()
+        self.done = False
+
+    def update(self, batch: DataFrame, batch_id: int) -> None:
+        if batch_id in self.seen or self.done:
+            return
+        for r in group_moments(batch.filter(F.col(self.group).isin(self.a, self.b)),
+                               self.group, self.value).collect():  # <= 2 rows
+            acc = self.m[r[self.group]]
+            acc[0] += r["n"]
+            acc[1] += r["s"]
+            acc[2] += r["ss"]
+        self.seen.add(batch_id)
+        if all(self.m[g][0] > 1 for g in (self.a, self.b)):
+            t, df, p = welch_from_moments([self.m[self.a], self.m[self.b]])
+            self.history.append((batch_id, t, df, p))
+            if p < self.alpha:
+                self.done = True
+        if len(self.seen) >= self.max_batches:
+            self.done = True

@@ -325,3 +325,16 @@ def vector_summary(spark, sf):
     v = S.vector_summary(e, "v")
     return v.select(F.col("dim").cast("int").alias("dim"), *[_r(c).alias(c) for c in ("mean", "variance")],
                     "nnz", _r("max").alias("max"), _r("min").alias("min"))
+
+
+@query("cosine_columns_approx")
+def cosine_columns_approx(spark, sf):
+    """V14, thresholded form: DIMSUM sampling (``columnSimilarities(t)``)
+    keeps pairs whose similarity is likely above the threshold, estimating
+    them from a sample of row products. Uses Spark's distributed RowMatrix."""
+    from pyspark.mllib.linalg import Vectors as MV
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    e = Tables(spark, sf).embeddings.select("embedding")
+    rows = e.rdd.map(lambda r: MV.dense([float(x) for x in r[0]]))
+    sims = RowMatrix(rows).columnSimilarities(0.1)
+    return sims.entries.map(lambda m: (int(m.i), int(m.j), float(m.value))).toDF("i int, j int, cosine double")

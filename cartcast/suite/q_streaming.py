@@ -324,3 +324,19 @@ def clickstream_dashboard(spark, sf):
     users = t.customer.select(F.col("c_custkey").alias("user"), F.col("c_name").alias("name"))
     seen = ST.dashboard(pv, "popularUsersSeen", users)
     return RN.run_to_table(seen, "append", name="dash").select("user", "name").dropDuplicates(["user"])
+
+
+@query("welch_stream_stop")
+def welch_stream_stop(spark, sf):
+    """T24 with its stopping rule: one week of events per micro-batch; the
+    test stops updating as soon as p < 0.05 (or after 10 batches). Returns
+    the per-batch history (batch, t, df, p)."""
+    from ..streaming.online import StreamingWelch
+    s = _event_stream(spark, sf, files_per_slice=2)
+    w = StreamingWelch("event_type", "value", "click", "view", alpha=0.05, max_batches=10)
+    # once the rule fires, later batches are acknowledged without work
+    q = (s.writeStream.foreachBatch(lambda b, bid: w.update(b, bid))
+          .option("checkpointLocation", scratch_path(spark, "welch-ckpt"))
+          .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.createDataFrame(w.history or [(-1, 0.0, 0.0, 1.0)], "batch long, t double, df double, p double")

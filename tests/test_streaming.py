@@ -65,3 +65,14 @@ def test_student_t_p_value():
     from cartcast.streaming.online import student_t_two_sided_p
     assert student_t_two_sided_p(2.228138851986, 10) == pytest.approx(0.05, abs=1e-6)
     assert student_t_two_sided_p(0.0, 5) == pytest.approx(1.0, abs=1e-9)
+
+
+def test_streaming_welch_stops_early(spark):
+    from cartcast.streaming.online import StreamingWelch
+    rows = [("a", float(i % 3)) for i in range(60)] + [("b", 10.0 + i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    w = StreamingWelch("g", "v", "a", "b", alpha=0.05, max_batches=10)
+    w.update(df, 0)
+    assert w.done and w.history[0][3] < 0.05
+    w.update(df, 1)                 # ignored after the stop
+    assert len(w.history) == 1
