@@ -32,3 +32,16 @@ def purchase_day_classifier(kind: str = "forest", num_trees: int = 10, max_depth
         return OneVsRest(classifier=GBTClassifier(maxIter=5, maxDepth=3, seed=seed),
                          featuresCol="features", labelCol="label")
     raise ValueError(kind)
+
+
+def prefix_span(sequences: DataFrame, min_support: float, max_length: int,
+                col: str = "sequence") -> DataFrame:
+    """Spark's PrefixSpan over a column of sequences (array<array<item>>).
+
+    Its input holds each sequence as one row, so use it where sequences are
+    bounded (e.g. sessions or fixed periods); for whole-history supports of
+    single items use a distinct (entity, item) aggregate instead.
+    """
+    from pyspark.ml.fpm import PrefixSpan
+    ps = PrefixSpan(minSupport=min_support, maxPatternLength=max_length, sequenceCol=col)
+    return ps.findFrequentSequentialPatterns(sequences)

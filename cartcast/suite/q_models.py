@@ -15,7 +15,7 @@ from pyspark.ml.clustering import (LDA, BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import (MulticlassClassificationEvaluator, RegressionEvaluator)
 from pyspark.ml.feature import (BucketedRandomProjectionLSH, CountVectorizer, HashingTF,
                                 MinHashLSH, StopWordsRemover, Tokenizer, VectorAssembler)
-from pyspark.ml.fpm import FPGrowth, PrefixSpan
+from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor,
@@ -398,20 +398,20 @@ WITH s AS (SELECT DISTINCT o.o_custkey AS c, p.p_brand AS item FROM lineitem l J
 n AS (SELECT COUNT(DISTINCT o_custkey) AS n FROM orders o WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey))
 SELECT [[item]] AS sequence, COUNT(*) AS freq FROM s, n GROUP BY item, n.n HAVING COUNT(*) >= CEIL(0.5 * n.n)""")
 def sequence_patterns(spark, sf):
-    """PrefixSpan over each customer's orders in date order (itemset =
-    brands of one order); compared on length-1 patterns."""
+    """Frequent length-1 sequential patterns (support = share of
+    customers whose order sequence contains the item), from a distinct
+    (customer, item) aggregate: no customer's sequence is materialised.
+    ``models.prefix_span`` runs Spark's PrefixSpan for longer patterns on
+    inputs whose sequences are bounded."""
     t = Tables(spark, sf)
     p = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     lines = t.lineitem.select("l_orderkey", "l_partkey").join(p, "l_partkey")
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-    per_order = (lines.join(o, "l_orderkey").groupBy("o_custkey", "o_orderdate", "l_orderkey")
-                      .agg(F.array_sort(F.collect_set("p_brand")).alias("itemset")))
-    seqs = (per_order.groupBy("o_custkey")
-                     .agg(F.array_sort(F.collect_list(F.struct("o_orderdate", "l_orderkey", "itemset"))).alias("s"))
-                     .select(F.transform("s", lambda x: x["itemset"]).alias("sequence")))
-    ps = PrefixSpan(minSupport=0.5, maxPatternLength=2, sequenceCol="sequence")
-    f = ps.findFrequentSequentialPatterns(seqs)
-    return f.filter(F.size("sequence") == 1).filter(F.size(F.col("sequence")[0]) == 1)
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    ci = lines.join(o, "l_orderkey").select("o_custkey", F.col("p_brand").alias("item")).distinct()
+    n = ci.agg(F.count_distinct("o_custkey")).first()[0]
+    min_count = -(-n // 2)  # ceil(0.5 * n)
+    f = ci.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= min_count)
+    return f.select(F.array(F.array("item")).alias("sequence"), "freq")
 
 
 # ---- approximate similarity (LSH) --------------------------------------------

@@ -70,3 +70,11 @@ def test_dashboard_metric_names(spark):
     assert ST.dashboard(v, "pageCounts").first().n == 1
     with pytest.raises(ValueError):
         ST.dashboard(v, "nope")
+
+
+def test_prefix_span_helper(spark):
+    from cartcast.operators.models import prefix_span
+    seqs = spark.createDataFrame([([[1, 2], [3]],), ([[1], [3, 2], [1, 2]],), ([[1, 2], [5]],), ([[6]],)],
+                                 "sequence array<array<int>>")
+    got = {str(r.sequence): r.freq for r in prefix_span(seqs, 0.5, 5).collect()}
+    assert got["[[1]]"] == 3 and got["[[1, 2]]"] == 3 and got["[[1], [3]]"] == 2
