@@ -184,12 +184,12 @@ def interaction(spark, sf):
 
 
 @query("dct_vectors", """
-SELECT vec_id, ROUND(list_sum(list_transform(embedding[1:8], lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 9) AS energy
+SELECT vec_id, ROUND(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 9) AS energy
 FROM embeddings""")
 def dct_vectors(spark, sf):
-    """Orthonormal DCT-II of the first 8 dims; energy is preserved."""
+    """Orthonormal DCT-II of each embedding; energy is preserved."""
     e = Tables(spark, sf).embeddings
-    v = e.select("vec_id", array_to_vector(F.slice("embedding", 1, 8)).alias("v"))
+    v = e.select("vec_id", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("v"))
     d = DCT(inverse=False, inputCol="v", outputCol="d").transform(v)
     a = vector_to_array("d")
     return d.select("vec_id", F.round(F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x), 9).alias("energy"))

@@ -254,8 +254,7 @@ def bisecting_kmeans(spark, sf):
 def gmm_assign(spark, sf):
     """Posterior probabilities sum to one on every row."""
     e = Tables(spark, sf).embeddings
-    d = e.select(array_to_vector(F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double")))
-                 .alias("features"))
+    d = e.select(array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"))
     m = GaussianMixture(k=3, seed=1, maxIter=10).fit(d)
     p = m.transform(d).select(F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda s, x: s + x).alias("s"))
     return p.agg(F.sum(F.when(F.abs(F.col("s") - 1) > 1e-6, 1).otherwise(0)).cast("int").alias("bad_rows"))

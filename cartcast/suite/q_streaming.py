@@ -236,7 +236,7 @@ def stream_kmeans(spark, sf):
     from ..operators.relational import hash_unit
     from ..streaming.online import StreamingKMeans
     e = Tables(spark, sf).embeddings.select(
-        "vec_id", F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double")).alias("x"))
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("x"))
     u = hash_unit("vec_id", 9)
     init = [r.x for r in e.orderBy(u).limit(3).collect()]  # k starting centres
     path = scratch_path(spark, "kmeans-src")
