@@ -81,13 +81,13 @@ def sales_lookback(spark, sf):
 def _scores_for_submission(spark, sf):
     pf = purchase_features_df(spark, sf)
     return pf.select(F.col("userId").alias("user"),
-                     (F.col("o400") + 0.1 * F.col("s400")).cast("double").alias("score"),
+                     (F.col("o400") * 10 + F.col("s400")).alias("score"),
                      F.date_add(F.lit(C.ORDER_CUTOFF).cast("date"),
                                 (F.col("productId") % 28).cast("int")).alias("date"))
 
 
 @query("submission_topk", "WITH pf AS (" + _purchase_features_sql() + """),
-s AS (SELECT userId AS usr, CAST(o400 + 0.1 * s400 AS DOUBLE) AS score,
+s AS (SELECT userId AS usr, o400 * 10 + s400 AS score,
              DATE '2001-01-01' + CAST(productId % 28 AS INTEGER) AS d FROM pf),
 b AS (SELECT usr, arg_max(score, (score, d)) AS score, arg_max(d, (score, d)) AS date FROM s GROUP BY usr)
 SELECT usr AS user, score, date FROM b WHERE usr IN (SELECT c_custkey FROM customer)
@@ -98,7 +98,7 @@ def submission_topk(spark, sf):
                        Tables(spark, sf).customer.select(F.col("c_custkey").alias("user")), 100)
     path = scratch_path(spark, "submission")
     SF.write_csv(sub, path)
-    return SF.read_csv_typed(spark, path, "user LONG, score DOUBLE, date DATE")
+    return SF.read_csv_typed(spark, path, "user LONG, score LONG, date DATE")
 
 
 @query("label_reindex", """

@@ -48,7 +48,7 @@ def clamp_negative(spark, sf):
 
 
 @query("fill_nulls", """
-SELECT c.c_custkey, COALESCE(o.n, 0) AS n_orders, COALESCE(o.spent, 0.0) AS spent FROM customer c
+SELECT c.c_custkey, COALESCE(o.n, 0) AS n_orders, ROUND(COALESCE(o.spent, 0.0), 2) AS spent FROM customer c
 LEFT JOIN (SELECT o_custkey, COUNT(*) AS n, SUM(o_totalprice) AS spent FROM orders
            WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey""")
 def fill_nulls(spark, sf):
@@ -56,7 +56,8 @@ def fill_nulls(spark, sf):
     o = (t.orders.filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
           .groupBy(F.col("o_custkey").alias("c_custkey"))
           .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("spent")))
-    return t.customer.select("c_custkey").join(o, "c_custkey", "left").na.fill(0)
+    j = t.customer.select("c_custkey").join(o, "c_custkey", "left").na.fill(0)
+    return j.withColumn("spent", F.round("spent", 2))
 
 
 @query("clip_unit", "SELECT event_id, LEAST(GREATEST(value / 100 - 1, 0.0), 1.0) AS v FROM events")
