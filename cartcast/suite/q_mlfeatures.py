@@ -111,11 +111,12 @@ def standard_scale(spark, sf):
 
 
 @query("normalize_rows", f"""
-WITH v AS (SELECT {_KEY}, l_quantity AS a, l_extendedprice / 1000 AS b, l_discount AS c FROM lineitem)
-SELECT {_KEY}, [ROUND(a / (ABS(a) + ABS(b) + ABS(c)), 9), ROUND(b / (ABS(a) + ABS(b) + ABS(c)), 9), ROUND(c / (ABS(a) + ABS(b) + ABS(c)), 9)] AS l1,
-  [ROUND(a / SQRT(a*a + b*b + c*c), 9), ROUND(b / SQRT(a*a + b*b + c*c), 9), ROUND(c / SQRT(a*a + b*b + c*c), 9)] AS l2,
-  [ROUND(a / GREATEST(ABS(a), ABS(b), ABS(c)), 9), ROUND(b / GREATEST(ABS(a), ABS(b), ABS(c)), 9), ROUND(c / GREATEST(ABS(a), ABS(b), ABS(c)), 9)] AS linf
-FROM v""")
+WITH v AS (SELECT {_KEY}, l_quantity AS a, l_extendedprice / 1000 AS b, l_discount AS c FROM lineitem),
+n AS (SELECT *, ABS(a) + ABS(b) + ABS(c) AS n1, SQRT(a*a + b*b + c*c) AS n2,
+             GREATEST(ABS(a), ABS(b), ABS(c)) AS ninf FROM v)
+SELECT {_KEY}, [a / n1, b / n1, c / n1] AS l1, [a / n2, b / n2, c / n2] AS l2,
+       [a / ninf, b / ninf, c / ninf] AS linf
+FROM n""")
 def normalize_rows(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_quantity",
                                            (F.col("l_extendedprice") / 1000).alias("b"), "l_discount")
@@ -123,8 +124,8 @@ def normalize_rows(spark, sf):
     out = v
     for name, p in (("l1", 1.0), ("l2", 2.0), ("linf", float("inf"))):
         out = Normalizer(inputCol="features", outputCol=f"_{name}", p=p).transform(out)
-    return out.select("l_orderkey", "l_linenumber", _arr("_l1").alias("l1"), _arr("_l2").alias("l2"),
-                      _arr("_linf").alias("linf"))
+    return out.select("l_orderkey", "l_linenumber", vector_to_array("_l1").alias("l1"),
+                      vector_to_array("_l2").alias("l2"), vector_to_array("_linf").alias("linf"))
 
 
 @query("binarize", f"SELECT {_KEY}, CAST(CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END AS DOUBLE) AS b FROM lineitem")
