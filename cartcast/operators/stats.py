@@ -121,3 +121,16 @@ def vector_summary(df: DataFrame, vec_col: str) -> DataFrame:
                                            vector_to_array("s.max").alias("max"),
                                            vector_to_array("s.min").alias("min"))).alias("dim", "m"))
     return z.select("dim", "m.mean", "m.variance", "m.nnz", "m.max", "m.min")
+
+
+def normal_cdf(mean: float, std: float):
+    """Normal CDF as a Column function (Arrow-batched pandas UDF; Spark SQL
+    has no erf). Meant for ``ks_statistic``, which applies it to distinct
+    values only."""
+    from pyspark.sql import types as T
+
+    @F.pandas_udf(T.DoubleType())
+    def _cdf(x: pd.Series) -> pd.Series:
+        return pd.Series(normal_cdf_np(x.to_numpy(dtype="float64"), mean, std))
+
+    return lambda c: _cdf(c)

@@ -338,3 +338,14 @@ def cosine_columns_approx(spark, sf):
     rows = e.rdd.map(lambda r: MV.dense([float(x) for x in r[0]]))
     sims = RowMatrix(rows).columnSimilarities(0.1)
     return sims.entries.map(lambda m: (int(m.i), int(m.j), float(m.value))).toDF("i int, j int, cosine double")
+
+
+@query("ks_normal")
+def ks_normal(spark, sf):
+    """V12 (normal form): Spark's one-sample KS test of event values against
+    a normal with the sample mean and standard deviation."""
+    from pyspark.ml.stat import KolmogorovSmirnovTest
+    e = Tables(spark, sf).events.select("value")
+    m = e.agg(F.avg("value").alias("m"), F.stddev_samp("value").alias("s")).first()
+    r = KolmogorovSmirnovTest.test(e, "value", "norm", float(m["m"]), float(m["s"])).first()
+    return spark.createDataFrame([(float(r.statistic), float(r.pValue))], "statistic double, p_value double")

@@ -311,3 +311,27 @@ def append_bias(spark, sf):
     v = li.select("l_orderkey", "l_linenumber",
                   array_to_vector(F.array_append(F.array("l_quantity", "l_discount"), F.lit(1.0))).alias("f"))
     return v.select("l_orderkey", "l_linenumber", vector_to_array("f").alias("vec"))
+
+
+@query("standard_scale_std_only", f"""
+SELECT {_KEY}, [ROUND(l_quantity / STDDEV_SAMP(l_quantity) OVER (), 6),
+  ROUND(l_extendedprice / STDDEV_SAMP(l_extendedprice) OVER (), 6),
+  ROUND(l_discount / STDDEV_SAMP(l_discount) OVER (), 6)] AS vec FROM lineitem""")
+def standard_scale_std_only(spark, sf):
+    """E9, std-only form (the estimator's default: no centring)."""
+    v = _li_vec(Tables(spark, sf))
+    m = StandardScaler(inputCol="features", outputCol="s", withMean=False, withStd=True).fit(v)
+    return m.transform(v).select("l_orderkey", "l_linenumber", _arr("s", 6).alias("vec"))
+
+
+@query("count_vectorize_fixed", f"""
+SELECT doc_id, CAST(len(list_filter({_TOKENS_SQL}, lambda x: list_contains({_STOP_SQL}, x))) AS DOUBLE) AS in_vocab
+FROM documents""")
+def count_vectorize_fixed(spark, sf):
+    """E24 with a fixed vocabulary (``CountVectorizerModel.from_vocabulary``):
+    per document, the count of tokens that are in the vocabulary."""
+    from pyspark.ml.feature import CountVectorizerModel
+    d = regex_tokens(Tables(spark, sf).documents.select("doc_id", "text"))
+    m = CountVectorizerModel.from_vocabulary(CUSTOM_STOPWORDS, inputCol="tokens", outputCol="tf")
+    tf = m.transform(d)
+    return tf.select("doc_id", F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda s, x: s + x).alias("in_vocab"))

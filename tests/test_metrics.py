@@ -61,3 +61,12 @@ def test_chi_square_matches_spark(spark):
     assert ours.statistic == pytest.approx(float(ref.statistics[0]), abs=1e-9)
     assert ours.dof == ref.degreesOfFreedom[0]
     _ = Vectors
+
+
+def test_ks_statistic_matches_spark_normal(spark):
+    from pyspark.ml.stat import KolmogorovSmirnovTest
+    rows = [(float(x),) for x in [0.1, -0.4, 1.3, 0.7, -1.1, 0.0, 2.2, -0.3, 0.5, 0.9, 0.9, -2.0]]
+    df = spark.createDataFrame(rows, "v double")
+    ours = S.ks_statistic(df, "v", S.normal_cdf(0.0, 1.0)).first().d
+    ref = KolmogorovSmirnovTest.test(df, "v", "norm", 0.0, 1.0).first().statistic
+    assert ours == pytest.approx(ref, abs=1e-9)
