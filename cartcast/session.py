@@ -36,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -66,3 +67,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cartcast`` importable in Python workers (UDFs, stateful
+    processors and stream callbacks refer to it by module), once per
+    application: the package is zipped on the driver and added with
+    ``addPyFile``, which distributes it to every executor."""
+    import shutil
+
+    import cartcast
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(cartcast.__file__))
+    out = tempfile.mkdtemp(prefix="cartcast-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "cartcast"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir="cartcast")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

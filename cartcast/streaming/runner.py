@@ -35,9 +35,24 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return r.load(path)
 
 
+def start_with_partitions(writer, spark: SparkSession, state_partitions: int | None):
+    """Start a streaming query with an explicit number of state (shuffle)
+    partitions. Streaming plans get no AQE coalescing and the count is fixed
+    in the checkpoint at the first start, so it is chosen here: by default
+    one partition per core of the cluster (``defaultParallelism``)."""
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        return writer.start()  # the query clones the session conf here
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+
 def run_to_table(stream: DataFrame, mode: str, keys: Sequence[str] | None = None,
                  name: str = "stream", checkpoint: str | None = None,
-                 batch_fn: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
+                 batch_fn: Callable[[DataFrame, int], DataFrame] | None = None,
+                 state_partitions: int | None = None) -> DataFrame:
     """Run ``stream`` with ``trigger(availableNow=True)`` and return the final
     result as a batch DataFrame read from the sink.
 
@@ -59,10 +74,11 @@ def run_to_table(stream: DataFrame, mode: str, keys: Sequence[str] | None = None
             (b.withColumn("_batch", F.lit(batch_id))
               .write.mode("overwrite").parquet(f"{out}/_batch_dir={batch_id}"))
 
-    q = (stream.writeStream.outputMode("complete" if mode == "complete" else
-                                       ("update" if mode == "update" else "append"))
-               .foreachBatch(sink).option("checkpointLocation", ckpt)
-               .trigger(availableNow=True).start())
+    writer = (stream.writeStream.outputMode("complete" if mode == "complete" else
+                                            ("update" if mode == "update" else "append"))
+                    .foreachBatch(sink).option("checkpointLocation", ckpt)
+                    .trigger(availableNow=True))
+    q = start_with_partitions(writer, spark, state_partitions)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

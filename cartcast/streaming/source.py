@@ -7,6 +7,8 @@ returned as Arrow record batches (no per-row Python objects).
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 
@@ -62,6 +64,9 @@ class RowGroupSource(DataSource):
 
 
 def read_rowgroup_stream(spark, paths: list[str], ddl: str):
+    # planning runs in a separate Python process: send this module by value
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(RowGroupSource)
     return (spark.readStream.format("cartcast_rowgroups").option("paths", ",".join(paths))
                  .option("schema", ddl).load())

@@ -7,6 +7,7 @@ adds its rows. Output is one row per touched key per batch (update mode).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
@@ -43,6 +44,10 @@ class RunningCount(StatefulProcessor):
 def running_counts(rows: DataFrame, key: str = "key", initial: DataFrame | None = None) -> DataFrame:
     """Per key, the running count of rows including the initial counts
     (``initial`` has columns ``key`` and ``count``)."""
+    # the processor runs in a Python runner that may not see shipped files:
+    # send this self-contained module by value
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark = rows.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

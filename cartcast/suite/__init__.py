@@ -22,7 +22,9 @@ def query(name: str, sql: str | None = None):
 
         @functools.wraps(fn)
         def run(spark, sf_dir):
+            from ..session import ship_package
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship_package(spark)
             return fn(spark, sf_dir)
         QUERIES[name] = run
         if sql is not None:
