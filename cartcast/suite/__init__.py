@@ -24,6 +24,8 @@ def query(name: str, sql: str | None = None):
         def run(spark, sf_dir):
             from ..session import ship_package
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            # cached model inputs are coalesced by AQE like any shuffle output
+            spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
             ship_package(spark)
             return fn(spark, sf_dir)
         QUERIES[name] = run
