@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -89,6 +90,11 @@ def run_to_table(stream: DataFrame, mode: str, keys: Sequence[str] | None = None
         if not keys:
             raise ValueError("update mode needs key columns")
         vals = [c for c in res.columns if c not in keys and c != "_batch"]
+        numeric = all(isinstance(res.schema[c].dataType, T.NumericType) for c in vals)
+        if numeric:
+            # one row per key per batch: per-column max_by on the batch id is
+            # exact and keeps primitive buffers (hash aggregate)
+            return res.groupBy(*keys).agg(*[F.max_by(c, "_batch").alias(c) for c in vals])
         latest = res.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("_batch")).alias("_v"))
         return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
     return res
