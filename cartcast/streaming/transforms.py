@@ -61,10 +61,15 @@ def error_rate(views: DataFrame, ts: str, length: str, slide: str,
     w = F.window(F.col(ts), length, check_slide(length, slide))
     g = views.groupBy(w.alias("w"), key).agg(
         F.round(F.avg(F.when(F.col("status") != 200, 1.0).otherwise(0.0)), 4).alias("error_rate"))
+    return with_error_line(g, key, threshold)
+
+
+def with_error_line(df: DataFrame, key: str = "zip", threshold: float = 0.05) -> DataFrame:
+    """Report line ``"<key>: <ratio>"``, starred above the threshold."""
     k, r = F.col(key).cast("string"), F.col("error_rate").cast("string")
-    return g.withColumn("line", F.when(F.col("error_rate") > threshold,
-                                       F.format_string("%s: **%s**", k, r))
-                                 .otherwise(F.format_string("%s: %s", k, r)))
+    return df.withColumn("line", F.when(F.col("error_rate") > threshold,
+                                        F.format_string("%s: **%s**", k, r))
+                                  .otherwise(F.format_string("%s: %s", k, r)))
 
 
 def active_users(views: DataFrame, ts: str, length: str, slide: str,

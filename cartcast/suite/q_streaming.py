@@ -125,8 +125,10 @@ SELECT window_start, window_end, zip, error_rate,
 def stream_error_rate(spark, sf):
     """Error rate per zip code over 30-minute windows sliding by 10."""
     g = ST.error_rate(_pv_stream(spark, sf), "ts", "30 minutes", "10 minutes")
-    g = g.select(*ST.window_bounds(), "zip", "error_rate", "line")
-    return RN.run_to_table(g, "update", keys=["window_start", "window_end", "zip"], name="errrate")
+    g = g.select(*ST.window_bounds(), "zip", "error_rate")
+    # the report line is derived from the final rate, after the latest-row read
+    out = RN.run_to_table(g, "update", keys=["window_start", "window_end", "zip"], name="errrate")
+    return ST.with_error_line(out)
 
 
 @query("stream_active_users", _sliding_sql(5, 3, "CAST(COUNT(DISTINCT usr) AS BIGINT) AS users", "", "pv",
