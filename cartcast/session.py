@@ -82,7 +82,10 @@ def ship_package(spark: SparkSession) -> None:
     import shutil
 
     import cartcast
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext here (e.g. a remote client)
+        return
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(cartcast.__file__))
