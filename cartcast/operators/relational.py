@@ -191,3 +191,32 @@ def global_running_sum(df: DataFrame, order_col: str, value_col: str,
                   .join(F.broadcast(offsets), "_pid")
                   .withColumn(out, F.col("_off") + F.col("_loc"))
                   .drop("_pid", "_loc", "_off"))
+
+
+def poisson_thresholds(mean: float, tol: float = 1e-12) -> list[float]:
+    """CDF of Poisson(mean) at k = 0, 1, … until within ``tol`` of 1."""
+    import math
+    out, p, k = [], math.exp(-mean), 0
+    c = p
+    while 1.0 - c > tol and k < 200:
+        out.append(c)
+        k += 1
+        p *= mean / k
+        c += p
+    out.append(c)
+    return out
+
+
+def hash_sample_with_replacement(df: DataFrame, key: str, fraction: float,
+                                 salt: int = 0) -> DataFrame:
+    """Sample with replacement (O9), repeatable: each row appears k times with
+    k ~ Poisson(fraction), k taken from the inverse CDF at the row's hash
+    value. Independent of partitioning and retries (quirk Q17)."""
+    u = hash_unit(key, salt)
+    cdf = poisson_thresholds(fraction)
+    k = F.lit(len(cdf))
+    for i in reversed(range(len(cdf))):
+        k = F.when(u < F.lit(cdf[i]), F.lit(i)).otherwise(k)
+    return (df.withColumn("_k", k).filter(F.col("_k") > 0)
+              .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_k"))))
+              .drop("_k"))

@@ -507,3 +507,18 @@ def rebalance(spark, sf):
 def random_normal(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderkey")
     return o.select("o_orderkey", F.randn(seed=3).alias("z"), F.rand(seed=4).alias("u"))
+
+
+def _poisson_case_sql(u: str, mean: float) -> str:
+    cdf = R.poisson_thresholds(mean)
+    return "CASE " + " ".join(f"WHEN {u} < {c!r} THEN {i}" for i, c in enumerate(cdf)) + f" ELSE {len(cdf)} END"
+
+
+@query("hash_sample_replacement", f"""
+WITH k AS (SELECT o_orderkey, {_poisson_case_sql(R.hash_unit_sql('o_orderkey', 0), 0.5)} AS k FROM orders)
+SELECT o_orderkey, CAST(c.copy AS INTEGER) AS _copy FROM k, LATERAL (SELECT unnest(range(1, k + 1)) AS copy) c
+WHERE k > 0""")
+def hash_sample_replacement(spark, sf):
+    """O9, repeatable form: Poisson(0.5) copies per order from its hash."""
+    o = Tables(spark, sf).orders.select("o_orderkey")
+    return R.hash_sample_with_replacement(o, "o_orderkey", 0.5)

@@ -49,3 +49,12 @@ def test_first_per_group_and_topn(spark):
     assert first == {1: "a", 2: "z"}
     top = R.top_n_per_group(df, ["g"], [F.col("o").desc()], 2, "r").collect()
     assert sorted((r.g, r.o) for r in top) == [(1, 2), (1, 3), (2, 5)]
+
+
+def test_with_replacement_sample_is_partition_independent(spark):
+    df = spark.range(0, 20000)
+    a = R.hash_sample_with_replacement(df.repartition(3), "id", 0.5).groupBy("id").count()
+    b = R.hash_sample_with_replacement(df.repartition(7), "id", 0.5).groupBy("id").count()
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    n = R.hash_sample_with_replacement(df, "id", 0.5).count()
+    assert 9000 < n < 11000
