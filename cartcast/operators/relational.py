@@ -220,3 +220,21 @@ def hash_sample_with_replacement(df: DataFrame, key: str, fraction: float,
     return (df.withColumn("_k", k).filter(F.col("_k") > 0)
               .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_k"))))
               .drop("_k"))
+
+
+def hash_sample_by(df: DataFrame, stratum: str, key: str, fractions: Mapping[object, float],
+                   salt: int = 0) -> DataFrame:
+    """Approximate stratified sample (O11), repeatable: a row is kept when its
+    hash falls under its stratum's fraction (strata not listed are dropped)."""
+    s = F.col(stratum)
+    frac = F.lit(0.0)
+    for k, f in fractions.items():
+        frac = F.when(s == F.lit(k), F.lit(float(f))).otherwise(frac)
+    return df.filter(hash_unit(key, salt) < frac)
+
+
+def hash_normal(key, salt: int = 0) -> Column:
+    """Standard normal value from a key (O15), repeatable: Box–Muller over
+    two independent hash uniforms."""
+    u1, u2 = hash_unit(key, salt + 1), hash_unit(key, salt + 2)
+    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * 3.141592653589793 * u2)

@@ -522,3 +522,21 @@ def hash_sample_replacement(spark, sf):
     """O9, repeatable form: Poisson(0.5) copies per order from its hash."""
     o = Tables(spark, sf).orders.select("o_orderkey")
     return R.hash_sample_with_replacement(o, "o_orderkey", 0.5)
+
+
+@query("hash_stratified_approx", f"""
+SELECT o_orderkey, o_orderstatus FROM orders
+WHERE {R.hash_unit_sql('o_orderkey', 0)} < CASE o_orderstatus WHEN 'F' THEN 0.1 WHEN 'O' THEN 0.5 WHEN 'P' THEN 0.2 ELSE 0.0 END""")
+def hash_stratified_approx(spark, sf):
+    """O11, repeatable form of ``sampleBy``."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus")
+    return R.hash_sample_by(o, "o_orderstatus", "o_orderkey", {"F": 0.1, "O": 0.5, "P": 0.2})
+
+
+@query("hash_normal", f"""
+SELECT o_orderkey, ROUND(SQRT(-2.0 * LN({R.hash_unit_sql('o_orderkey', 1)})) * COS(2.0 * 3.141592653589793 * {R.hash_unit_sql('o_orderkey', 2)}), 9) AS z
+FROM orders""")
+def hash_normal_q(spark, sf):
+    """O15, repeatable form: a standard normal value per order."""
+    o = Tables(spark, sf).orders.select("o_orderkey")
+    return o.select("o_orderkey", F.round(R.hash_normal("o_orderkey"), 9).alias("z"))

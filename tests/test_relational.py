@@ -58,3 +58,9 @@ def test_with_replacement_sample_is_partition_independent(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     n = R.hash_sample_with_replacement(df, "id", 0.5).count()
     assert 9000 < n < 11000
+
+
+def test_hash_normal_moments(spark):
+    z = spark.range(0, 50000).select(R.hash_normal("id").alias("z"))
+    m = z.agg(F.avg("z").alias("m"), F.stddev("z").alias("s")).first()
+    assert abs(m.m) < 0.03 and abs(m.s - 1) < 0.03
