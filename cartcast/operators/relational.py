@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 # Lehmer (MINSTD) multiplier and modulus for the row hash.
 HASH_MULT = 48271
 HASH_MOD = 2147483647
+SALT_STEP = 1000003
 
 
 def _col(c) -> Column:
@@ -24,13 +25,18 @@ def _col(c) -> Column:
 def hash_unit(key, salt: int = 0) -> Column:
     """Deterministic, well-mixed value in (0, 1) from an integer key.
 
-    Three rounds of the Lehmer generator on ``1 + (key + salt) mod (M - 1)``;
-    every product stays below 2^47, so there is no overflow, and the same
-    arithmetic is written in the SQL twins.
+    Lehmer (MINSTD) rounds on ``1 + (key + salt·P) mod (M - 1)``, with an
+    xorshift between them: Lehmer steps alone are linear mod M, so streams
+    for different salts would be shifted copies of each other; the xorshift
+    makes them independent. Every product stays below 2^47 (no overflow),
+    and the same arithmetic is written in the SQL twins.
     """
     m = F.lit(HASH_MOD)
-    x = F.pmod(_col(key).cast("long") + F.lit(salt), F.lit(HASH_MOD - 1)) + F.lit(1)
-    for _ in range(3):
+    x = F.pmod(_col(key).cast("long") + F.lit(salt * SALT_STEP), F.lit(HASH_MOD - 1)) + F.lit(1)
+    for _ in range(2):
+        x = F.pmod(x * F.lit(HASH_MULT), m)
+    x = F.pmod(x.bitwiseXOR(F.shiftright(x, 16)), F.lit(HASH_MOD - 1)) + F.lit(1)
+    for _ in range(2):
         x = F.pmod(x * F.lit(HASH_MULT), m)
     return x / F.lit(float(HASH_MOD))
 
@@ -38,8 +44,11 @@ def hash_unit(key, salt: int = 0) -> Column:
 def hash_unit_sql(key: str, salt: int = 0) -> str:
     """SQL twin of ``hash_unit`` (for the oracle queries)."""
     m, a = HASH_MOD, HASH_MULT
-    x = f"((((({key} + {salt}) % {m - 1}) + {m - 1}) % {m - 1}) + 1)"
-    for _ in range(3):
+    x = f"((((({key} + {salt * SALT_STEP}) % {m - 1}) + {m - 1}) % {m - 1}) + 1)"
+    for _ in range(2):
+        x = f"({x} * {a} % {m})"
+    x = f"((xor({x}, ({x}) >> 16) % {m - 1}) + 1)"
+    for _ in range(2):
         x = f"({x} * {a} % {m})"
     return f"({x} / {float(m)})"
 

@@ -64,3 +64,11 @@ def test_hash_normal_moments(spark):
     z = spark.range(0, 50000).select(R.hash_normal("id").alias("z"))
     m = z.agg(F.avg("z").alias("m"), F.stddev("z").alias("s")).first()
     assert abs(m.m) < 0.03 and abs(m.s - 1) < 0.03
+
+
+def test_salted_streams_independent(spark):
+    """The split (salt 1) of rows kept by a 5 % sample (salt 0) is still ~80/20."""
+    df = spark.range(0, 200000)
+    kept = df.filter(R.hash_unit("id", 0) < 0.05)
+    share = kept.agg(F.avg((R.hash_unit("id", 1) < 0.8).cast("double"))).first()[0]
+    assert abs(share - 0.8) < 0.03
