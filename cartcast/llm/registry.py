@@ -5,11 +5,13 @@ from __future__ import annotations
 from .langid import op2_language_id
 from .quality import op4_quality_rules
 from .simhash import op3_simhash_near_dedup
+from .toxicity import op10_toxicity
 
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
