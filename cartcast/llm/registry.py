@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from .bpe import op5_bpe
 from .langid import op2_language_id
+from .packing import op8_best_fit_packing
 from .quality import op4_quality_rules
+from .repair import op7_token_files
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op10_toxicity
 
@@ -11,6 +14,9 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_bpe": op5_bpe,
+    "op7_token_files": op7_token_files,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op10_toxicity": op10_toxicity,
 }
 
