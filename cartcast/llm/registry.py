@@ -8,6 +8,7 @@ from .packing import op8_best_fit_packing
 from .quality import op4_quality_rules
 from .repair import op7_token_files
 from .simhash import op3_simhash_near_dedup
+from .sketch import op6_document_fingerprints
 from .toxicity import op10_toxicity
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_bpe": op5_bpe,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_token_files": op7_token_files,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_toxicity": op10_toxicity,
