@@ -9,9 +9,11 @@ from .quality import op4_quality_rules
 from .repair import op7_token_files
 from .simhash import op3_simhash_near_dedup
 from .sketch import op6_document_fingerprints
+from .suffixes import op1_suffix_dedup
 from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
