@@ -7,6 +7,7 @@ from .langid import op2_language_id
 from .packing import op8_best_fit_packing
 from .quality import op4_quality_rules
 from .repair import op7_token_files
+from .rollups import OP9_SQL, op9_token_counts
 from .simhash import op3_simhash_near_dedup
 from .sketch import op6_document_fingerprints
 from .suffixes import op1_suffix_dedup
@@ -21,7 +22,8 @@ QUERIES = {
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_token_files": op7_token_files,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_token_counts": OP9_SQL}

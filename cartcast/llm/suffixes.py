@@ -467,8 +467,9 @@ def suffix_dedup(docs: DataFrame, with_text: bool = False, carry: tuple[str, ...
                  block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per document.
 
-    ``with_text`` adds ``kept`` (binary, the remaining bytes), and ``carry``
-    names columns of ``docs`` to pass through.
+    ``with_text`` adds ``kept`` (binary, the remaining bytes) and ``kept_text``
+    (without bytes that no longer form a character), and ``carry`` names
+    columns of ``docs`` to pass through.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        *[F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)])
@@ -479,7 +480,7 @@ def suffix_dedup(docs: DataFrame, with_text: bool = False, carry: tuple[str, ...
               T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
               T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     if with_text:
-        fields.append(T.StructField("kept", T.BinaryType()))
+        fields += [T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType())]
 
     def remove(table: pa.Table, marked: pa.Table) -> pa.Table:
         block = _block(table)
@@ -495,11 +496,13 @@ def suffix_dedup(docs: DataFrame, with_text: bool = False, carry: tuple[str, ...
             n_removed.append(int(g.sum()))
             n_spans.append(int((g[1:] & ~g[:-1]).sum() + g[:1].sum()))
             sha.append(hashlib.sha256(rest).hexdigest())
-            kept.append(rest)
+            if with_text:
+                kept.append(rest)
         table = table.take(block.order)
         cols = [table["doc_id"], *[table[f"carry_{i}"] for i in range(len(carry))],
                 pa.array(block.ends - block.starts), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()),
-                pa.array(sha, pa.string()), *([pa.array(kept, pa.binary())] if with_text else [])]
+                pa.array(sha, pa.string()), *([pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())]
+                  if with_text else [])]
         return pa.Table.from_arrays(cols, names=[f.name for f in fields])
 
     # one shuffle of the texts serves all three uses of the blocks
