@@ -57,6 +57,20 @@ def crc_of_id(col="doc_id"):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
 
 
+def by_bytes(batches, most: int = 8 << 20):
+    """Arrow batches joined into tables of about ``most`` bytes, so that work
+    per batch is shared by many short texts and few long ones."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= most:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def arrow_rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     """Rows (tuples in schema order) as one Arrow batch."""
     cols = list(zip(*rows)) if rows else [()] * len(schema)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
-from .common import documents, keyed_text, prepare, saved
+from .common import by_bytes, documents, keyed_text, prepare, saved
 
 CAPACITY = 2048
 PIECES_PER_TASK = 100_000
@@ -153,7 +153,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
 
     def run(batches):
         coder = tokens.loaded(path)
-        for b in batches:
+        for b in by_bytes(batches):
             rows = []
             for d, ids in zip(b.column(0).to_pylist(), coder.encode(b.column(1).to_pylist())):
                 ids += end

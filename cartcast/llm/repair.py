@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import documents, keyed_text, prepare, saved
+from .common import by_bytes, documents, keyed_text, prepare, saved
 
 SHARD_TOKENS = 1_000_000
-ROUNDS = 4
-PAIRS_PER_ROUND = 8192
+ROUNDS = 3
+PAIRS_PER_ROUND = 16384
 SLOT_BITS = 17
 LEAST_USES = 4
 FIRST_RULE = 1 << 17  # above every vocabulary id
@@ -85,12 +85,18 @@ def compress(seq: np.ndarray, last: np.ndarray, rounds: int = ROUNDS,
         rank = rank[at]
         hit = chosen[rank] == keys[at]
         at, rank = at[hit], rank[hit]
-        # of overlapping occurrences the more frequent pair wins, then the left
-        left = np.zeros(len(at), bool)
-        left[1:] = (at[1:] == at[:-1] + 1) & (rank[:-1] <= rank[1:])
-        right = np.zeros(len(at), bool)
-        right[:-1] = (at[1:] == at[:-1] + 1) & (rank[1:] < rank[:-1])
-        win = ~left & ~right
+        # in a run of one pair every other occurrence counts; of overlapping
+        # occurrences of two pairs the more frequent wins
+        repeat = np.zeros(len(at), bool)
+        repeat[1:] = (at[1:] == at[:-1] + 1) & (rank[1:] == rank[:-1])
+        if repeat.any():
+            index = np.arange(len(at))
+            odd = (index - np.maximum.accumulate(np.where(repeat, 0, index))) % 2 == 1
+            at, rank = at[~odd], rank[~odd]
+        near = at[1:] == at[:-1] + 1
+        win = np.ones(len(at), bool)
+        win[1:] &= ~(near & (rank[:-1] < rank[1:]))
+        win[:-1] &= ~(near & (rank[1:] < rank[:-1]))
         at, rank = at[win], rank[win]
         uses = np.bincount(rank, minlength=len(chosen))
         paid = uses >= LEAST_USES
@@ -162,7 +168,7 @@ def token_shards(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS) -
     def run(batches):
         coder, part, shard = tokens.loaded(path), TaskContext.get().partitionId(), 0
         ids, data, held = [], [], 0
-        for b in batches:
+        for b in by_bytes(batches):
             for d, i in zip(b.column(0).to_pylist(), coder.encode(b.column(1).to_pylist())):
                 ids.append(d)
                 data.append(i + end)

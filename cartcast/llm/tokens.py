@@ -15,15 +15,20 @@ import os
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-GENERATION = 400_000
+GENERATION = 700_000
 # ASCII without control characters, Latin letters, common punctuation
 _UNUSUAL = re.compile("[^\\t\\n\\r\\x20-\\x7e¡-¬®-ȷ–-―‘-„…€]")
 # Fixed value: the split pattern of byte-level BPE.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Marks of keys that are no plain unit (control characters: in no unit)
-_START, _PIECE = "\x01", "\x02"
+_START, _PIECE, _LINE = "\x01", "\x02", " \x03"
+_BREAKS = re.compile("[\\t\\n\\r\\x20]\\n|\\n[\\t\\n\\r\\x20]|\\n$")
+_MARKS = frozenset(".,;:!?")
 _DOUBLE_SPACE = re.compile("[\\t\\n\\r\\x20]\\x20")
 
 
@@ -43,20 +48,21 @@ class UnitTokenizer:
             spec = json.load(f)["pre_tokenizer"]
         self.pieces = regex.compile(
             spec["pretokenizers"][0]["pattern"]["Regex"] if self.words else BYTE_LEVEL)
+        self.marks = {m: self._piece(m) for m in _MARKS}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _units(self, text: str) -> list[str] | None:
-        """Units of a text, or None where the whole text must be encoded."""
-        if "<|" in text or _UNUSUAL.search(text):
-            return None
+    def _plain(self, text: str) -> bool:
+        """Whether cutting at spaces is safe (else the library has it whole)."""
+        return not ("<|" in text or _UNUSUAL.search(text) or (not self.words and _DOUBLE_SPACE.search(text)))
+
+    def _units(self, texts: list[str]) -> pa.ListArray:
+        """The units of plain texts; all but a text's first follow a space."""
         if self.words:
-            return text.lower().split()
-        if _DOUBLE_SPACE.search(text):
-            return None
-        units = text.split(" ")  # a unit stands for itself after a space
-        units[0] = _START + units[0]
-        return units
+            return pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+        # a line break between two non-spaces starts a unit too
+        texts = [t if _BREAKS.search(t) else t.replace("\n", _LINE) for t in texts]
+        return pc.split_pattern(pa.array([_START + t for t in texts], pa.large_string()), " ")
 
     def _learn(self, units: set[str]) -> None:
         """Bring units missing from the young generation into it."""
@@ -69,8 +75,14 @@ class UnitTokenizer:
             if known is None:
                 if u.isalpha():
                     known = one(lead + u)
+                elif u[-1:] in _MARKS and u[:-1].isalpha():
+                    # a word and one mark are two pieces
+                    known = young.get(u[:-1]) or old.get(u[:-1])
+                    if known is None:
+                        known = young[u[:-1]] = one(lead + u[:-1])
+                    known += self.marks[u[-1]]
                 else:
-                    whole = u[1:] if u[:1] == _START else lead + u
+                    whole = u[1:] if u[:1] == _START else "\n" + u[1:] if u[:1] == _LINE[1] else lead + u
                     known = b""
                     for w in self.pieces.findall(whole):
                         ids = young.get(_PIECE + w) or old.get(_PIECE + w)
@@ -90,16 +102,35 @@ class UnitTokenizer:
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [self._units(t) if t else [] for t in texts]
-        known = self.young.get
-        got = [None if p is None else list(map(known, p)) for p in parts]
-        holes = [[i for i, x in enumerate(g) if x is None] if g else () for g in got]
-        self._learn({p[i] for p, h in zip(parts, holes) for i in h})
+        out: list[bytes] = [b""] * len(texts)
+        plain = []
+        for i, t in enumerate(texts):
+            if t and self._plain(t):
+                plain.append(i)
+            elif t:
+                out[i] = self._whole(t)
+        units = self._units([texts[i] for i in plain])
+        coded = units.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.young.get, distinct))
+        holes = [i for i, x in enumerate(known) if x is None]
+        self._learn({distinct[i] for i in holes})
         young = self.young
-        for p, g, h in zip(parts, got, holes):
-            for i in h:
-                g[i] = young[p[i]]
-        return [self._whole(t) if g is None else b"".join(g) for t, g in zip(texts, got)]
+        for i in holes:
+            known[i] = young[distinct[i]]
+        # gather every unit's ids from one table of the distinct units' ids
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        table = np.frombuffer(b"".join(known), "<u4")
+        at = coded.indices.to_numpy()
+        size = sizes[at]
+        ends = np.cumsum(size)
+        first = np.cumsum(sizes) - sizes
+        total = int(ends[-1]) if len(ends) else 0
+        ids = table[np.repeat(first[at] - (ends - size), size) + np.arange(total)].tobytes()
+        bounds = 4 * np.concatenate([[0], ends])[units.offsets.to_numpy()]
+        for i, s, e in zip(plain, bounds[:-1].tolist(), bounds[1:].tolist()):
+            out[i] = ids[s:e]
+        return out
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
