@@ -1,8 +1,8 @@
 """Relational operators: joins, per-group picks, sampling, indexing (J*, A*, O*).
 
-Sampling and splitting are keyed by an arithmetic hash of a row key, so the
+Sampling and splitting are keyed by a salted digest of a row key, so the
 result does not depend on partitioning or retries (quirk Q17), and the same
-arithmetic is writable in any SQL dialect.
+digest is writable in other SQL dialects.
 """
 
 from __future__ import annotations
@@ -12,10 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Lehmer (MINSTD) multiplier and modulus for the row hash.
-HASH_MULT = 48271
-HASH_MOD = 2147483647
-SALT_STEP = 1000003
+HASH_BITS = 52  # hex digits of the digest that a double holds exactly
 
 
 def _col(c) -> Column:
@@ -23,34 +20,22 @@ def _col(c) -> Column:
 
 
 def hash_unit(key, salt: int = 0) -> Column:
-    """Deterministic, well-mixed value in (0, 1) from an integer key.
+    """Deterministic, well-mixed value in (0, 1) from a key of any simple type.
 
-    Lehmer (MINSTD) rounds on ``1 + (key + salt·P) mod (M - 1)``, with an
-    xorshift between them: Lehmer steps alone are linear mod M, so streams
-    for different salts would be shifted copies of each other; the xorshift
-    makes them independent. Every product stays below 2^47 (no overflow),
-    and the same arithmetic is written in the SQL twins.
+    The leading 52 bits of the MD5 digest of ``"<salt>:<key>"``: salt and key
+    are one message, so streams of different salts are unrelated for any pair
+    of keys, whole 64-bit keys (and strings) count, and the same digest exists
+    in other SQL dialects. A null key gives null.
     """
-    m = F.lit(HASH_MOD)
-    x = F.pmod(_col(key).cast("long") + F.lit(salt * SALT_STEP), F.lit(HASH_MOD - 1)) + F.lit(1)
-    for _ in range(2):
-        x = F.pmod(x * F.lit(HASH_MULT), m)
-    x = F.pmod(x.bitwiseXOR(F.shiftright(x, 16)), F.lit(HASH_MOD - 1)) + F.lit(1)
-    for _ in range(2):
-        x = F.pmod(x * F.lit(HASH_MULT), m)
-    return x / F.lit(float(HASH_MOD))
+    text = F.concat(F.lit(f"{int(salt)}:"), _col(key).cast("string"))
+    digits = F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10)
+    return (digits.cast("long") + F.lit(0.5)) / F.lit(float(1 << HASH_BITS))
 
 
 def hash_unit_sql(key: str, salt: int = 0) -> str:
     """SQL twin of ``hash_unit`` (for the oracle queries)."""
-    m, a = HASH_MOD, HASH_MULT
-    x = f"((((({key} + {salt * SALT_STEP}) % {m - 1}) + {m - 1}) % {m - 1}) + 1)"
-    for _ in range(2):
-        x = f"({x} * {a} % {m})"
-    x = f"((xor({x}, ({x}) >> 16) % {m - 1}) + 1)"
-    for _ in range(2):
-        x = f"({x} * {a} % {m})"
-    return f"({x} / {float(m)})"
+    digits = f"CAST(('0x' || md5('{int(salt)}:' || CAST({key} AS VARCHAR))[1:{HASH_BITS // 4}]) AS BIGINT)"
+    return f"(({digits} + 0.5::DOUBLE) / {float(1 << HASH_BITS)!r}::DOUBLE)"
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, salt: int = 0) -> DataFrame:
@@ -149,17 +134,20 @@ def first_per_group(df: DataFrame, group: Sequence[str], order_cols: Sequence[st
 
 
 def dense_index(df: DataFrame, order_col: str, out: str = "idx",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, tie: str | None = None) -> DataFrame:
     """Consecutive 0-based index in ``order_col`` order, without a global window.
 
     Range-partition, then index = rows in earlier partitions + position in
     the partition. The per-partition counts are one row per partition. The
     partitioned rows are checkpointed (shared ``spark.checkpoint.dir``) so
-    both passes see the same partitioning, and lineage is cut.
+    both passes see the same partitioning, and lineage is cut. ``tie`` orders
+    and spreads rows of equal ``order_col`` (default: a hash of the row).
     """
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    parted = (df.repartitionByRange(n, F.col(order_col))
-                .sortWithinPartitions(order_col)
+    breaker = F.col(tie) if tie else F.xxhash64(*[F.col(c) for c in df.columns])
+    parted = (df.withColumn("_tie", breaker)
+                .repartitionByRange(n, F.col(order_col), F.col("_tie"))
+                .sortWithinPartitions(order_col, "_tie").drop("_tie")
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
     pid = F.shiftright(F.col("_mid"), 33)
@@ -205,9 +193,11 @@ def global_running_sum(df: DataFrame, order_col: str, value_col: str,
 def poisson_thresholds(mean: float, tol: float = 1e-12) -> list[float]:
     """CDF of Poisson(mean) at k = 0, 1, … until within ``tol`` of 1."""
     import math
-    out, p, k = [], math.exp(-mean), 0
-    c = p
-    while 1.0 - c > tol and k < 200:
+    p, k = math.exp(-mean), 0
+    if mean < 0 or p == 0.0:
+        raise ValueError(f"mean {mean} has no Poisson table (exp(-mean) underflows)")
+    out, c = [], p
+    while 1.0 - c > tol and p > 0.0:
         out.append(c)
         k += 1
         p *= mean / k

@@ -58,24 +58,30 @@ def first_purchase_table(orders: DataFrame, comments: DataFrame, users: DataFram
                  .join(lvl, "orderId", "left"))
 
 
+def pair_key():
+    """One key per (user, product) pair for hashing."""
+    return F.concat_ws("-", F.col("userId").cast("string"), F.col("productId").cast("string"))
+
+
 def model_input(features: DataFrame, neg_fraction: float = 0.05,
                 train_fraction: float = 0.8, salt: int = 0) -> DataFrame:
-    """Model preparation (L4): keep all positives and a repeatable share of
-    negatives, one-hot the categorical columns, assemble, min-max scale and
-    tag an 80/20 split. Returns (userId, productId, label, features, split)."""
-    key = F.col("userId") * F.lit(1000003) + F.col("productId")
-    f = features.withColumn("_key", key)
-    f = R.rebalance(f, "label", "_key", neg_fraction, salt)
+    """Model preparation (L4): an 80/20 split first; negatives of the training
+    part are thinned to a repeatable share, the test part keeps every row;
+    categorical columns are one-hot encoded, all are assembled, and the min-max
+    scaler is fitted on the training part only.
+    Returns (userId, productId, label, features, split)."""
+    f = R.hash_split(features.withColumn("_key", pair_key()), "_key",
+                     [train_fraction, 1 - train_fraction], salt + 1, "split")
+    train = R.rebalance(f.filter(F.col("split") == 0), "label", "_key", neg_fraction, salt)
     cats = ["segment", "grade"]
-    nums = [c for c in f.columns if c not in (*ID_COLS, "_key", *cats)]
+    nums = [c for c in f.columns if c not in (*ID_COLS, "_key", "split", *cats)]
     stages = [OneHotEncoder(inputCols=cats, outputCols=[f"{c}_vec" for c in cats], dropLast=True,
                             handleInvalid="keep"),
               VectorAssembler(inputCols=nums + [f"{c}_vec" for c in cats], outputCol="raw",
                               handleInvalid="keep"),
               MinMaxScaler(inputCol="raw", outputCol="features")]
-    fitted = Pipeline(stages=stages).fit(f)
-    out = fitted.transform(f)
-    out = R.hash_split(out, "_key", [train_fraction, 1 - train_fraction], salt + 1, "split")
+    fitted = Pipeline(stages=stages).fit(train)
+    out = fitted.transform(train.unionByName(f.filter(F.col("split") == 1)))
     return out.select(*ID_COLS, "features", "split")
 
 

@@ -49,10 +49,10 @@ def first_purchase_table(spark, sf):
 
 
 @query("model_input", "WITH pf AS (" + _purchase_features_sql() + f"""),
-k AS (SELECT label, userId * 1000003 + productId AS key FROM pf),
-kept AS (SELECT * FROM k WHERE label > 0 OR {_hs('key', 0)} < 0.05)
-SELECT CASE WHEN {_hs('key', 1)} < 0.8 THEN 0 ELSE 1 END AS split, COUNT(*) AS n,
-       CAST(SUM(CASE WHEN label > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_pos FROM kept GROUP BY 1""")
+k AS (SELECT label, userId || '-' || productId AS key FROM pf),
+t AS (SELECT label, key, CASE WHEN {_hs('key', 1)} < 0.8 THEN 0 ELSE 1 END AS split FROM k)
+SELECT split, COUNT(*) AS n, CAST(SUM(CASE WHEN label > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_pos
+FROM t WHERE split = 1 OR label > 0 OR {_hs('key', 0)} < 0.05 GROUP BY 1""")
 def model_input(spark, sf):
     mi = J.model_input(purchase_features_df(spark, sf))
     return mi.groupBy("split").agg(F.count(F.lit(1)).alias("n"),

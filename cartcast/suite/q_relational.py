@@ -189,25 +189,22 @@ def join_left_dim(spark, sf):
 
 
 @query("join_sql_left", """
-WITH morder AS (
-  SELECT o.o_custkey AS userId, l.l_partkey AS productId, o.o_orderkey AS orderId,
-         CAST(strftime(o.o_orderdate, '%Y%m') AS INTEGER) AS month, CAST(day(o.o_orderdate) AS INTEGER) AS day
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
-temp AS (SELECT userId, productId, month, MIN(day) AS day FROM morder WHERE month = 200101 GROUP BY 1, 2, 3)
-SELECT t.userId, t.productId, t.day, o.orderId FROM temp t LEFT JOIN morder o
-  ON t.userId = o.userId AND t.productId = o.productId AND t.month = o.month AND t.day = o.day""")
+WITH lines AS (
+  SELECT o.o_custkey AS userId, l.l_partkey AS productId, o.o_orderkey AS orderId, o.o_orderdate AS d
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE o.o_orderdate >= TIMESTAMP '2001-01-01' AND o.o_orderdate < TIMESTAMP '2001-02-01')
+SELECT userId, productId, CAST(day(d) AS INTEGER) AS day, orderId
+FROM lines QUALIFY CAST(d AS DATE) = MIN(CAST(d AS DATE)) OVER (PARTITION BY userId, productId)""")
 def join_sql_left(spark, sf):
-    """J4 / L3 first step; the month is part of the key (quirk Q11 fixed)."""
-    t = Tables(spark, sf)
-    ol = C.order_log(t).select("userId", "productId", "orderId",
-                               month_key("orderDate").alias("month"),
-                               F.dayofmonth("orderDate").alias("day"))
-    v = _view(ol, "morder")
-    return spark.sql(f"""
-      WITH temp AS (SELECT userId, productId, month, MIN(day) AS day FROM {v}
-                    WHERE month = 200101 GROUP BY userId, productId, month)
-      SELECT t.userId, t.productId, t.day, o.orderId FROM temp t LEFT JOIN {v} o
-        ON t.userId = o.userId AND t.productId = o.productId AND t.month = o.month AND t.day = o.day""")
+    """J4 / L3 first step: the orders of each pair's first purchase day in the
+    month, as a SQL left join on a date range that reaches the scan."""
+    lines = C.order_log(Tables(spark, sf)).filter(
+        "orderDate >= date'2001-01-01' and orderDate < date'2001-02-01'")
+    return spark.sql("""
+      SELECT f.userId, f.productId, dayofmonth(f.firstDate) AS day, l.orderId
+      FROM (SELECT userId, productId, min(orderDate) AS firstDate FROM {lines} GROUP BY userId, productId) f
+      LEFT JOIN {lines} l
+        ON l.userId = f.userId AND l.productId = f.productId AND l.orderDate = f.firstDate""", lines=lines)
 
 
 @query("join_view_table", """
@@ -289,7 +286,7 @@ SELECT COUNT(DISTINCT o_custkey) AS buyers FROM orders
 WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < TIMESTAMP '2001-02-01'""")
 def distinct_in_month(spark, sf):
     o = Tables(spark, sf).orders
-    m = o.filter(month_key("o_orderdate") == 200101)
+    m = o.filter("o_orderdate >= timestamp_ntz'2001-01-01' and o_orderdate < timestamp_ntz'2001-02-01'")
     return m.agg(F.count_distinct("o_custkey").alias("buyers"))
 
 

@@ -72,3 +72,29 @@ def test_salted_streams_independent(spark):
     kept = df.filter(R.hash_unit("id", 0) < 0.05)
     share = kept.agg(F.avg((R.hash_unit("id", 1) < 0.8).cast("double"))).first()[0]
     assert abs(share - 0.8) < 0.03
+
+
+def test_salted_streams_are_not_shifted_copies(spark):
+    """hash(k, s) is no hash(k + j, t) for any small shift, nor for the shift
+    that a salt times a constant would give; halves of 64-bit keys count."""
+    n = 3000
+    df = spark.range(0, n).select("id", *[R.hash_unit(F.col("id") + off, s).alias(f"s{s}_{k}")
+                                          for s in (0, 1, 2) for k, off in enumerate((0, 1, 1000003, 1 << 31, (1 << 31) - 2, 1 << 40))])
+    pdf = df.toPandas().drop(columns="id")
+    values = {c: set(pdf[c]) for c in pdf}
+    for a in values:
+        for b in values:
+            if a[:2] < b[:2]:
+                assert not values[a] & values[b], (a, b)
+        assert len(values[a]) == n
+    corr = pdf.corr().abs().to_numpy().copy()
+    corr[range(len(corr)), range(len(corr))] = 0
+    assert corr.max() < 0.1
+
+
+def test_poisson_table_of_large_means():
+    import pytest
+    t = R.poisson_thresholds(250.0)
+    assert len(t) > 300 and abs(t[-1] - 1) < 1e-9 and t == sorted(t)
+    with pytest.raises(ValueError):
+        R.poisson_thresholds(800.0)
