@@ -1,4 +1,8 @@
-"""Drive streaming queries to completion over staged files (availableNow).
+"""Drive streaming queries to completion with ``trigger(availableNow=True)``.
+
+A stream reads the given table itself. Where several micro-batches are the
+point, :class:`Arrivals` writes the table once, partitioned by slice, and moves
+one slice after another into the watched folder (a rename, no copy).
 
 Sinks are idempotent by batch id: complete mode overwrites, update mode
 appends rows tagged with the batch id and readers keep the latest row per
@@ -17,17 +21,6 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 
-def stage_slices(df: DataFrame, path: str, slices: Sequence[Column],
-                 fmt: str = "parquet", files_per_slice: int = 2) -> int:
-    """Write ``df`` as consecutive slices (one write per slice, in order), so
-    a file stream with ``maxFilesPerTrigger=files_per_slice`` sees one slice
-    per micro-batch. Returns ``files_per_slice``. Fixture staging only."""
-    for cond in slices:
-        part = df.filter(cond).repartition(files_per_slice)
-        part.write.mode("append").format(fmt).save(path)
-    return files_per_slice
-
-
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                 files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.format(fmt).schema(schema)
@@ -36,6 +29,56 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return r.load(path)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a file stream. The table may be one file or a folder
+    of files; a pattern is a valid stream path for either."""
+    base = f"{sf_dir.rstrip('/')}/{name}"
+    return read_stream(spark, f"{base}.parque[t]", spark.read.parquet(f"{base}.parquet").schema)
+
+
+class Arrivals:
+    """Rows that reach a watched folder slice by slice."""
+
+    def __init__(self, df: DataFrame, slice_of: Column, name: str = "arrivals"):
+        self.spark = df.sparkSession
+        self.schema = df.schema
+        self.staged = scratch_path(self.spark, f"{name}-staged")
+        self.folder = scratch_path(self.spark, f"{name}-in")
+        df.withColumn("_slice", slice_of.cast("int")).write.partitionBy("_slice").parquet(self.staged)
+        self._fs().mkdirs(self._path(self.folder))
+        found = [s.getPath().getName() for s in self._fs().listStatus(self._path(self.staged))]
+        self.slices = sorted(int(n.split("=")[1]) for n in found if n.startswith("_slice="))
+
+    def _path(self, p: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(p)
+
+    def _fs(self):
+        return self._path(self.staged).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def deliver(self, i: int) -> None:
+        if not self._fs().rename(self._path(f"{self.staged}/_slice={i}"), self._path(f"{self.folder}/slice-{i}")):
+            raise RuntimeError(f"slice {i} could not be delivered")
+
+    def stream(self) -> DataFrame:
+        return (self.spark.readStream.schema(self.schema).option("recursiveFileLookup", "true")
+                .parquet(self.folder))
+
+
+def drain(start: Callable, arrivals: Arrivals | None = None, done: Callable[[], bool] | None = None) -> None:
+    """Run a query over what is there, or slice by slice on one checkpoint.
+    ``start()`` starts it. Once ``done()`` the query is not started again, and
+    what has not been delivered stays undelivered."""
+    for i in (arrivals.slices if arrivals else [None]):
+        if arrivals:
+            arrivals.deliver(i)
+        q = start()
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        if done and done():
+            break
+
+
 def start_with_partitions(writer, spark: SparkSession, state_partitions: int | None):
     """Start a streaming query with an explicit number of state (shuffle)
     partitions. Streaming plans get no AQE coalescing and the count is fixed
@@ -53,9 +96,9 @@ def start_with_partitions(writer, spark: SparkSession, state_partitions: int | N
 def run_to_table(stream: DataFrame, mode: str, keys: Sequence[str] | None = None,
                  name: str = "stream", checkpoint: str | None = None,
                  batch_fn: Callable[[DataFrame, int], DataFrame] | None = None,
-                 state_partitions: int | None = None) -> DataFrame:
-    """Run ``stream`` with ``trigger(availableNow=True)`` and return the final
-    result as a batch DataFrame read from the sink.
+                 state_partitions: int | None = None, arrivals: Arrivals | None = None) -> DataFrame:
+    """Run ``stream`` to the end of its input (of ``arrivals``, slice by
+    slice) and return the final result as a batch DataFrame read from the sink.
 
     ``complete``: each batch overwrites the sink. ``update``: rows are
     appended with ``_batch`` and the latest row per ``keys`` wins.
@@ -75,14 +118,11 @@ def run_to_table(stream: DataFrame, mode: str, keys: Sequence[str] | None = None
             (b.withColumn("_batch", F.lit(batch_id))
               .write.mode("overwrite").parquet(f"{out}/_batch_dir={batch_id}"))
 
-    writer = (stream.writeStream.outputMode("complete" if mode == "complete" else
-                                            ("update" if mode == "update" else "append"))
-                    .foreachBatch(sink).option("checkpointLocation", ckpt)
-                    .trigger(availableNow=True))
-    q = start_with_partitions(writer, spark, state_partitions)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    def start():
+        writer = (stream.writeStream.outputMode(mode).foreachBatch(sink)
+                  .option("checkpointLocation", ckpt).trigger(availableNow=True))
+        return start_with_partitions(writer, spark, state_partitions)
+    drain(start, arrivals)
     if mode == "complete":
         return spark.read.parquet(out)
     res = spark.read.parquet(out).drop("_batch_dir")

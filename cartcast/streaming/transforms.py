@@ -72,14 +72,15 @@ def with_error_line(df: DataFrame, key: str = "zip", threshold: float = 0.05) ->
                                   .otherwise(F.format_string("%s: %s", k, r)))
 
 
-def active_users(views: DataFrame, ts: str, length: str, slide: str,
-                 exact: bool = True) -> DataFrame:
-    """Distinct users per window (T10). Exact uses a per-window set (bounded
-    by the distinct users of that window); ``exact=False`` uses a fixed-size
-    HyperLogLog sketch for very wide windows."""
-    w = F.window(F.col(ts), length, check_slide(length, slide))
-    n = F.size(F.collect_set("user")) if exact else F.approx_count_distinct("user")
-    return views.groupBy(w.alias("w")).agg(n.cast("long").alias("users"))
+def window_users(views: DataFrame, ts: str, length: str, slide: str) -> DataFrame:
+    """Views per window and user: one small state row each, spread over the
+    state partitions, however many users a window has."""
+    return windowed_counts(views, ts, length, slide, ["user"])
+
+
+def active_users(pairs: DataFrame) -> DataFrame:
+    """Distinct users per window (T10) from one row per window and user."""
+    return pairs.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("users"))
 
 
 def grep_count(lines: DataFrame, needle: str, col: str = "value") -> DataFrame:
@@ -93,6 +94,15 @@ def drop_stopwords(word_rows: DataFrame, stop: DataFrame, col: str = "word") ->
     return word_rows.join(F.broadcast(stop), col, "left_anti")
 
 
+def stopword_counts(word_rows: DataFrame, stop: DataFrame, col: str = "word") -> DataFrame:
+    """Kept and dropped rows in one pass (T16): counts per kept word, and one
+    row with a null word that counts the rows dropped."""
+    marked = word_rows.join(F.broadcast(stop.select(col, F.lit(True).alias("stop"))), col, "left")
+    word = F.when(F.col("stop").isNull(), F.col(col))
+    return (marked.groupBy(word.alias(col), F.col("stop").isNotNull().alias("dropped"))
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
 def modulo_counts(df: DataFrame, col: str, m: int = 10) -> DataFrame:
     return df.groupBy((F.col(col) % m).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -103,6 +113,7 @@ def window_bounds(c: str = "w") -> list[Column]:
             F.col(f"{c}.end").cast("timestamp_ntz").alias("window_end")]
 
 
+# The dashboard's metric names.
 DASHBOARD_METRICS = ("pageCounts", "slidingPageCounts", "errorRatePerZipCode",
                      "activeUserCount", "popularUsersSeen")
 
@@ -112,7 +123,8 @@ def dashboard(views: DataFrame, metric: str, users: DataFrame | None = None,
     """Click-stream dashboard (L8): one of five metrics selected by name.
 
     ``views`` has (ts, url, status, zip, user); ``users`` (user, name) is the
-    static table for ``popularUsersSeen``.
+    static table for ``popularUsersSeen``. ``activeUserCount`` gives one row
+    per window and user, which :func:`active_users` counts.
     """
     if metric == "pageCounts":
         return views.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
@@ -121,9 +133,12 @@ def dashboard(views: DataFrame, metric: str, users: DataFrame | None = None,
     if metric == "errorRatePerZipCode":
         return error_rate(views, ts, "30 seconds", "2 seconds")
     if metric == "activeUserCount":
-        return active_users(views, ts, "15 seconds", "2 seconds")
+        return window_users(views, ts, "15 seconds", "2 seconds")
     if metric == "popularUsersSeen":
         if users is None:
             raise ValueError("popularUsersSeen needs a users table")
-        return views.select("user").join(users, "user").select("user", "name").dropDuplicates(["user"])
+        seen = views.select(ts, "user").join(users, "user").select(ts, "user", "name")
+        if seen.isStreaming:  # state is dropped as the watermark passes
+            return seen.dropDuplicatesWithinWatermark(["user"]).select("user", "name")
+        return seen.select("user", "name").dropDuplicates(["user"])
     raise ValueError(f"invalid metric {metric!r}; one of {DASHBOARD_METRICS}")
