@@ -375,7 +375,7 @@ def _sgd_sql(logistic: bool) -> str:
     margin = "a * x0 + b * x1 + c * x2 + o"
     pred = f"1 / (1 + EXP(-({margin})))" if logistic else margin
     return "WITH RECURSIVE " + ",\n".join(parts) + f"""
-SELECT k, ROUND(y, 6) AS y, ROUND({pred}, 4) AS prediction FROM d, w{n}"""
+SELECT k, y, ROUND({pred}, 4) AS prediction FROM d, w{n}"""
 
 
 def _sgd_stream(spark, sf, logistic: bool):
@@ -385,7 +385,7 @@ def _sgd_stream(spark, sf, logistic: bool):
     model = _run_model(spark, parts, lambda store: ON.StreamingSGD(3, SGD_STEP, logistic, steps, store))
     # predictions on a second stream
     second = _sgd_rows(SimpleNamespace(lineitem=RN.table_stream(spark, sf, "lineitem")), logistic)
-    scored = second.select("k", F.round("y", 6).alias("y"), F.round(model.predict_col("x"), 4).alias("prediction"))
+    scored = second.select("k", "y", F.round(model.predict_col("x"), 4).alias("prediction"))
     return RN.run_to_table(scored, "append", name="sgd-predict").select("k", "y", "prediction")
 
 
