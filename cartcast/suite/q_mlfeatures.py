@@ -144,16 +144,15 @@ def bucketize(spark, sf):
     return b.transform(e).drop("value")
 
 
-@query("quantile_bucket", "SELECT 4 AS n_buckets, 0 AS overlaps")
+@query("quantile_bucket", """
+WITH q AS (SELECT quantile_disc(value, 0.25) AS a, quantile_disc(value, 0.5) AS b, quantile_disc(value, 0.75) AS c FROM events),
+t AS (SELECT value, CAST((value >= a)::INT + (value >= b)::INT + (value >= c)::INT AS DOUBLE) AS bucket FROM events, q)
+SELECT bucket, COUNT(*) AS n, MIN(value) AS lo, MAX(value) AS hi FROM t GROUP BY bucket""")
 def quantile_bucket(spark, sf):
-    """Approximate-quantile buckets; checked by count and order (no overlap)."""
+    """Quantile buckets with exact boundaries (E13): size and range of each."""
     e = Tables(spark, sf).events.select("value")
-    b = QuantileDiscretizer(numBuckets=4, relativeError=0.001, inputCol="value", outputCol="b").fit(e).transform(e)
-    g = b.groupBy("b").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    w = Window.orderBy("b")  # one row per bucket
-    g = g.withColumn("next_lo", F.lead("lo").over(w))
-    return g.agg(F.count(F.lit(1)).cast("int").alias("n_buckets"),
-                 F.sum(F.when(F.col("hi") >= F.col("next_lo"), 1).otherwise(0)).cast("int").alias("overlaps"))
+    b = QuantileDiscretizer(numBuckets=4, relativeError=0.0, inputCol="value", outputCol="bucket").fit(e).transform(e)
+    return b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
 
 
 @query("elementwise_product", f"""
@@ -185,74 +184,132 @@ def interaction(spark, sf):
 
 
 @query("dct_vectors", """
-SELECT vec_id, ROUND(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 9) AS energy
+SELECT vec_id, list_transform(range(64), lambda k: ROUND(
+  (CASE WHEN k = 0 THEN SQRT(1.0 / 64) ELSE SQRT(2.0 / 64) END) * list_sum(list_transform(range(64),
+   lambda j: CAST(embedding[j + 1] AS DOUBLE) * COS(PI() / 64 * (j + 0.5) * k))), 6) + 0.0) AS dct
 FROM embeddings""")
 def dct_vectors(spark, sf):
-    """Orthonormal DCT-II of each embedding; energy is preserved."""
+    """Orthonormal DCT-II of each embedding."""
     e = Tables(spark, sf).embeddings
     v = e.select("vec_id", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("v"))
     d = DCT(inverse=False, inputCol="v", outputCol="d").transform(v)
-    a = vector_to_array("d")
-    return d.select("vec_id", F.round(F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x), 9).alias("energy"))
+    return d.select("vec_id", F.transform(vector_to_array("d"), lambda x: F.round(x, 6) + F.lit(0.0)).alias("dct"))
 
 
-@query("pca_project", "SELECT vec_id, 3 AS dim FROM embeddings")
+_PCA_STEPS = 400
+
+
+def _pca_sql(k: int = 3) -> str:
+    """Leading variances of the covariance matrix by power iteration and
+    deflation (recursive CTEs over one row that holds the matrix)."""
+    parts = ["""x AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS v FROM embeddings, range(64) r(i))""",
+             """m AS (SELECT vec_id, i, v - AVG(v) OVER (PARTITION BY i) AS v FROM x)""",
+             """n AS (SELECT COUNT(*) AS n FROM embeddings)""",
+             """c AS (SELECT a.i, b.i AS j, SUM(a.v * b.v) / (MAX(n.n) - 1) AS s FROM m a JOIN m b ON a.vec_id = b.vec_id, n GROUP BY 1, 2)""",
+             """r AS (SELECT i, list(s ORDER BY j) AS row FROM c GROUP BY i)""",
+             """m0 AS (SELECT list(row ORDER BY i) AS mat, list_sum(list(row[i + 1])) AS trace FROM r)"""]
+    for p in range(k):
+        parts.append(f"""p{p} AS (SELECT 0 AS step, list_transform(range(64), lambda j: 1.0 + (j * 7 % 13) / 13.0) AS v, 0.0::DOUBLE AS l
+  UNION ALL SELECT step + 1, list_transform(w, lambda y: y / SQRT(list_dot_product(w, w))), SQRT(list_dot_product(w, w))
+  FROM (SELECT step, list_transform(mat, lambda q: list_dot_product(q, v)) AS w FROM p{p}, m{p} WHERE step < {_PCA_STEPS}))""")
+        parts.append(f"""m{p + 1} AS (SELECT list_transform(range(64), lambda i: list_transform(range(64),
+   lambda j: mat[i + 1][j + 1] - l * v[i + 1] * v[j + 1])) AS mat, trace FROM m{p}, p{p} WHERE step = {_PCA_STEPS})""")
+    rows = " UNION ALL ".join(f"SELECT {p} AS component, ROUND(l, 3) AS variance, ROUND(l / trace, 3) AS share "
+                              f"FROM p{p}, m0 WHERE step = {_PCA_STEPS}" for p in range(k))
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + rows
+
+
+@query("pca_project", _pca_sql())
 def pca_project(spark, sf):
+    """The projection's variance along each of the three leading
+    components, and its share of the total."""
     e = Tables(spark, sf).embeddings.select("vec_id", array_to_vector("embedding").alias("v"))
     m = PCA(k=3, inputCol="v", outputCol="pc").fit(e)
-    return m.transform(e).select("vec_id", F.size(vector_to_array("pc")).alias("dim"))
-
-
-@query("r_formula", "SELECT c_custkey, CAST(c_nationkey AS DOUBLE) AS label, 5 AS width FROM customer")
+    pc = m.transform(e).select(F.posexplode(vector_to_array("pc")).alias("component", "value"))
+    shares = {i: float(x) for i, x in enumerate(m.explainedVariance)}
+    share = F.create_map(*[F.lit(x) for kv in shares.items() for x in kv])
+    return (pc.groupBy("component").agg(F.round(F.var_samp("value"), 3).alias("variance"))
+            .select(F.col("component").cast("int").alias("component"), "variance",
+                    F.round(share[F.col("component")], 3).alias("share")))
+
+
+@query("r_formula", """
+WITH f AS (SELECT c_mktsegment AS seg, row_number() OVER (ORDER BY COUNT(*) DESC, c_mktsegment) - 1 AS idx FROM customer GROUP BY 1)
+SELECT c_custkey, CAST(c_nationkey AS DOUBLE) AS label,
+  list_concat(list_transform(range((SELECT COUNT(*) - 1 FROM f)), lambda i: CASE WHEN i = f.idx THEN 1.0 ELSE 0.0 END::DOUBLE),
+              [c_acctbal]) AS features
+FROM customer JOIN f ON seg = c_mktsegment""")
 def r_formula(spark, sf):
+    """Label, dummies of the category (by falling frequency, the last one
+    dropped) and the number."""
     c = Tables(spark, sf).customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
-    f = RFormula(formula="c_nationkey ~ c_mktsegment + c_acctbal").fit(c)
-    out = f.transform(c)
-    return out.select("c_custkey", "label", F.size(vector_to_array("features")).alias("width"))
-
-
-@query("chi_select", f"SELECT {_KEY}, 2 AS width FROM lineitem")
+    out = RFormula(formula="c_nationkey ~ c_mktsegment + c_acctbal").fit(c).transform(c)
+    return out.select("c_custkey", "label", vector_to_array("features").alias("features"))
+
+
+@query("chi_select", f"""
+WITH v AS (SELECT {_KEY}, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS y,
+  [CASE WHEN l_linenumber > 3 THEN 1.0 ELSE 0.0 END, CASE WHEN l_discount > 0.05 THEN 1.0 ELSE 0.0 END,
+   CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.0 END]::DOUBLE[] AS x FROM lineitem),
+l AS (SELECT i, x[i] AS a, y, COUNT(*) AS o FROM v, range(1, 4) r(i) GROUP BY ALL),
+s AS (SELECT i, SUM(o * o / (ra * rb / n)) - MAX(n) AS stat FROM (
+  SELECT i, o, SUM(o) OVER (PARTITION BY i, a) AS ra, SUM(o) OVER (PARTITION BY i, y) AS rb, SUM(o) OVER (PARTITION BY i) AS n FROM l) GROUP BY i),
+top AS (SELECT list(i ORDER BY i) AS keep FROM (SELECT i FROM s ORDER BY stat DESC LIMIT 2))
+SELECT {_KEY}, list_transform(keep, lambda i: x[i]) AS selected FROM v, top""")
 def chi_select(spark, sf):
+    """The two features of largest chi-square (all have one degree of
+    freedom, so the order of the p-values is that of the statistics)."""
     li = Tables(spark, sf).lineitem
-    f = li.select("l_orderkey", "l_linenumber",
-                  F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label"),
-                  F.col("l_linenumber").cast("double").alias("a"),
-                  (F.col("l_discount") * 100).cast("double").alias("b"),
-                  F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.0).alias("c"))
+
+    def flag(cond):
+        return F.when(cond, 1.0).otherwise(0.0)
+    f = li.select("l_orderkey", "l_linenumber", flag(F.col("l_returnflag") == "R").alias("label"),
+                  flag(F.col("l_linenumber") > 3).alias("a"), flag(F.col("l_discount") > 0.05).alias("b"),
+                  flag(F.col("l_linestatus") == "F").alias("c"))
     v = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(f)
     sel = UnivariateFeatureSelector(featuresCol="features", outputCol="sel", labelCol="label",
                                     selectionMode="numTopFeatures")
     sel.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(2)
     out = sel.fit(v).transform(v)
-    return out.select("l_orderkey", "l_linenumber", F.size(vector_to_array("sel")).alias("width"))
+    return out.select("l_orderkey", "l_linenumber", vector_to_array("sel").alias("selected"))
 
 
 _TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '\\W'), lambda x: len(x) > 0)"
 
 
-@query("tokenize", f"SELECT doc_id, CAST(len({_TOKENS_SQL}) AS INTEGER) AS n_tokens FROM documents")
+def _digest(tokens):
+    """md5 of the tokens joined by spaces: order and content in one value."""
+    return F.md5(F.array_join(tokens, " ").cast("binary"))
+
+
+@query("tokenize", f"""
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, md5(array_to_string(t, ' ')) AS digest
+FROM (SELECT doc_id, {_TOKENS_SQL} AS t FROM documents)""")
 def tokenize(spark, sf):
     d = regex_tokens(Tables(spark, sf).documents.select("doc_id", "text"))
-    return d.select("doc_id", F.size("tokens").alias("n_tokens"))
+    return d.select("doc_id", F.size("tokens").alias("n_tokens"), _digest("tokens").alias("digest"))
 
 
 _STOP_SQL = "[" + ", ".join(f"'{w}'" for w in CUSTOM_STOPWORDS) + "]"
 
 
 @query("remove_stopwords", f"""
-SELECT doc_id, CAST(len(list_filter({_TOKENS_SQL}, lambda x: NOT list_contains({_STOP_SQL}, x))) AS INTEGER) AS n_words
-FROM documents""")
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_words, md5(array_to_string(t, ' ')) AS digest
+FROM (SELECT doc_id, list_filter({_TOKENS_SQL}, lambda x: NOT list_contains({_STOP_SQL}, x)) AS t FROM documents)""")
 def remove_stopwords(spark, sf):
     d = regex_tokens(Tables(spark, sf).documents.select("doc_id", "text"))
     r = StopWordsRemover(inputCol="tokens", outputCol="words", stopWords=CUSTOM_STOPWORDS)
-    return r.transform(d).select("doc_id", F.size("words").alias("n_words"))
+    return r.transform(d).select("doc_id", F.size("words").alias("n_words"), _digest("words").alias("digest"))
 
 
-@query("ngrams", f"SELECT doc_id, CAST(GREATEST(len({_TOKENS_SQL}) - 1, 0) AS INTEGER) AS n_bigrams FROM documents")
+@query("ngrams", f"""
+SELECT doc_id, CAST(GREATEST(len(t) - 1, 0) AS INTEGER) AS n_bigrams,
+  md5(array_to_string(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]), ' ')) AS digest
+FROM (SELECT doc_id, {_TOKENS_SQL} AS t FROM documents)""")
 def ngrams(spark, sf):
     d = regex_tokens(Tables(spark, sf).documents.select("doc_id", "text"))
     g = NGram(n=2, inputCol="tokens", outputCol="bigrams").transform(d)
-    return g.select("doc_id", F.size("bigrams").alias("n_bigrams"))
+    return g.select("doc_id", F.size("bigrams").alias("n_bigrams"), _digest("bigrams").alias("digest"))
 
 
 @query("count_vectorize", f"""
@@ -268,11 +325,25 @@ def count_vectorize(spark, sf):
     return total.select(F.lit(len(m.vocabulary)).alias("vocab_size"), F.col("t").alias("in_vocab_tokens"))
 
 
-@query("hashing_tf", f"SELECT doc_id, CAST(len({_TOKENS_SQL}) AS DOUBLE) AS total FROM documents")
+@query("hashing_tf", f"""
+WITH t AS (SELECT doc_id, list_distinct({_TOKENS_SQL}) AS d, {_TOKENS_SQL} AS a FROM documents)
+SELECT doc_id, CAST(len(a) AS DOUBLE) AS total, TRUE AS terms_ok FROM t""")
 def hashing_tf(spark, sf):
+    """Per document, the hashed counts add up to its tokens, and the
+    buckets in use are the distinct indices that its distinct tokens hash to."""
     d = regex_tokens(Tables(spark, sf).documents.select("doc_id", "text"))
-    h = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 12).transform(d)
-    return h.select("doc_id", F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda s, x: s + x).alias("total"))
+    tf = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 12)
+    h = tf.transform(d)
+    # every token again on its own, through the same transformer
+    own = tf.transform(d.select("doc_id", F.explode(F.array_distinct("tokens")).alias("t"))
+                       .select("doc_id", F.array("t").alias("tokens")))
+    bucket = own.select("doc_id", F.array_position(vector_to_array("tf"), 1.0).alias("b"))
+    seen = bucket.groupBy("doc_id").agg(F.count_distinct("b").alias("n"))
+    used = F.size(F.filter(vector_to_array("tf"), lambda x: x > 0))
+    out = h.select("doc_id", F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda s, x: s + x).alias("total"),
+                   used.alias("used"))
+    return out.join(seen, "doc_id", "left").select(
+        "doc_id", "total", (F.col("used") == F.coalesce("n", F.lit(0))).alias("terms_ok"))
 
 
 @query("tf_idf", f"""
@@ -289,13 +360,20 @@ def tf_idf(spark, sf):
     return df_.select("term", "df", F.round(F.log((F.lit(m) + 1.0) / (F.col("df") + 1.0)), 9).alias("idf"))
 
 
-@query("idf_vectors", f"SELECT doc_id, CAST(len({_TOKENS_SQL}) AS INTEGER) AS n_tokens FROM documents")
+@query("idf_vectors", f"""
+WITH t AS (SELECT doc_id, {_TOKENS_SQL} AS t FROM documents),
+v AS (SELECT unnest({_STOP_SQL}) AS w, generate_subscripts({_STOP_SQL}, 1) AS i),
+tf AS (SELECT doc_id, i, CAST(len(list_filter(t, lambda x: x = w)) AS DOUBLE) AS n FROM t, v),
+df AS (SELECT i, SUM(CASE WHEN n > 0 THEN 1 ELSE 0 END) AS df, COUNT(*) AS m FROM tf GROUP BY i)
+SELECT doc_id, list(ROUND(n * CASE WHEN df >= 2 THEN LN((m + 1.0) / (df + 1.0)) ELSE 0 END, 9) ORDER BY i) AS tfidf
+FROM tf JOIN df USING (i) GROUP BY doc_id""")
 def idf_vectors(spark, sf):
-    """HashingTF → IDF(minDocFreq=2) over whole documents; checked by row identity."""
+    """Counts over a given vocabulary, weighted by IDF(minDocFreq=2)."""
+    from pyspark.ml.feature import CountVectorizerModel
     d = regex_tokens(Tables(spark, sf).documents.select("doc_id", "text"))
-    h = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 12).transform(d)
+    h = CountVectorizerModel.from_vocabulary(CUSTOM_STOPWORDS, inputCol="tokens", outputCol="tf").transform(d)
     w = IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2).fit(h).transform(h)
-    return w.select("doc_id", F.size("tokens").alias("n_tokens"))
+    return w.select("doc_id", F.transform(vector_to_array("tfidf"), lambda x: F.round(x, 9)).alias("tfidf"))
 
 
 @query("word2vec_doc")
