@@ -18,6 +18,9 @@ meet in one task, without sending every suffix of the corpus through a shuffle:
    first symbols from left to right. Common prefixes of neighbours of at least
    ``LENGTH`` give the classes of equal strings, and each class the smallest
    document it starts in.
+   An anchor that occurs in more than ``HOT_BLOCKS`` blocks (a common phrase)
+   is routed twice, with the bytes to its right and with those to its left,
+   each for the windows that hold these bytes, so it spreads over buckets.
 4. *Removal.* A block learns, per distinct surrounding, which of its windows
    start in a smaller document elsewhere, and removes them.
 
@@ -52,6 +55,13 @@ WIDTH = LEFT + LENGTH        # bytes of an anchor's surroundings
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 SEGMENT = 1 << 19
+HOT_BLOCKS = 64              # an anchor in more blocks is routed by more bytes
+TASK_WINDOWS = 20_000        # surroundings whose suffixes are sorted at a time
+# Bytes of a surrounding that its windows share, and the windows' numbers: all
+# windows hold the anchor's gram; half of them also the bytes to its right
+# (side 1), the others those to its left (side 2).
+HALF = LEFT // 2
+SIDES = ((LEFT, LEFT + GRAM, 0, SPAN), (LEFT, HALF + LENGTH, HALF, SPAN), (HALF, LEFT + GRAM, 0, HALF))
 LOWEST = -(1 << 63)          # stands for a null doc_id
 
 _BYTE = np.array([xxhash.xxh64_intdigest(bytes([i]), 1) for i in range(256)], np.uint64)
@@ -131,6 +141,12 @@ class Block:
         out[clipped] *= (col >= LEFT - left[clipped, None].astype(int)) & (col < LEFT + right[clipped, None].astype(int))
         return out, left, right
 
+    def surrounding_hashes(self, at: np.ndarray) -> np.ndarray:
+        out = np.empty(len(at), np.uint64)
+        for i in range(0, len(at), 50_000):
+            out[i:i + 50_000] = surrounding_hash(*self.surroundings(at[i:i + 50_000]))
+        return out
+
 
 def surrounding_hash(rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """64-bit hash of surroundings with their clipping."""
@@ -148,6 +164,16 @@ def bucket_of(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
     return ((hashes * _ODD[8]) >> np.uint64(32)).astype(np.int64) % n_buckets
 
 
+def bytes_hash(rows: np.ndarray, side: int) -> np.ndarray:
+    """64-bit hash of the bytes that the windows of a side share."""
+    lo, hi, _, _ = SIDES[side]
+    h = np.zeros(len(rows), np.uint64)
+    for c in range(lo, hi):
+        h = (h ^ _BYTE[rows[:, c]]) * _ODD[9]
+        h ^= h >> np.uint64(31)
+    return h
+
+
 def _pack(a: np.ndarray) -> bytes:
     return pa.compress(np.ascontiguousarray(a).tobytes(), codec="zstd", asbytes=True)
 
@@ -180,8 +206,8 @@ def _by_bucket(bucket: np.ndarray, n_buckets: int):
 SIEVE = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int64()),
                    ("hashes", pa.binary()), ("several", pa.binary())])
 SIEVE_DDL = "bucket int, block long, n long, hashes binary, several binary"
-KNOWN = pa.schema([("block", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary())])
-KNOWN_DDL = "block long, n long, hashes binary"
+KNOWN = pa.schema([("block", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary()), ("hot", pa.binary())])
+KNOWN_DDL = "block long, n long, hashes binary, hot binary"
 
 
 def _block(table: pa.Table) -> Block:
@@ -205,26 +231,35 @@ def send_anchors(table: pa.Table, n_buckets: int) -> pa.Table:
     return pa.Table.from_pylist(rows, schema=SIEVE)
 
 
-def answer_anchors(table: pa.Table) -> pa.Table:
-    """For every block, those of its anchors that two documents have."""
+def answer_anchors(table: pa.Table, hot_blocks: int) -> pa.Table:
+    """For every block, those of its anchors that two documents have, and
+    which of them more than ``hot_blocks`` blocks have."""
     rows = table.to_pylist()
     hashes = [_from_planes(r["hashes"], r["n"]) for r in rows]
-    several = [np.unpackbits(_unpack(r["several"], np.uint8, -(-r["n"] // 8)))[:r["n"]].astype(bool) for r in rows]
+    several = [_bits(r["several"], r["n"]) for r in rows]
     every = np.sort(np.concatenate([*hashes, *[h[s] for h, s in zip(hashes, several)]]))
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+    count = np.diff(first, append=len(every))
+    twice, often = every[first[count > 1]], count[count > 1] > 2 * hot_blocks
     out = []
     for r, h in zip(rows, hashes):
         if len(twice):
-            kept = h[twice[np.minimum(np.searchsorted(twice, h), len(twice) - 1)] == h]
-            if len(kept):
-                out.append({"block": r["block"], "n": len(kept), "hashes": _pack(_planes(kept))})
+            at = np.minimum(np.searchsorted(twice, h), len(twice) - 1)
+            hit = twice[at] == h
+            if hit.any():
+                out.append({"block": r["block"], "n": int(hit.sum()), "hashes": _pack(_planes(h[hit])),
+                            "hot": _pack(np.packbits(often[at[hit]]))})
     return pa.Table.from_pylist(out, schema=KNOWN)
 
 
+def _bits(data: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(_unpack(data, np.uint8, -(-n // 8)))[:n].astype(bool)
+
+
 # -- surroundings ----------------------------------------------------------
-ROUTED = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("bytes", pa.binary()),
+ROUTED = pa.schema([("bucket", pa.int32()), ("side", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("bytes", pa.binary()),
                     ("left", pa.binary()), ("right", pa.binary()), ("least", pa.binary())])
-ROUTED_DDL = "bucket int, block long, n long, bytes binary, left binary, right binary, least binary"
+ROUTED_DDL = "bucket int, side int, block long, n long, bytes binary, left binary, right binary, least binary"
 
 
 def _distinct(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,19 +277,31 @@ def send_surroundings(table: pa.Table, known: pa.Table, n_buckets: int) -> pa.Ta
         return ROUTED.empty_table()
     block = _block(table)
     at, h = block.anchors()
-    alive = np.sort(np.concatenate([_from_planes(r["hashes"], r["n"]) for r in known.to_pylist()]))
-    hit = alive[np.minimum(np.searchsorted(alive, h), len(alive) - 1)] == h
-    at, h = at[hit], h[hit]
-    keys = np.empty(len(at), np.uint64)
-    for i in range(0, len(at), 50_000):
-        keys[i:i + 50_000] = surrounding_hash(*block.surroundings(at[i:i + 50_000]))
-    pick, least = _distinct(keys, block.ids[block.document_of(at)])
-    at, h = at[pick], h[pick]
+    answers = known.to_pylist()
+    alive = np.concatenate([_from_planes(r["hashes"], r["n"]) for r in answers])
+    often = np.concatenate([_bits(r["hot"], r["n"]) for r in answers])
+    order = np.argsort(alive)
+    alive, often = alive[order], often[order]
+    slot = np.minimum(np.searchsorted(alive, h), len(alive) - 1)
+    hit = alive[slot] == h
+    at, h, hot = at[hit], h[hit], often[slot[hit]]
+    pick, least = _distinct(block.surrounding_hashes(at), block.ids[block.document_of(at)])
+    at, h, hot = at[pick], h[pick], hot[pick]
     out = []
-    for b, i in _by_bucket(bucket_of(h, n_buckets), n_buckets):
-        rows, left, right = block.surroundings(at[i])
-        out.append({"bucket": b, "block": table["block"][0].as_py(), "n": len(i), "bytes": _pack(rows),
-                    "left": _pack(left), "right": _pack(right), "least": _pack(least[i])})
+
+    def send(some: np.ndarray, keys: np.ndarray, side: int):
+        for b, i in _by_bucket(bucket_of(keys, n_buckets), n_buckets):
+            i = some[i]
+            rows, left, right = block.surroundings(at[i])
+            out.append({"bucket": b, "side": side, "block": table["block"][0].as_py(), "n": len(i),
+                        "bytes": _pack(rows), "left": _pack(left), "right": _pack(right), "least": _pack(least[i])})
+    send(np.flatnonzero(~hot), h[~hot], 0)
+    some = np.flatnonzero(hot)
+    if len(some):
+        for side in (1, 2):
+            keys = np.concatenate([bytes_hash(block.surroundings(at[some[i:i + 50_000]])[0], side)
+                                   for i in range(0, len(some), 50_000)])
+            send(some, keys, side)
     return pa.Table.from_pylist(out, schema=ROUTED)
 
 
@@ -370,16 +417,42 @@ def common_prefixes(order: np.ndarray, words: np.ndarray, most: int) -> np.ndarr
     return np.minimum(out, most)
 
 
-def smallest_documents(rows: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray) -> np.ndarray:
+def smallest_documents(rows: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray,
+                       side: int = 0) -> np.ndarray:
     """(n, SPAN): the smallest document that has each window of distinct
-    surroundings; the largest integer where there is no window."""
+    surroundings; the largest integer where there is no window of this side.
+
+    Equal windows of a side share its bytes, so surroundings are taken by the
+    hash of those, about ``TASK_WINDOWS`` at a time.
+    """
+    keys = bytes_hash(rows, side)
+    order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    new = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64)
+    out = np.full((len(rows), SPAN), np.iinfo(np.int64).max)
+    at = 0
+    while at < len(order):
+        # up to the last new key within the size, or the first one after it
+        i = np.searchsorted(new, at + TASK_WINDOWS, side="right")
+        end = int(new[i - 1]) if i and new[i - 1] > at else int(new[i]) if i < len(new) else len(order)
+        if at + TASK_WINDOWS >= len(order):
+            end = len(order)
+        part = order[at:end]
+        out[part] = _sorted_windows(rows[part], left[part], right[part], least[part], side)
+        at = end
+    return out
+
+
+def _sorted_windows(rows, left, right, least, side) -> np.ndarray:
+    """smallest_documents of surroundings that are sorted together."""
     n = len(rows)
     col = np.arange(WIDTH)
     inside = (col >= LEFT - left[:, None].astype(int)) & (col < LEFT + right[:, None].astype(int))
     text = np.zeros((n, WIDTH + 1), np.uint16)
     text[:, :WIDTH] = (rows.astype(np.uint16) + 1) * inside
     begin = np.arange(SPAN)
-    window = (begin >= LEFT - left[:, None].astype(int)) & (begin + LENGTH <= LEFT + right[:, None].astype(int))
+    window = (begin >= LEFT - left[:, None].astype(int)) & (begin + LENGTH <= LEFT + right[:, None].astype(int)) \
+        & (begin >= SIDES[side][2]) & (begin < SIDES[side][3])
     wanted = np.zeros((n, WIDTH + 1), bool)
     wanted[:, :SPAN] = window
     flat = text.ravel()
@@ -399,14 +472,22 @@ MARKED_DDL = "block long, n long, keys binary, masks binary"
 def mark_windows(table: pa.Table) -> pa.Table:
     """Per block: surroundings with windows that start in a smaller document
     elsewhere, as (hash, bit per window)."""
-    sent = table.to_pylist()
+    out = []
+    for side in range(len(SIDES)):
+        sent = [r for r in table.to_pylist() if r["side"] == side]
+        if sent:
+            out += _mark_side(sent, side)
+    return pa.Table.from_pylist(out, schema=MARKED)
+
+
+def _mark_side(sent: list[dict], side: int) -> list[dict]:
     rows = np.concatenate([_unpack(r["bytes"], np.uint8, r["n"] * WIDTH).reshape(-1, WIDTH) for r in sent])
     left = np.concatenate([_unpack(r["left"], np.uint8, r["n"]) for r in sent])
     right = np.concatenate([_unpack(r["right"], np.uint8, r["n"]) for r in sent])
     least = np.concatenate([_unpack(r["least"], np.int64, r["n"]) for r in sent])
     keys = surrounding_hash(rows, left, right)
     pick, lowest, group = _groups(rows, left, right, least, keys)
-    best = smallest_documents(rows[pick], left[pick], right[pick], lowest)
+    best = smallest_documents(rows[pick], left[pick], right[pick], lowest, side)
     out, at = [], 0
     bits = np.uint32(1) << np.arange(SPAN, dtype=np.uint32)
     for r in sent:
@@ -418,7 +499,7 @@ def mark_windows(table: pa.Table) -> pa.Table:
             hit = hit[np.argsort(keys[part][hit])]
             out.append({"block": r["block"], "n": len(hit), "keys": _pack(_planes(keys[part][hit])),
                         "masks": _pack(masks[hit])})
-    return pa.Table.from_pylist(out, schema=MARKED)
+    return out
 
 
 def _groups(rows, left, right, least, keys):
@@ -441,14 +522,16 @@ def removed_bytes(block: Block, keys: np.ndarray, masks: np.ndarray) -> np.ndarr
     """Flag of every byte of a block that goes."""
     at, _ = block.anchors()
     starts = np.zeros(len(block.data) + LENGTH, bool)
-    own = np.empty(len(at), np.uint64)
-    for i in range(0, len(at), 50_000):
-        own[i:i + 50_000] = surrounding_hash(*block.surroundings(at[i:i + 50_000]))
+    own = block.surrounding_hashes(at)
     doc = block.document_of(at)
     pick, least = _distinct(own, block.ids[doc])
     later = block.ids[doc] > least[np.searchsorted(own[pick], own)]
     mask = np.where(later, np.uint32((1 << SPAN) - 1), np.uint32(0))
-    if len(keys):
+    if len(keys):  # a surrounding routed by both sides has two entries
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        keys, masks = keys[first], np.bitwise_or.reduceat(masks[order], first)
         slot = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
         mask |= np.where(keys[slot] == own, masks[slot], np.uint32(0))
     hit = np.flatnonzero(mask)
@@ -464,7 +547,8 @@ def removed_bytes(block: Block, keys: np.ndarray, masks: np.ndarray) -> np.ndarr
 
 
 def suffix_dedup(docs: DataFrame, with_text: bool = False, carry: tuple[str, ...] = (),
-                 block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES,
+                 hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per document.
 
     ``with_text`` adds ``kept`` (binary, the remaining bytes) and ``kept_text``
@@ -487,8 +571,7 @@ def suffix_dedup(docs: DataFrame, with_text: bool = False, carry: tuple[str, ...
         got = marked.to_pylist()
         keys = np.concatenate([np.empty(0, np.uint64), *[_from_planes(r["keys"], r["n"]) for r in got]])
         masks = np.concatenate([np.empty(0, np.uint32), *[_unpack(r["masks"], np.uint32, r["n"]) for r in got]])
-        order = np.argsort(keys)
-        gone = removed_bytes(block, keys[order], masks[order])
+        gone = removed_bytes(block, keys, masks)
         n_removed, n_spans, sha, kept = [], [], [], []
         for s, e in zip(block.starts.tolist(), block.ends.tolist()):
             g = gone[s:e]
@@ -508,7 +591,7 @@ def suffix_dedup(docs: DataFrame, with_text: bool = False, carry: tuple[str, ...
     # one shuffle of the texts serves all three uses of the blocks
     blocks = rows.groupBy("block")
     known = (blocks.applyInArrow(lambda t: send_anchors(t, n_buckets), SIEVE_DDL)
-             .groupBy("bucket").applyInArrow(answer_anchors, KNOWN_DDL))
+             .groupBy("bucket").applyInArrow(lambda t: answer_anchors(t, hot_blocks), KNOWN_DDL))
     routed = blocks.cogroup(known.groupBy("block")).applyInArrow(
         lambda t, k: send_surroundings(t, k, n_buckets), ROUTED_DDL)
     marked = routed.groupBy("bucket").applyInArrow(mark_windows, MARKED_DDL)

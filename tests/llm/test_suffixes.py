@@ -73,6 +73,23 @@ def test_equals_brute_force(make):
     assert rows_of(S.suffix_dedup(frame)) == want
     # many small blocks and buckets, segments shorter than a text
     assert rows_of(S.suffix_dedup(frame, block_bytes=300, bucket_bytes=700)) == want
+    # every repeated anchor is hot: routed by its right and its left bytes
+    assert rows_of(S.suffix_dedup(frame, block_bytes=300, bucket_bytes=700, hot_blocks=0)) == want
+
+
+def test_parts_of_a_bucket(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = rng.integers(97, 99, (300, S.WIDTH)).astype(np.uint8)
+    rows[100:200, 20:75] = rows[:100, 20:75]
+    rows[200:] = rows[rng.integers(0, 100, 100)]
+    rows = np.unique(rows, axis=0)
+    full = np.full(len(rows), S.LEFT, np.uint8), np.full(len(rows), S.LENGTH, np.uint8)
+    least = rng.permutation(len(rows))
+    for side in range(3):
+        whole = S.smallest_documents(rows, *full, least, side)
+        monkeypatch.setattr(S, "TASK_WINDOWS", 7)
+        assert (S.smallest_documents(rows, *full, least, side) == whole).all()
+        monkeypatch.undo()
 
 
 def test_segments(monkeypatch):
