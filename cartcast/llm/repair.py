@@ -32,7 +32,7 @@ from . import tokens
 from .common import by_bytes, documents, keyed_text, prepare, saved
 
 SHARD_TOKENS = 1_000_000
-ROUNDS = 3
+ROUNDS = 2
 PAIRS_PER_ROUND = 16384
 SLOT_BITS = 17
 LEAST_USES = 4

@@ -27,11 +27,15 @@ _UNUSUAL = re.compile("[^\\t\\n\\r\\x20-\\x7e¡-¬®-ȷ–-―‘-„…€]")
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Marks of keys that are no plain unit (control characters: in no unit)
 _START, _PIECE, _LINE = "\x01", "\x02", " \x03"
-_BREAKS = re.compile("[\\t\\n\\r\\x20]\\n|\\n[\\t\\n\\r\\x20]|\\n$")
 _MARKS = frozenset(".,;:!?")
 _DOUBLE_SPACE = re.compile("[\\t\\n\\r\\x20]\\x20")
 
 
+def _single_spaced(text: str) -> bool:
+    """No white space but single spaces and single line breaks."""
+    return not ("\t" in text or "\r" in text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text)
+
+
 class UnitTokenizer:
     """Little-endian 32-bit ids of texts, equal to the library's
     ``encode(text, add_special_tokens=False)``."""
@@ -54,14 +58,18 @@ class UnitTokenizer:
 
     def _plain(self, text: str) -> bool:
         """Whether cutting at spaces is safe (else the library has it whole)."""
-        return not ("<|" in text or _UNUSUAL.search(text) or (not self.words and _DOUBLE_SPACE.search(text)))
+        if "<|" in text:
+            return False
+        if not (text.isascii() and text.replace("\n", "").isprintable()) and _UNUSUAL.search(text):
+            return False
+        return self.words or _single_spaced(text) or not _DOUBLE_SPACE.search(text)
 
     def _units(self, texts: list[str]) -> pa.ListArray:
         """The units of plain texts; all but a text's first follow a space."""
         if self.words:
             return pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
-        # a line break between two non-spaces starts a unit too
-        texts = [t if _BREAKS.search(t) else t.replace("\n", _LINE) for t in texts]
+        # a line break without space beside it starts a unit too
+        texts = [t.replace("\n", _LINE) if _single_spaced(t) else t for t in texts]
         return pc.split_pattern(pa.array([_START + t for t in texts], pa.large_string()), " ")
 
     def _learn(self, units: set[str]) -> None:
