@@ -82,12 +82,19 @@ def latest_code_per_day(df: DataFrame, keys: Sequence[str], day_col: str, time_c
     Same result as ``one_per_day`` but as a plain ``max`` over one
     DECIMAL(38,0) key ``micros * 1e20 + order * 10 + code``: its buffer is
     mutable, so Spark runs a hash aggregate (partial + final) instead of
-    sorting every row by the group key.
+    sorting every row by the group key. A code or order out of range raises;
+    rows without a code say nothing and are left out, rows without an order
+    count as order 0.
     """
+    code, order = F.col(code_col), F.coalesce(F.col(order_col), F.lit(0))
+    df = df.filter(code.isNotNull())
+    checked = F.when(code.between(0, 9) & (order >= 0) & (order < F.lit(10 ** 18)), order * 10 + code).otherwise(
+        F.raise_error(F.concat(F.lit("code or order out of range: "), code.cast("string"), F.lit(", "),
+                               order.cast("string"))).cast("long"))
     d38 = "decimal(38,0)"
     key = (F.unix_micros(F.col(time_col).cast("timestamp")).cast(d38)
            * F.lit("100000000000000000000").cast(d38)
-           + (F.col(order_col) * 10 + F.col(code_col)).cast(d38))
+           + checked.cast(d38))
     g = df.groupBy(*keys, day_col).agg(F.max(key.cast(d38)).alias("_k"))
     return g.select(*keys, day_col, F.pmod(F.col("_k"), F.lit(10)).cast("int").alias(out))
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .relational import global_running_sum
+from .relational import global_running_sums
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -47,9 +47,9 @@ def binary_curve(df: DataFrame, score: str, label: str, num_bins: int | None = N
     g = df.groupBy(s.alias("threshold")).agg(F.sum(pos).cast("long").alias("p"),
                                               F.sum(1 - pos).cast("long").alias("n"))
     g = g.withColumn("neg_threshold", -F.col("threshold"))
-    cum = global_running_sum(g, "neg_threshold", "p", "tp")
-    cum = global_running_sum(cum, "neg_threshold", "n", "fp").drop("neg_threshold")
-    tot = g.agg(F.sum("p").alias("P"), F.sum("n").alias("N")).first()  # one-row scalars
+    # both sums and the totals come from one ordered pass
+    cum, tot = global_running_sums(g, "neg_threshold", {"p": "tp", "n": "fp"})
+    tot = {"P": tot["tp"], "N": tot["fp"]}
     b2 = beta * beta
     prec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = F.try_divide(F.col("tp"), F.lit(tot["P"]))
@@ -85,34 +85,35 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
 def multiclass_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Per label precision, recall, F1, FPR plus weighted averages and
     accuracy, in long form (metric, label, value) (V4, V7)."""
-    cm = confusion_matrix(df, label, pred)
-    total = cm.agg(F.sum("n")).first()[0]  # scalar
-    tp = cm.filter(F.col("label") == F.col("prediction")).select(F.col("label").alias("k"), F.col("n").alias("tp"))
-    by_label = cm.groupBy(F.col("label").alias("k")).agg(F.sum("n").alias("actual"))
-    by_pred = cm.groupBy(F.col("prediction").alias("k")).agg(F.sum("n").alias("predicted"))
-    per = (by_label.join(by_pred, "k", "full").join(tp, "k", "left").na.fill(0)
-                   .withColumn("total", F.lit(total)))
+    # the table is read once, into at most k * k cells; margins are sums of cells
+    cells = confusion_matrix(df, label, pred)
+    ends = F.array(F.struct(F.col("label").alias("k"), F.col("n").alias("actual"), F.lit(0).cast("long").alias("predicted"),
+                            F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("tp")),
+                   F.struct(F.col("prediction").alias("k"), F.lit(0).cast("long").alias("actual"),
+                            F.col("n").alias("predicted"), F.lit(0).cast("long").alias("tp")))
+    per = (cells.select(F.explode(ends).alias("e")).select("e.*").groupBy("k")
+           .agg(F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp"))
+           .withColumn("total", F.sum("actual").over(Window.partitionBy(F.lit(0)))))  # a row per class
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("actual") > 0, F.col("tp") / F.col("actual")).otherwise(0.0)
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
     fpr = (F.col("predicted") - F.col("tp")) / (F.col("total") - F.col("actual"))
     per = per.select("k", "actual", "total", prec.alias("precision"), rec.alias("recall"),
                      f1.alias("f1"), fpr.alias("fpr"), "tp")
-    long_rows = per.select(F.col("k").cast("double").alias("label"),
-                           F.expr("stack(4, 'precision', precision, 'recall', recall, 'f1', f1, 'fpr', fpr)")
-                           .alias("metric", "value"))
-    wgt = F.col("actual") / F.col("total")
-    summary = per.agg(F.sum(wgt * F.col("precision")).alias("weighted_precision"),
-                      F.sum(wgt * F.col("recall")).alias("weighted_recall"),
-                      F.sum(wgt * F.col("f1")).alias("weighted_f1"),
-                      F.sum(wgt * F.col("fpr")).alias("weighted_fpr"),
-                      (F.sum("tp") / F.first("total")).alias("accuracy"))
-    summary_long = summary.select(F.lit(None).cast("double").alias("label"), F.expr(
-        "stack(6, 'weighted_precision', weighted_precision, 'weighted_recall', weighted_recall, "
-        "'weighted_f1', weighted_f1, 'weighted_fpr', weighted_fpr, 'accuracy', accuracy, "
-        "'test_error', 1 - accuracy)")
-        .alias("metric", "value"))
-    return long_rows.unionByName(summary_long)
+    every = Window.partitionBy(F.lit(0))  # a row per class
+    share = F.col("actual") / F.col("total")
+    names = ("precision", "recall", "f1", "fpr")
+    whole = {f"weighted_{c}": F.sum(share * F.col(c)).over(every) for c in names}
+    whole["accuracy"] = F.sum("tp").over(every) / F.col("total")
+    per = per.withColumns(whole).withColumn("first", F.row_number().over(every.orderBy("k")) == 1)
+
+    def row(label, metric, value):
+        return F.struct(label.cast("double").alias("label"), F.lit(metric).alias("metric"),
+                        value.cast("double").alias("value"))
+    own = F.array(*[row(F.col("k"), c, F.col(c)) for c in names])
+    total = F.array(*[row(F.lit(None), c, F.col(c)) for c in whole],
+                    row(F.lit(None), "test_error", 1 - F.col("accuracy")))
+    return per.select(F.explode(F.when(F.col("first"), F.concat(own, total)).otherwise(own)).alias("r")).select("r.*")
 
 
 def multilabel_metrics(df: DataFrame, labels: str, preds: str) -> DataFrame:

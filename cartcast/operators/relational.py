@@ -163,13 +163,14 @@ def dense_index(df: DataFrame, order_col: str, out: str = "idx",
                   .drop("_mid", "_pid", "_off"))
 
 
-def global_running_sum(df: DataFrame, order_col: str, value_col: str,
-                       out: str = "running", num_partitions: int | None = None) -> DataFrame:
-    """Inclusive running sum of ``value_col`` in ``order_col`` order over the
-    whole frame, without a single-partition window.
+def global_running_sums(df: DataFrame, order_col: str, sums: Mapping[str, str],
+                        num_partitions: int | None = None) -> tuple[DataFrame, dict]:
+    """Inclusive running sums (``value column -> result column``) in
+    ``order_col`` order over the whole frame, without a single-partition
+    window, and the grand totals.
 
     Range-partition on the order column, take per-partition totals (one row
-    per partition), turn them into offsets, and add each row's running sum
+    per partition), turn them into offsets, and add each row's running sums
     inside its own partition. Rows are checkpointed to the shared
     ``spark.checkpoint.dir`` so both passes see the same partitioning.
     Ties in ``order_col`` should be pre-aggregated by the caller.
@@ -178,16 +179,27 @@ def global_running_sum(df: DataFrame, order_col: str, value_col: str,
     parted = (df.repartitionByRange(n, F.col(order_col))
                 .withColumn("_pid", F.spark_partition_id())
                 .checkpoint(eager=True))
-    totals = parted.groupBy("_pid").agg(F.sum(value_col).alias("_t"))
-    offsets = totals.select(
-        "_pid", F.coalesce(F.sum("_t").over(
-            Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)).alias("_off"))
+    per_part = sorted(parted.groupBy("_pid").agg(*[F.sum(v).alias(o) for v, o in sums.items()]).collect(),
+                      key=lambda r: r["_pid"])  # one row per partition
+    before = dict.fromkeys(sums.values(), 0)
+    offsets = []
+    for r in per_part:
+        offsets.append((r["_pid"], *before.values()))
+        before = {o: x + (r[o] or 0) for o, x in before.items()}
+    kind = {o: dict(parted.agg(F.sum(v)).dtypes).popitem()[1] for v, o in sums.items()}
+    off = df.sparkSession.createDataFrame(
+        offsets, "_pid int, " + ", ".join(f"_off_{o} {kind[o]}" for o in sums.values()))
     w = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    return (parted.withColumn("_loc", F.sum(value_col).over(w))
-                  .join(F.broadcast(offsets), "_pid")
-                  .withColumn(out, F.col("_off") + F.col("_loc"))
-                  .drop("_pid", "_loc", "_off"))
+    out = parted.select("*", *[F.sum(v).over(w).alias(f"_loc_{o}") for v, o in sums.items()]) \
+        .join(F.broadcast(off), "_pid")
+    keep = [c for c in df.columns]
+    return out.select(*keep, *[(F.col(f"_off_{o}") + F.col(f"_loc_{o}")).alias(o) for o in sums.values()]), before
+
+
+def global_running_sum(df: DataFrame, order_col: str, value_col: str,
+                       out: str = "running", num_partitions: int | None = None) -> DataFrame:
+    """One running sum (see :func:`global_running_sums`)."""
+    return global_running_sums(df, order_col, {value_col: out}, num_partitions)[0]
 
 
 def poisson_thresholds(mean: float, tol: float = 1e-12) -> list[float]:

@@ -8,6 +8,8 @@ user    = customer, product = part
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,9 @@ STATUS_LEVELS = {"F": 1, "O": 2, "P": 3}
 SEGMENT_CODES = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
 
 ORDER_CUTOFF = "2001-01-01"
-ACTION_CUTOFF = "2024-01-25"
+# The events table lies 8424 days after the orders' calendar: action dates are
+# shifted back by this constant, so one cutoff holds for every feature.
+ACTION_SHIFT_DAYS = 8424
 
 
 def order_log(t: Tables, with_area: bool = False) -> DataFrame:
@@ -49,11 +53,16 @@ def order_products(t: Tables) -> DataFrame:
                       .distinct())
 
 
-def action_log(t: Tables) -> DataFrame:
+def action_log(t: Tables, before: str | None = None) -> DataFrame:
+    """Actions on the orders' calendar; ``before`` keeps those before a date,
+    as a bound on the raw time that reaches the scan."""
     e = t.events
+    if before:
+        end = dt.date.fromisoformat(before) + dt.timedelta(days=ACTION_SHIFT_DAYS)
+        e = e.filter(F.col("ts") < F.lit(end.isoformat()).cast(e.schema["ts"].dataType))
     return e.select(F.col("user_id").alias("userId"),
                     F.get_json_object("props", "$.k").cast("long").alias("productId"),
-                    F.to_date("ts").alias("actionDate"),
+                    F.date_sub(F.to_date("ts"), ACTION_SHIFT_DAYS).alias("actionDate"),
                     F.lit(1).alias("actionNum"),
                     F.coalesce(recode("event_type", ACTION_TYPES), F.lit(0)).alias("actionType"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -63,8 +64,12 @@ def comment_features(comments: DataFrame, order_products: DataFrame, cutoff: str
     (quirk Q6); comments less than 24 h before the cutoff are dropped (Q4);
     one comment per pair and day, the latest (time, order) wins (Q5).
     """
-    c = (comments.withColumn("d", elapsed_days(cutoff, "commentTime"))
-                 .filter(F.col("d") > 0))
+    # a whole day before the cutoff, as a bound on the raw column (an unknown
+    # time counts as very old, quirk Q2)
+    last = dt.date.fromisoformat(cutoff) - dt.timedelta(days=1)
+    limit = F.lit(last.isoformat()).cast(comments.schema["commentTime"].dataType)
+    c = (comments.filter((F.col("commentTime") <= limit) | F.col("commentTime").isNull())
+                 .withColumn("d", elapsed_days(cutoff, "commentTime")))
     op = order_products.select("orderId", "productId").distinct()
     joined = c.join(op, "orderId")
     per_day = latest_code_per_day(joined, PAIR, "d", "commentTime", "orderId", "scoreLevel",
@@ -90,7 +95,6 @@ def purchase_labels(orders: DataFrame, cutoff: str, policy: str = "first") -> Da
 def purchase_features(orders: DataFrame, order_products: DataFrame,
                       actions: DataFrame, comments: DataFrame,
                       users: DataFrame, products: DataFrame, cutoff: str,
-                      action_cutoff: str | None = None,
                       horizons: Sequence[int] = HORIZONS,
                       label_policy: str = "first") -> DataFrame:
     """Per-(user, product) feature row with label (L2).
@@ -104,7 +108,7 @@ def purchase_features(orders: DataFrame, order_products: DataFrame,
     """
     first = label_policy == "first"
     of = order_features(orders, cutoff, horizons, with_label=first)
-    af = action_features(actions, action_cutoff or cutoff, horizons)
+    af = action_features(actions, cutoff, horizons)
     cf = comment_features(comments, order_products, cutoff, horizons)
     out = (of.join(af, list(PAIR), "left")
              .join(cf, list(PAIR), "left")

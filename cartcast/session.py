@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -71,6 +72,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scratch/{name}-{uuid.uuid4().hex}"
 
 
+def saved_table(df, name: str):
+    """Write ``df`` to the shared scratch folder and read it back: cuts the
+    lineage and outlives a cache that is released."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -92,5 +101,6 @@ def ship_package(spark: SparkSession) -> None:
     out = tempfile.mkdtemp(prefix="cartcast-pyfiles-")
     archive = shutil.make_archive(os.path.join(out, "cartcast"), "zip",
                                   root_dir=os.path.dirname(pkg), base_dir="cartcast")
-    sc.addPyFile(archive)
+    sc.addPyFile(archive)  # served from here as long as the application runs
+    atexit.register(shutil.rmtree, out, True)
     _SHIPPED.add(sc.applicationId)

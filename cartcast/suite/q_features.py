@@ -27,7 +27,7 @@ def horizon_order_sums(spark, sf):
 @query("horizon_action_sums",
        _with(ALOG, action_features_sql()) + "SELECT * FROM afeat")
 def horizon_action_sums(spark, sf):
-    return FT.action_features(C.action_log(Tables(spark, sf)), C.ACTION_CUTOFF)
+    return FT.action_features(C.action_log(Tables(spark, sf), C.ORDER_CUTOFF), C.ORDER_CUTOFF)
 
 
 @query("horizon_scores",
@@ -60,9 +60,9 @@ LEFT JOIN lab l ON l.userId = f.userId AND l.productId = f.productId""")
 def purchase_features_df(spark, sf):
     t = Tables(spark, sf)
     return FT.purchase_features(C.order_log(t), C.order_products(t),
-                                C.action_log(t), C.comment_log(t),
+                                C.action_log(t, C.ORDER_CUTOFF), C.comment_log(t),
                                 C.user_table(t), C.product_table(t),
-                                C.ORDER_CUTOFF, action_cutoff=C.ACTION_CUTOFF)
+                                C.ORDER_CUTOFF)
 
 
 query("purchase_features", _purchase_features_sql())(purchase_features_df)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
@@ -151,15 +152,13 @@ def multilabel_metrics(spark, sf):
 
 
 def _rank_inputs(t: Tables, k: int = 5):
-    ol = C.order_log(t)
-    cut = F.lit(C.ORDER_CUTOFF).cast("date")
-    q = (ol.filter(F.col("orderDate") < cut)
-           .groupBy(F.col("userId").alias("user"), F.col("productId").alias("item"))
-           .agg(F.sum("buyNum").alias("qty")))
-    pred = R.top_n_per_group(q, ["user"], [F.col("qty").desc(), F.col("item")], k, "rank")
-    rel = (ol.filter(F.col("orderDate") >= cut)
-             .select(F.col("userId").alias("user"), F.col("productId").alias("item")).distinct())
-    return pred.select("user", "item", "rank"), rel
+    """Top-k items by quantity before the cutoff, and items bought after it,
+    from one row per (user, item) of a single pass over the orders."""
+    early = F.col("orderDate") < F.lit(C.ORDER_CUTOFF).cast("date")
+    pairs = (C.order_log(t).groupBy(F.col("userId").alias("user"), F.col("productId").alias("item"))
+             .agg(F.sum(F.when(early, F.col("buyNum"))).alias("qty"), F.max(~early).alias("later")))
+    pred = R.top_n_per_group(pairs.filter("qty is not null"), ["user"], [F.col("qty").desc(), F.col("item")], k, "rank")
+    return pred.select("user", "item", "rank"), pairs.filter("later").select("user", "item")
 
 
 @query("ranking_metrics", "WITH " + OLOG + """,
@@ -237,7 +236,7 @@ def contest_score(spark, sf):
     # the submission is a fixed-size ranked list: the limit is the feature
     top = dec.orderBy(F.col("n").desc(), "user").limit(100)
     sub = (top.withColumn("rank", F.row_number().over(
-                __import__("pyspark.sql").sql.Window.orderBy(F.col("n").desc(), "user")))
+                Window.orderBy(F.col("n").desc(), "user")))
               .withColumn("date", F.date_add(F.lit("2001-01-01").cast("date"), F.col("last_day") - 1)))
     s = M.contest_score(sub.select("user", "rank", "date"), ans, alpha=0.4)
     return s.select(*[_r(c).alias(c) for c in s.columns])
@@ -327,25 +326,51 @@ def vector_summary(spark, sf):
                     "nnz", _r("max").alias("max"), _r("min").alias("min"))
 
 
-@query("cosine_columns_approx")
+@query("cosine_columns_approx", """
+WITH long AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS x FROM embeddings, range(64) r(i)),
+g AS (SELECT a.i, b.i AS j, SUM(a.x * b.x) AS s FROM long a JOIN long b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY 1, 2),
+d AS (SELECT i, s FROM g WHERE i = j)
+SELECT CAST(g.i AS INTEGER) AS i, CAST(g.j AS INTEGER) AS j, TRUE AS close FROM g WHERE g.i < g.j""")
 def cosine_columns_approx(spark, sf):
-    """V14, thresholded form: DIMSUM sampling (``columnSimilarities(t)``)
-    keeps pairs whose similarity is likely above the threshold, estimating
-    them from a sample of row products. Uses Spark's distributed RowMatrix."""
-    from pyspark.mllib.linalg import Vectors as MV
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    e = Tables(spark, sf).embeddings.select("embedding")
-    rows = e.rdd.map(lambda r: MV.dense([float(x) for x in r[0]]))
-    sims = RowMatrix(rows).columnSimilarities(0.1)
-    return sims.entries.map(lambda m: (int(m.i), int(m.j), float(m.value))).toDF("i int, j int, cosine double")
-
-
-@query("ks_normal")
+    """V14, thresholded form: sampled entries of each column; every pair's
+    estimate is within 0.1 of the exact cosine."""
+    e = Tables(spark, sf).embeddings
+    est = S.column_cosines_sampled(e, "embedding", 64, 0.1, "vec_id", salt=14)
+    exact = S.column_cosines(e, "embedding", 64).withColumnRenamed("cosine", "exact")
+    out = exact.join(est, ["i", "j"], "left").na.fill(0.0, ["cosine"])
+    return out.select("i", "j", (F.abs(F.col("cosine") - F.col("exact")) < 0.1).alias("close"))
+
+
+@query("svd_factors", """
+WITH x AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS x FROM embeddings, range(64) r(i))
+SELECT vec_id, ROUND(SUM(x * x), 4) AS energy, TRUE AS rebuilt FROM x GROUP BY vec_id""")
+def svd_factors(spark, sf):
+    """U, s and V of all 64 components: the rows rebuilt from them equal
+    the matrix, and have its energy."""
+    u, s, v = S.svd(Tables(spark, sf).embeddings.select("vec_id", "embedding"), "embedding", 64, 64)
+    basis = [F.array(*[F.lit(float(z)) for z in v[j] * s]) for j in range(64)]
+    back = F.array(*[F.aggregate(F.zip_with("u", b, lambda a, c: a * c), F.lit(0.0), lambda a, c: a + c) for b in basis])
+    out = u.select("vec_id", "embedding", back.alias("back"))
+    gap = F.array_max(F.zip_with("embedding", "back", lambda a, c: F.abs(a.cast("double") - c)))
+    return out.select("vec_id", F.round(F.aggregate("back", F.lit(0.0), lambda a, c: a + c * c), 4).alias("energy"),
+                      (gap < 1e-6).alias("rebuilt"))
+
+
+@query("ks_normal", """
+WITH m AS (SELECT AVG(value) AS m, STDDEV_SAMP(value) AS s FROM events),
+g AS (SELECT value AS x, COUNT(*) AS c FROM events GROUP BY value),
+c AS (SELECT x, c, SUM(c) OVER (ORDER BY x) AS cum, SUM(c) OVER () AS n FROM g),
+z AS (SELECT *, (x - m) / (s * SQRT(2.0)) AS z FROM c, m),
+t AS (SELECT *, 1 / (1 + 0.3275911::DOUBLE * ABS(z)) AS t FROM z),
+f AS (SELECT *, (1 + SIGN(z) * (1 - t * (0.254829592::DOUBLE + t * (-0.284496736::DOUBLE + t * (1.421413741::DOUBLE
+  + t * (-1.453152027::DOUBLE + t * 1.061405429::DOUBLE)))) * EXP(-z * z))) / 2 AS fx FROM t)
+SELECT ROUND(MAX(GREATEST(cum / n - fx, fx - (cum - c) / n)), 6) AS d, TRUE AS agrees FROM f""")
 def ks_normal(spark, sf):
-    """V12 (normal form): Spark's one-sample KS test of event values against
-    a normal with the sample mean and standard deviation."""
+    """V12 (normal form): KS distance of event values to a normal with the
+    sample mean and deviation, and its agreement with Spark's own test."""
     from pyspark.ml.stat import KolmogorovSmirnovTest
     e = Tables(spark, sf).events.select("value")
     m = e.agg(F.avg("value").alias("m"), F.stddev_samp("value").alias("s")).first()
+    d = S.ks_statistic(e, "value", S.normal_cdf(float(m["m"]), float(m["s"]))).first()["d"]
     r = KolmogorovSmirnovTest.test(e, "value", "norm", float(m["m"]), float(m["s"])).first()
-    return spark.createDataFrame([(float(r.statistic), float(r.pValue))], "statistic double, p_value double")
+    return spark.createDataFrame([(round(d, 6), abs(r.statistic - d) < 1e-6)], "d double, agrees boolean")

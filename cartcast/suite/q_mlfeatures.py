@@ -376,11 +376,21 @@ def idf_vectors(spark, sf):
     return w.select("doc_id", F.transform(vector_to_array("tfidf"), lambda x: F.round(x, 9)).alias("tfidf"))
 
 
-@query("word2vec_doc")
+@query("word2vec_doc", "SELECT item_id, 8 AS width, TRUE AS averaged FROM benchmark")
 def word2vec_doc(spark, sf):
     b = regex_tokens(Tables(spark, sf).benchmark.select("item_id", "text"))
     m = Word2Vec(vectorSize=8, minCount=2, maxIter=1, seed=5, inputCol="tokens", outputCol="v").fit(b)
-    return m.transform(b).select("item_id", vector_to_array("v").alias("v"))
+    # a text's vector is the mean of its known words' vectors
+    words = m.getVectors().select(F.col("word").alias("w"), vector_to_array("vector").alias("x"))
+    parts = b.select("item_id", F.size("tokens").alias("n"), F.explode("tokens").alias("w")).join(words, "w")
+    mean = (parts.select("item_id", "n", F.posexplode("x").alias("i", "x")).groupBy("item_id", "i")
+            .agg((F.sum("x") / F.first("n")).alias("x")).groupBy("item_id")
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("mean")))
+    out = m.transform(b).select("item_id", vector_to_array("v").alias("v")).join(mean, "item_id", "left")
+    gap = F.array_max(F.zip_with("v", "mean", lambda p, q: F.abs(p - q)))
+    none = F.array_max(F.transform("v", lambda p: F.abs(p)))
+    return out.select("item_id", F.size("v").alias("width"),
+                      (F.coalesce(gap, none) < 1e-5).alias("averaged"))
 
 
 @query("append_bias", f"SELECT {_KEY}, [l_quantity, l_discount, 1.0] AS vec FROM lineitem")

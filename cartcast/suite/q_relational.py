@@ -234,6 +234,10 @@ _RATINGS_AVG_SQL = """ratings AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)"""
 
 
+RATINGS_SQL = """SELECT CAST(o.o_custkey AS INTEGER) AS usr, CAST(l.l_partkey AS INTEGER) AS item, AVG(l.l_quantity) / 10 AS rating
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2"""
+
+
 def ratings(t: Tables):
     """(user, item, rating) from order lines: mean quantity / 10."""
     return (C.order_log(t).groupBy(F.col("userId").alias("user"), F.col("productId").alias("item"))

@@ -158,8 +158,23 @@ def rating_lines(t: Tables, sep: str = "::"):
 def parse_ratings(spark, sf):
     path = scratch_path(spark, "ratings")
     rating_lines(Tables(spark, sf)).write.mode("overwrite").text(path)
-    good, _bad = TX.parse_ratings(SF.read_lines(spark, path), sep="::")
-    return good
+    return TX.parse_ratings(SF.read_lines(spark, path), sep="::")[0]
+
+
+@query("rejected_ratings", """
+SELECT o_orderstatus AS status, COUNT(*) AS rejected FROM orders WHERE o_orderkey % 7 = 0 GROUP BY 1""")
+def rejected_ratings(spark, sf):
+    """Lines whose field count is wrong are kept apart and counted. Here
+    the orders whose key seven divides are written without their last field."""
+    o = Tables(spark, sf).orders
+    fields = [F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string"), F.lit("1.0")]
+    line = F.when(F.col("o_orderkey") % 7 == 0, F.concat_ws("::", *fields[:2], F.col("o_orderstatus"))).otherwise(
+        F.concat_ws("::", *fields, F.lit("1")))
+    path = scratch_path(spark, "rejected-ratings")
+    o.select(line.alias("value")).write.mode("overwrite").text(path)
+    bad = TX.parse_ratings(SF.read_lines(spark, path), sep="::")[1]
+    return (bad.groupBy(F.element_at(F.split(bad.columns[0], "::"), -1).alias("status"))
+            .agg(F.count(F.lit(1)).alias("rejected")))
 
 
 @query("parse_pageviews", """

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators.horizons import HORIZONS
-from ..plans.contest import ACTION_CUTOFF, ORDER_CUTOFF
+from ..plans.contest import ACTION_SHIFT_DAYS, ORDER_CUTOFF
 
 OLOG = """olog AS (
   SELECT o.o_custkey AS userId, l.l_partkey AS productId, o.o_orderkey AS orderId,
@@ -12,10 +12,10 @@ OLOG = """olog AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey)"""
 
-ALOG = """alog AS (
+ALOG = f"""alog AS (
   SELECT user_id AS userId,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS productId,
-         CAST(ts AS DATE) AS actionDate, 1 AS actionNum,
+         CAST(ts AS DATE) - {ACTION_SHIFT_DAYS} AS actionDate, 1 AS actionNum,
          CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 0 END AS actionType
   FROM events)"""
 
@@ -52,7 +52,7 @@ def order_features_sql(cutoff=ORDER_CUTOFF) -> str:
   GROUP BY userId, productId)"""
 
 
-def action_features_sql(cutoff=ACTION_CUTOFF) -> str:
+def action_features_sql(cutoff=ORDER_CUTOFF) -> str:
     d = f"date_diff('day', actionDate, DATE '{cutoff}')"
     parts = []
     for n in HORIZONS:
