@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,6 +86,22 @@ def model_input(features: DataFrame, neg_fraction: float = 0.05,
     return out.select(*ID_COLS, "features", "split")
 
 
+def load_train_test(train: DataFrame, test: DataFrame | None, key: str, features: str = "features",
+                    test_fraction: float = 0.2, salt: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Train and test parts (L9): the given test set, else a repeatable split of
+    ``train`` by ``key``; and a report row per part (rows, vector width). A
+    test vector of another width than the training vectors is an error."""
+    if test is None:
+        train, test = R.split_frames(train, key, [1 - test_fraction, test_fraction], salt)
+    width = F.size(vector_to_array(features))
+    sides = (train.select(F.lit("train").alias("part"), width.alias("w"))
+             .union(test.select(F.lit("test").alias("part"), width.alias("w"))))
+    report = sides.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("w").alias("width"), F.max("w").alias("_most"))
+    report = report.withColumn("width", F.when(F.col("width") == F.col("_most"), F.col("width")).otherwise(
+        F.raise_error(F.concat(F.lit("mixed vector widths in "), F.col("part"))).cast("int"))).drop("_most")
+    return train, test, report
+
+
 def lookback_features(sales: DataFrame, item: str, week: str, qty: str,
                       target: int, steps: int) -> DataFrame:
     """Per item: cumulative look-back sums ending at ``target`` plus the

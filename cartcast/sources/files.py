@@ -87,6 +87,11 @@ def save_table(df: DataFrame, table: str, location: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Remove a table's catalog entry; resolved queries keep reading its files."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def read_ctrl_a_table(spark: SparkSession, path: str, schema: str, table: str,
                       location: str) -> DataFrame:
     """Ctrl-A delimited text loaded into a catalog table."""

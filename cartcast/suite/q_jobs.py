@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..operators import relational as R
@@ -108,3 +109,19 @@ def label_reindex(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
     m = StringIndexer(inputCol="l_returnflag", outputCol="label_idx", stringOrderType="alphabetAsc").fit(li)
     return m.transform(li).select("l_orderkey", "l_linenumber", "label_idx")
+
+
+@query("train_test_report", f"""
+WITH s AS (SELECT CASE WHEN {_hs('vec_id', 4)} < 0.8 THEN 'train' ELSE 'test' END AS part, len(embedding) AS w FROM embeddings),
+g AS (SELECT CASE WHEN l_returnflag = 'R' THEN 'test' ELSE 'train' END AS part FROM lineitem)
+SELECT 'split' AS source, part, COUNT(*) AS n, CAST(MAX(w) AS INTEGER) AS width FROM s GROUP BY part
+UNION ALL SELECT 'given', part, COUNT(*), 2 FROM g GROUP BY part""")
+def train_test_report(spark, sf):
+    """Sizes and vector widths of a split table and of a given test set."""
+    t = Tables(spark, sf)
+    emb = t.embeddings.select("vec_id", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"))
+    split = J.load_train_test(emb, None, "vec_id", salt=4)[2]
+    li = t.lineitem.select("l_orderkey", "l_returnflag", array_to_vector(F.array("l_quantity", "l_discount")).alias("features"))
+    given = J.load_train_test(li.filter("l_returnflag <> 'R'"), li.filter("l_returnflag = 'R'"), "l_orderkey")[2]
+    return (split.select(F.lit("split").alias("source"), "part", "n", "width")
+            .union(given.select(F.lit("given"), "part", "n", "width")))

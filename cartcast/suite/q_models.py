@@ -383,32 +383,38 @@ def gmm_assign(spark, sf):
 
 
 def band_affinity(t: Tables, width: int = 3):
-    """Affinity edges (i, j, w) for 0 < j - i <= width (J9, F13): a band
-    join written as an equi-join on exploded offsets, so each point has at
-    most ``width`` partners; w = exp(-|a-b|^2 / 2)."""
+    """Affinity edges (src, dst, w) between near points (J9, F13): points are
+    ranked by their first coordinate, and each meets the next ``width`` in that
+    order (a sorted-neighbourhood join, an equi-join on rank and offset), so
+    partners are close on one axis whatever their ids, and no point has more
+    than ``2 * width`` of them; w = exp(-|a-b|^2 / 2)."""
     e = t.embeddings.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("a"))
-    left = e.select(F.col("vec_id").alias("src"), "a",
-                    F.explode(F.sequence(F.lit(1), F.lit(width))).alias("off"))
-    left = left.withColumn("dst", F.col("src") + F.col("off"))
-    right = e.select(F.col("vec_id").alias("dst"), F.col("a").alias("b"))
-    j = left.join(right, "dst")
+    e = R.dense_index(e.withColumn("at", F.col("a")[0]), "at", "rank", tie="vec_id").select("vec_id", "a", "rank")
+    left = e.withColumn("rank", F.explode(F.transform(F.sequence(F.lit(1), F.lit(width)), lambda k: F.col("rank") + k)))
+    right = e.select("rank", F.col("vec_id").alias("other"), F.col("a").alias("b"))
+    j = left.join(right, "rank")
     d2 = F.aggregate(F.zip_with("a", "b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
-    return j.select("src", "dst", F.exp(-d2 / 2).alias("weight"))
+    return j.select(F.least("vec_id", "other").alias("src"), F.greatest("vec_id", "other").alias("dst"),
+                    F.exp(-d2 / 2).alias("weight"))
 
 
 @query("pair_affinity", """
-SELECT a.vec_id AS src, b.vec_id AS dst,
-       ROUND(EXP(-POW(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 2) / 2), 9) AS weight
-FROM embeddings a JOIN embeddings b ON b.vec_id > a.vec_id AND b.vec_id <= a.vec_id + 3""")
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, row_number() OVER (ORDER BY embedding[1], vec_id) AS r FROM embeddings)
+SELECT LEAST(a.vec_id, b.vec_id) AS src, GREATEST(a.vec_id, b.vec_id) AS dst,
+       ROUND(EXP(-POW(list_distance(a.x, b.x), 2) / 2), 9) AS weight
+FROM e a JOIN e b ON b.r > a.r AND b.r <= a.r + 3""")
 def pair_affinity(spark, sf):
     return band_affinity(Tables(spark, sf)).withColumn("weight", F.round("weight", 9))
 
 
-@query("pic_assign")
+@query("pic_assign", "SELECT vec_id AS id, TRUE AS assigned FROM embeddings")
 def pic_assign(spark, sf):
+    """Power iteration on the affinity graph: every point gets exactly
+    one of the three clusters."""
     edges = band_affinity(Tables(spark, sf))
     pic = PowerIterationClustering(k=3, maxIter=10, srcCol="src", dstCol="dst", weightCol="weight")
-    return pic.assignClusters(edges)
+    got = pic.assignClusters(edges)
+    return got.groupBy("id").agg(((F.count(F.lit(1)) == 1) & F.min("cluster").between(0, 2)).alias("assigned"))
 
 
 _LDA_FEATURES = 1 << 12

@@ -215,8 +215,10 @@ def join_view_table(spark, sf):
     name = f"cartcast_nation_{uuid.uuid4().hex[:8]}"
     SF.save_table(t.nation, name, scratch_path(spark, "nation-table"))
     v = _view(t.customer, "customers")
-    return spark.sql(f"""SELECT n.n_name, COUNT(*) AS n_customers FROM {v} c
-                         JOIN {name} n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""")
+    out = spark.sql(f"""SELECT n.n_name, COUNT(*) AS n_customers FROM {v} c
+                        JOIN {name} n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""")
+    SF.drop_table(spark, name)
+    return out
 
 
 @query("join_distinct_side", """

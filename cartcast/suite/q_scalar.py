@@ -188,8 +188,7 @@ def udtf_tokens(spark, sf):
     """Row-to-rows Python table function (U5) used in a lateral join."""
     b = Tables(spark, sf).benchmark
     spark.udtf.register("cartcast_tokens", Tokens)
-    b.createOrReplaceTempView("cartcast_bench")
-    return spark.sql("SELECT item_id, pos, token FROM cartcast_bench, LATERAL cartcast_tokens(text)")
+    return spark.sql("SELECT item_id, pos, token FROM {bench}, LATERAL cartcast_tokens(text)", bench=b)
 
 
 @query("custom_transformer", "SELECT l_orderkey, l_linenumber, l_quantity + 0.5 AS shifted FROM lineitem")

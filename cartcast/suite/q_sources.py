@@ -97,7 +97,9 @@ def catalog_table_kv(spark, sf):
     lines.write.mode("overwrite").text(path)
     name = f"cartcast_kv_{uuid.uuid4().hex[:8]}"
     SF.read_ctrl_a_table(spark, path, "key LONG, value STRING", name, scratch_path(spark, "kv-table"))
-    return spark.sql(f"SELECT value, COUNT(*) AS n FROM {name} GROUP BY value")
+    out = spark.sql(f"SELECT value, COUNT(*) AS n FROM {name} GROUP BY value")
+    SF.drop_table(spark, name)
+    return out
 
 
 @query("scan_text_split", "SELECT c_name AS name, c_acctbal AS acctbal FROM customer")
