@@ -56,20 +56,24 @@ def ks_statistic(df: DataFrame, col: str, cdf: Callable[[Column], Column]) -> Da
     return cum.agg(F.max(F.greatest(hi, lo)).alias("d")).withColumn("n", F.lit(n))
 
 
+def erf_nodes(n: int = 48) -> tuple[list[float], list[float]]:
+    """Gauss–Legendre nodes and weights on [0, 1]."""
+    x, w = np.polynomial.legendre.leggauss(n)
+    return ((x + 1) / 2).tolist(), (w / 2).tolist()
+
+
 def normal_cdf(mean: float, std: float) -> Callable[[Column], Column]:
-    """Normal CDF as a Column function, by a rational approximation of erf in
-    built-in functions (absolute error below 1.5e-7)."""
-    # Coefficients of the approximation (Abramowitz, Stegun 7.1.26).
-    p, a = 0.3275911, (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+    """Normal CDF as a Column function in built-in functions:
+    ``erf(z) = 2z / sqrt(pi) * integral of exp(-z²u²) over [0, 1]`` by
+    quadrature (to about 1e-14; beyond six it is one)."""
+    nodes, weights = erf_nodes()
 
     def cdf(x: Column) -> Column:
-        z = (x - F.lit(mean)) / F.lit(std * math.sqrt(2))
-        t = 1 / (1 + F.lit(p) * F.abs(z))
-        poly = F.lit(0.0)
-        for c in reversed(a):
-            poly = (poly + F.lit(c)) * t
-        erf = F.signum(z) * (1 - poly * F.exp(-z * z))
-        return (1 + erf) / 2
+        z = F.greatest(F.lit(-6.0), F.least(F.lit(6.0), (x - F.lit(mean)) / F.lit(std * math.sqrt(2))))
+        total = F.lit(0.0)
+        for u, w in zip(nodes, weights):
+            total = total + F.lit(w) * F.exp(-z * z * F.lit(u * u))
+        return (1 + z * total * F.lit(2 / math.sqrt(math.pi))) / 2
     return cdf
 
 

@@ -104,3 +104,14 @@ def test_latest_code_equals_max_by(spark):
     a = {(r.u, r.d): r.code for r in latest_code_per_day(df, ["u"], "d", "t", "o", "c").collect()}
     b = {(r.u, r.d): r.code for r in one_per_day(df, ["u"], "d", "c", ["t", "o"], out="code").collect()}
     assert a == b == {(1, 1): 3, (1, 2): 2, (2, 1): 1}
+
+
+def test_latest_code_checks_its_range(spark):
+    from cartcast.operators.horizons import latest_code_per_day
+    ddl = "u int, d int, t timestamp, o long, c int"
+    t = dt.datetime(2000, 1, 1)
+    rows = [(1, 1, t, 5, 2), (1, 1, t, None, 7), (1, 1, t, 9, None)]
+    assert [r.code for r in latest_code_per_day(spark.createDataFrame(rows, ddl), ["u"], "d", "t", "o", "c").collect()] == [2]
+    for bad in ((1, 1, t, 5, 10), (1, 1, t, -1, 3)):
+        with pytest.raises(Exception, match="out of range"):
+            latest_code_per_day(spark.createDataFrame([bad], ddl), ["u"], "d", "t", "o", "c").collect()

@@ -78,3 +78,34 @@ def test_prefix_span_helper(spark):
                                  "sequence array<array<int>>")
     got = {str(r.sequence): r.freq for r in prefix_span(seqs, 0.5, 5).collect()}
     assert got["[[1]]"] == 3 and got["[[1, 2]]"] == 3 and got["[[1], [3]]"] == 2
+
+
+def test_boosted_purchase_days_have_class_probabilities(spark):
+    import random
+
+    from cartcast.operators.models import purchase_day_classifier
+    rng = random.Random(1)
+    rows = [(float(c), Vectors.dense([c + rng.random() / 2, rng.random()])) for c in (0, 3, 17) for _ in range(40)]
+    df = spark.createDataFrame(rows, ["label", "features"])
+    for kind in ("forest", "boosted"):
+        out = purchase_day_classifier(kind).fit(df).transform(df).collect()
+        assert all(abs(sum(r.probabilities) - 1) < 1e-9 for r in out)
+        assert sum(r.prediction == r.label for r in out) > 110
+    one = spark.createDataFrame(rows[:5], ["label", "features"])
+    assert {r.prediction for r in purchase_day_classifier("boosted").fit(one).transform(one).collect()} == {0.0}
+    with pytest.raises(ValueError):
+        purchase_day_classifier("other")
+
+
+def test_given_test_set_and_width_report(spark):
+    from cartcast.plans.jobs import load_train_test
+    train = spark.createDataFrame([(i, Vectors.dense([1.0, 2.0])) for i in range(50)], ["k", "features"])
+    test = spark.createDataFrame([(99, Vectors.dense([1.0, 2.0]))], ["k", "features"])
+    _, given, report = load_train_test(train, test, "k")
+    assert {(r.part, r.n, r.width) for r in report.collect()} == {("train", 50, 2), ("test", 1, 2)}
+    assert given.first().k == 99
+    a, b, _ = load_train_test(train, None, "k")
+    assert a.count() + b.count() == 50 and 0 < b.count() < 25
+    odd = test.union(spark.createDataFrame([(98, Vectors.dense([1.0]))], ["k", "features"]))
+    with pytest.raises(Exception, match="mixed vector widths"):
+        load_train_test(train, odd, "k")[2].collect()
