@@ -146,29 +146,41 @@ class ByteConvNet:
                 np.clip(means[np.arange(len(best)), best], 0, 1).astype(float).tolist())
 
 
-def training_windows(rows: list[tuple[str, str]], labels: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Up to WINDOWS_PER_DOC evenly spaced windows of each sampled text."""
-    x, y = [], []
-    for lang, text in rows:
-        w = windows_of(text.encode("utf-8", "surrogatepass"))
-        pick = w[np.unique(np.linspace(0, len(w) - 1, WINDOWS_PER_DOC).astype(int))]
-        x.append(pick)
-        y.extend([labels.index(lang)] * len(pick))
-    return np.concatenate(x), np.array(y)
+def sample_windows(text: str) -> bytes:
+    """Up to WINDOWS_PER_DOC evenly spaced windows of a text, end to end."""
+    w = windows_of(text.encode("utf-8", "surrogatepass"))
+    return w[np.unique(np.linspace(0, len(w) - 1, WINDOWS_PER_DOC).astype(int))].tobytes()
+
+
+def training_windows(rows: list[tuple[str, bytes]], labels: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Windows and label numbers of the sampled documents' windows."""
+    x = np.frombuffer(b"".join(w for _, w in rows), np.uint8).reshape(-1, WINDOW)
+    return x, np.repeat([labels.index(lang) for lang, _ in rows], [len(w) // WINDOW for _, w in rows])
 
 
 def fit_language_model(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> ByteConvNet | None:
     """Train on a bounded sample of ``(doc_id, text, lang)``.
 
-    The sample is ``docs_per_lang`` documents per language in hash order; the
-    window's limit is applied before the shuffle, so a hot language sends no
-    more rows than a rare one.
+    The sample is the ``docs_per_lang`` distinct documents per language that
+    come first in hash order. Only hashes are ranked (the limit is applied
+    before the shuffle, so a hot language sends no more of them than a rare
+    one); texts are then read for the chosen hashes, each once.
     """
-    known = labelled.filter("text is not null and lang is not null and lang != ''")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-    ids = (known.select("doc_id", "lang", "text")
-           .withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= docs_per_lang))
-    rows = sorted((r["lang"], r["text"]) for r in ids.select("lang", "text").collect())
+    known = (labelled.filter("text is not null and lang is not null and lang != ''")
+             .select("lang", "text", F.xxhash64("doc_id", "text").alias("key")))
+    order = Window.partitionBy("lang").orderBy("key")
+    chosen = (known.select("lang", "key").distinct()
+              .withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= docs_per_lang).drop("_at"))
+    # at most docs_per_lang rows a language
+    texts = known.join(F.broadcast(chosen), ["lang", "key"]).groupBy("lang", "key").agg(F.first("text").alias("text"))
+
+    def windows(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([sample_windows(t) for t in b.column(1).to_pylist()], pa.binary())],
+                names=["lang", "windows"])
+    sample = texts.select("lang", "text").mapInArrow(windows, "lang string, windows binary")
+    rows = sorted((r["lang"], bytes(r["windows"])) for r in sample.collect())  # a kilobyte each
     if not rows:
         return None
     labels = sorted({lang for lang, _ in rows})
