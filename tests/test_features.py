@@ -115,3 +115,15 @@ def test_latest_code_checks_its_range(spark):
     for bad in ((1, 1, t, 5, 10), (1, 1, t, -1, 3)):
         with pytest.raises(Exception, match="out of range"):
             latest_code_per_day(spark.createDataFrame([bad], ddl), ["u"], "d", "t", "o", "c").collect()
+
+
+def test_cutoffs_reach_the_scans(spark):
+    """Orders, actions and comments are bounded by date in the Parquet scan."""
+    import re
+
+    from cartcast.suite.q_features import purchase_features_df
+
+    from .conftest import SF_SMALL
+    plan = purchase_features_df(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    pushed = " ".join(re.findall(r"PushedFilters: \[[^\]]*", plan))
+    assert "LessThan(o_orderdate" in pushed and "LessThan(ts," in pushed and "LessThanOrEqual(o_orderdate" in pushed
