@@ -25,7 +25,6 @@ empty result.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 from collections import Counter
@@ -84,9 +83,9 @@ class Sketch:
                 self.keys[at] ^= d
                 self.checks[at] ^= c
 
-    def text(self) -> str:
-        return base64.b64encode(np.array(self.count, "<u4").tobytes() + np.array(self.keys, "<u8").tobytes()
-                                + np.array(self.checks, "<u4").tobytes()).decode()
+    def data(self) -> bytes:
+        return (np.array(self.count, "<u4").tobytes() + np.array(self.keys, "<u8").tobytes()
+                + np.array(self.checks, "<u4").tobytes())
 
     def differences(self, other: "Sketch") -> tuple[list[int], list[int]] | None:
         """Digests only here and only there; None if peeling stops short."""
@@ -159,10 +158,10 @@ def edited_text(text: str, following: str) -> str:
 
 ROWS = pa.schema([
     ("kind", pa.int32()), ("part", pa.int32()), ("doc_id", pa.int64()), ("n_chars", pa.int64()),
-    ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+    ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
     ("near_edited", pa.float64()), ("near_next", pa.float64()), ("text", pa.string())])
-ROWS_DDL = ("kind int, part int, doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-            "edited_fingerprint string, near_edited double, near_next double, text string")
+ROWS_DDL = ("kind int, part int, doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, "
+            "edited_fingerprint binary, near_edited double, near_next double, text string")
 RESULT, FIRST, LAST = 0, 1, 2
 
 
@@ -170,8 +169,8 @@ def compared(part: int, doc_id: int | None, text: str, own: Versions, following:
     """The result row of one document and its next one."""
     new = edited_text(text, following)
     edited = Versions(new)
-    return (RESULT, part, doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(),
-            own.level(0).text(), edited.level(0).text(), own.likeness(edited), own.likeness(after), None)
+    return (RESULT, part, doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).digest(),
+            own.level(0).data(), edited.level(0).data(), own.likeness(edited), own.likeness(after), None)
 
 
 def _within_partitions(docs: DataFrame) -> DataFrame:
@@ -214,8 +213,10 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
             yield arrow_rows(ROWS, [
                 compared(r["part"], r["doc_id"], r["text"], Versions(r["text"]), r["following"], Versions(r["following"]))
                 for r in b.to_pylist()])
-    return (rows.filter(F.col("kind") == RESULT).union(ends.mapInArrow(run, ROWS_DDL))
-            .drop("kind", "part", "text"))
+    out = rows.filter(F.col("kind") == RESULT).union(ends.mapInArrow(run, ROWS_DDL))
+    return out.select("doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+                      *[F.base64(c).alias(c) for c in ("fingerprint", "edited_fingerprint")],
+                      "near_edited", "near_next")
 
 
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
