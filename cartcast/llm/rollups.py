@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import documents, prepare
+from .common import documents, prepare, saved
 
 KEYS = ("source", "lang", "version")
 MEASURES = ("n_docs", "n_tokens", "n_chars")
@@ -34,30 +34,39 @@ VERSIONS = {"words-1": "[^\\x20\\x09-\\x0D]+", "letters-1": "[A-Za-z]+"}
 
 
 def token_count(text: Column, version: str) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(VERSIONS[version])).cast("long")
+    return F.regexp_count(text, F.lit(VERSIONS[version])).cast("long")
 
 
-def counted(docs: DataFrame, version: str, sign: int = 1) -> DataFrame:
-    """Signed measure rows of documents under one tokenizer version."""
-    text = F.col("text").cast("string")
+def measured(docs: DataFrame) -> DataFrame:
+    """Per document ``doc_id, source, lang``, a digest of its text, ``n_chars``
+    and its count under every version: one reading of the text, after which
+    changes are worked out on narrow rows."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
-        F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
-        F.lit(version).alias("version"), F.lit(sign).cast("long").alias("n_docs"),
-        (sign * token_count(text, version)).alias("n_tokens"),
-        (sign * F.length(F.coalesce(text, F.lit("")))).cast("long").alias("n_chars"))
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        F.col("lang").cast("string").alias("lang"), F.sha2(text, 256).alias("digest"),
+        F.length(text).cast("long").alias("n_chars"),
+        F.create_map(*[x for v in VERSIONS for x in (F.lit(v), token_count(text, v))]).alias("tokens"))
 
 
-def inserts(docs: DataFrame, version: str) -> DataFrame:
-    return counted(docs, version)
+def counted(rows: DataFrame, version: str, sign: int = 1) -> DataFrame:
+    """Signed measure rows of measured documents under one tokenizer version."""
+    return rows.select(
+        "source", "lang", F.lit(version).alias("version"), F.lit(sign).cast("long").alias("n_docs"),
+        (sign * F.col("tokens")[version]).alias("n_tokens"), (sign * F.col("n_chars")).alias("n_chars"))
 
 
-def deletes(docs: DataFrame, version: str) -> DataFrame:
-    return counted(docs, version, -1)
+def inserts(rows: DataFrame, version: str) -> DataFrame:
+    return counted(rows, version)
 
 
-def revisions(docs: DataFrame, old: str, new: str) -> DataFrame:
+def deletes(rows: DataFrame, version: str) -> DataFrame:
+    return counted(rows, version, -1)
+
+
+def revisions(rows: DataFrame, old: str, new: str) -> DataFrame:
     """Counts of the same documents moved from one version to another."""
-    return counted(docs, old, -1).union(counted(docs, new))
+    return counted(rows, old, -1).union(counted(rows, new))
 
 
 class Rollup:
@@ -116,13 +125,12 @@ class Rollup:
         return new
 
 
-def copies_after_first(docs: DataFrame) -> DataFrame:
-    """Documents whose text a document with a smaller id already has."""
-    key = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
-    rows = docs.select("doc_id", key.alias("digest"))
+def marked_copies(rows: DataFrame) -> DataFrame:
+    """Measured documents and ``is_copy``: a document with a smaller id has
+    the same text. A hot text's first id is pre-aggregated."""
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    later = rows.join(first, "digest").filter("doc_id > first_id").select("doc_id")
-    return docs.join(later, "doc_id", "left_semi")
+    return rows.join(first, "digest").withColumn(
+        "is_copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))).drop("first_id")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,13 +138,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     the documents of every language but English are revised to the second
     version; two batches are delivered twice. Returns the totals."""
     prepare(spark)
-    docs = documents(spark, sf_dir)
+    rows = saved(marked_copies(measured(documents(spark, sf_dir))), "token-counts")
     rollup = Rollup(spark, scratch_path(spark, "token-rollup"))
-    rollup.commit("load", inserts(docs, "words-1"))
-    copies = copies_after_first(docs)
-    rollup.commit("copies", deletes(copies, "words-1"))
-    rollup.commit("load", inserts(docs, "words-1"))
-    rest = docs.join(copies.select("doc_id"), "doc_id", "left_anti").filter("lang is distinct from 'en'")
+    rollup.commit("load", inserts(rows, "words-1"))
+    rollup.commit("copies", deletes(rows.filter("is_copy"), "words-1"))
+    rollup.commit("load", inserts(rows, "words-1"))
+    rest = rows.filter("not is_copy and lang is distinct from 'en'")
     rollup.commit("retokenized", revisions(rest, "words-1", "letters-1"))
     rollup.commit("retokenized", revisions(rest, "words-1", "letters-1"))
     return rollup.totals()

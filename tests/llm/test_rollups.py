@@ -16,7 +16,7 @@ def totals(r):
 
 
 def test_signed_batches_and_idempotent_commits(rollup, make):
-    docs = make([(0, "a b c"), (1, "d e"), (2, None), (3, "x1 y2")])  # sources src0, src1, src2, src0
+    docs = rollups.measured(make([(0, "a b c"), (1, "d e"), (2, None), (3, "x1 y2")]))  # sources src0, src1, src2, src0
     assert rollup.commit("b1", rollups.inserts(docs, "words-1"))
     first = totals(rollup)
     assert first == {("src0", "en", "words-1"): (2, 5, 10), ("src1", "en", "words-1"): (1, 2, 3),
@@ -32,7 +32,7 @@ def test_signed_batches_and_idempotent_commits(rollup, make):
 
 
 def test_a_write_that_died_is_not_counted(rollup, make):
-    docs = make([(0, "a b")])
+    docs = rollups.measured(make([(0, "a b")]))
     rollup.commit("b1", rollups.inserts(docs, "words-1"))
     jvm, root, fs = rollup._files()
     fs.delete(jvm.org.apache.hadoop.fs.Path(root, "batch=b1/_SUCCESS"), False)
@@ -44,9 +44,18 @@ def test_a_write_that_died_is_not_counted(rollup, make):
 def test_edge_cases(rollup, make, llm):
     docs = llm.createDataFrame([(None, None, None, None), (1, "a", None, None), (1, "a", None, None)],
                                "doc_id long, text string, source string, lang string")
+    marked = rollups.marked_copies(rollups.measured(docs)).collect()
+    assert len(marked) == 3 and not any(r["is_copy"] for r in marked)
+    docs = rollups.measured(docs)
     assert totals(rollup) == {}
     assert rollup.commit("empty", rollups.inserts(docs.limit(0), "words-1")) and totals(rollup) == {}
     rollup.commit("b1", rollups.inserts(docs, "words-1"))
     assert totals(rollup) == {(None, None, "words-1"): (3, 2, 2)}
     with pytest.raises(ValueError):
         rollup.commit("../x", rollups.inserts(docs, "words-1"))
+
+
+def test_copies_are_marked_after_the_first(make):
+    rows = make([(5, "same"), (3, "same"), (9, "same"), (1, "other"), (None, "same"), (4, None), (2, "")])
+    got = {r["doc_id"]: r["is_copy"] for r in rollups.marked_copies(rollups.measured(rows)).collect()}
+    assert got == {5: True, 3: False, 9: True, 1: False, None: False, 4: True, 2: False}
