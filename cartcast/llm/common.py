@@ -9,6 +9,7 @@ text may be very long.
 from __future__ import annotations
 
 import re
+import sys
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Free the token caches that tasks of another operator have left in this
+    Python worker; workers serve one operator after the other."""
+    for name in ("tokens", "bpe"):
+        module = sys.modules.get(f"{__package__}.{name}")
+        if module is not None:
+            module._LOADED.clear()
+
+
 def keyed_text(docs: DataFrame) -> DataFrame:
     """``(doc_id long, text string)`` and nothing else."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

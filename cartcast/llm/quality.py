@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, arrow_rows, keyed_text, saved
+from .common import WORD, arrow_rows, give_back, keyed_text, saved
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 RULES = ("symbols", "dup_lines", "repeats", "capitals", "shouting",
@@ -106,6 +106,7 @@ def unpack(code: int, n_rules: int = len(RULES)) -> list[int]:
 def text_statistics(docs: DataFrame) -> DataFrame:
     """Per document: the base counts and the rules' vote pattern."""
     def run(batches):
+        give_back()
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             yield arrow_rows(STATS, [(i, *measure(t)) for i, t in zip(ids, texts)])
@@ -160,6 +161,28 @@ def quality_rules(docs: DataFrame) -> DataFrame:
                     "n_repeat_words", "base_failed", "kept", "quality", "votes"))
 
 
+def base_failed(n_words: int, n_repeat_words: int) -> bool:
+    return n_words < 50 or 100 * n_repeat_words > 50 * n_words
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) that the rules keep.
+
+    Texts are read twice, once for the vote patterns and once to judge by
+    their posteriors, and never shuffled.
+    """
+    votes = text_statistics(docs.withColumn("doc_id", F.lit(0))).groupBy("votes").agg(F.count("*").alias("n"))
+    posterior = fit_votes({r["votes"]: r["n"] for r in votes.collect()})  # at most 3 ** len(RULES) rows
+    at = docs.columns.index("text")
+
+    def run(batches):
+        give_back()
+        for b in batches:
+            judged = [measure(t) for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array([not base_failed(m[0], m[4]) and posterior[m[5]] >= 0.5 for m in judged], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import documents, prepare
     prepare(spark)

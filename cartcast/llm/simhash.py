@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, keyed_text, prepare, saved
+from .common import documents, give_back, keyed_text, prepare, saved
 from .components import connected_components, local_components
 
 SHINGLE = 3
@@ -230,6 +230,7 @@ PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp)`` of every whole text, ``fp`` as a signed long."""
     def run(batches):
+        give_back()
         for b in batches:
             p = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], schema=PRINTS)

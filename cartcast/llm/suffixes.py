@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, prepare
+from .common import documents, give_back, prepare
 
 LENGTH = 50
 GRAM = 20
@@ -211,6 +211,7 @@ KNOWN_DDL = "block long, n long, hashes binary, hot binary"
 
 
 def _block(table: pa.Table) -> Block:
+    give_back()
     return Block(table["doc_id"].to_pylist(), table["text"].to_pylist())
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, crc_of_id, documents, keyed_text, prepare, table
+from .common import arrow_rows, crc_of_id, documents, give_back, keyed_text, prepare, table
 
 SAMPLE_PER_CLASS = 6000
 PREFIXES = (4, 5)
@@ -116,6 +116,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     schema = pa.schema([("term", pa.string()), ("prefix", pa.bool_()), ("toxic", pa.int32()), ("n", pa.int64())])
 
     def run(batches):
+        give_back()
         for b in batches:
             count = Counter()
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -242,6 +243,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
     lexicon = learn_lexicon(sample.filter("part < 4"))
 
     def run(batches):
+        give_back()
         for b in batches:
             part, toxic, texts = (b.column(i).to_pylist() for i in range(3))
             yield pa.RecordBatch.from_arrays(
@@ -271,12 +273,25 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        give_back()
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(sent.value.score(b.column(1).to_pylist()))], schema=RESULT)
     return keyed_text(docs).mapInArrow(run, "doc_id long, score double")
 
 
+def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows of ``docs`` (all columns) that are not predicted toxic."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        give_back()
+        for b in batches:
+            yield b.filter(pa.array(sent.value.score(b.column(at).to_pylist()) < THRESHOLD, pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learning_rows(labels: DataFrame) -> DataFrame:
     """Labels of rows whose ``crc32(doc_id) % 3 != 1``."""
     return labels.filter(crc_of_id() % 3 != 1)

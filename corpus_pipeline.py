@@ -22,19 +22,10 @@ TABLE = ("doc_id", "text", "lang", "source", "n_chars")
 ORACLE_SQL = None
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The columns of ``documents`` with a key per distinct row, since ids may
-    be null or repeated."""
-    return docs.select(*TABLE).withColumn("row_key", F.xxhash64("doc_id", "text"))
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     prepare(spark)
-    rows = _numbered(docs)
-    judged = quality.quality_rules(rows.select(F.col("row_key").alias("doc_id"), "text"))
-    bad = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("row_key")).distinct()
-    return rows.join(bad, "row_key", "left_anti").select(*TABLE)
+    return quality.keep_good(docs.select(*TABLE))
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +33,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     labelled documents that reached this stage."""
     prepare(spark)
     model = toxicity.fit_toxicity(docs, toxicity.learning_rows(table(spark, sf_dir, "labels")))
-    rows = _numbered(docs)
-    scored = toxicity.score_toxicity(rows.select(F.col("row_key").alias("doc_id"), "text"), model)
-    bad = (scored.filter(F.col("score") >= toxicity.THRESHOLD)
-           .select(F.col("doc_id").alias("row_key")).distinct())
-    return rows.join(bad, "row_key", "left_anti").select(*TABLE)
+    return toxicity.keep_clean(docs.select(*TABLE), model)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
