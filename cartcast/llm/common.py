@@ -45,6 +45,7 @@ def give_back() -> None:
         module = sys.modules.get(f"{__package__}.{name}")
         if module is not None:
             module._LOADED.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def keyed_text(docs: DataFrame) -> DataFrame:

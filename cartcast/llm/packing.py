@@ -153,7 +153,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
 
     def run(batches):
         coder = tokens.loaded(path)
-        for b in by_bytes(batches):
+        for b in by_bytes(batches, 4 << 20):
             rows = []
             for d, ids in zip(b.column(0).to_pylist(), coder.encode(b.column(1).to_pylist())):
                 ids += end

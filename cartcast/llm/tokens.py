@@ -20,7 +20,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-GENERATION = 700_000
+# Units kept per generation: byte-level units keep case and line breaks, and
+# so come in more forms than lower-cased words.
+BYTE_GENERATION = 700_000
+WORD_GENERATION = 200_000
 # ASCII without control characters, Latin letters, common punctuation
 _UNUSUAL = re.compile("[^\\t\\n\\r\\x20-\\x7e¡-¬®-ȷ–-―‘-„…€]")
 # Fixed value: the split pattern of byte-level BPE.
@@ -74,7 +77,7 @@ class UnitTokenizer:
 
     def _learn(self, units: set[str]) -> None:
         """Bring units missing from the young generation into it."""
-        if len(self.young) > GENERATION:
+        if len(self.young) > (WORD_GENERATION if self.words else BYTE_GENERATION):
             self.young, self.old = {}, self.young
         young, old, one = self.young, self.old, self._piece
         lead = "" if self.words else " "

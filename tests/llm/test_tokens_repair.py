@@ -21,7 +21,8 @@ def library(path, text):
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 @pytest.mark.parametrize("generation", [700_000, 20])
 def test_units_equal_whole_texts(path, generation, monkeypatch):
-    monkeypatch.setattr(tokens, "GENERATION", generation)
+    monkeypatch.setattr(tokens, "BYTE_GENERATION", generation)
+    monkeypatch.setattr(tokens, "WORD_GENERATION", generation)
     lib, own = Tokenizer.from_file(path), tokens.UnitTokenizer(path)
     texts = NASTY + random_texts(300, 2) + [None] + ["plain words, and more.\nNext line; done" for _ in range(3)]
     for at in range(0, len(texts), 40):
