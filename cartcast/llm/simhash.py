@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, give_back, keyed_text, prepare, saved
+from .common import documents, give_back, prepare, saved
 from .components import connected_components, local_components
 
 SHINGLE = 3
@@ -224,17 +224,33 @@ def link_fingerprints(prints: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:
     return prints.select("fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
-PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, *carry) -> DataFrame:
+    """``(doc_id, fp)`` of every whole text, ``fp`` as a signed long, and the
+    columns ``carry`` of its row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    types = [f"`{n}` {t}" for n, t in rows.dtypes[2:]]
 
-
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)`` of every whole text, ``fp`` as a signed long."""
     def run(batches):
         give_back()
         for b in batches:
             p = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], schema=PRINTS)
-    return keyed_text(docs).mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), *b.columns[2:]],
+                                             names=["doc_id", "fp", *b.schema.names[2:]])
+    return rows.mapInArrow(run, ", ".join(["doc_id long, fp long", *types]))
+
+
+def representatives(docs: DataFrame, key, hot_key: int = HOT_KEY) -> tuple[DataFrame, DataFrame]:
+    """``(row_key)`` of one row of each component, and ``(row_key, n)`` of the
+    keys that several rows have. ``key`` names a row by all that it holds; of a
+    component the smallest ``(doc_id, key)`` stays, null ids last. Minima are
+    taken per fingerprint, then per component, both before the exchange."""
+    prints = saved(fingerprints(docs, key.alias("row_key")), "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    distinct = saved(prints.groupBy("fp").agg(F.min(order).alias("least")), "simhash-least")
+    rooted = distinct.join(link_fingerprints(distinct.select("fp"), hot_key), "fp")
+    chosen = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.row_key")
+    again = prints.groupBy("row_key").agg(F.count("*").alias("n")).filter("n > 1")
+    return chosen, again
 
 
 def simhash_near_dedup(docs: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:

@@ -4,8 +4,8 @@ is written as Parquet and read again as the next stage's ``docs``.
 
 All stages but the last return the columns of ``documents``, for the documents
 they keep. A document with a null ``doc_id`` passes the filtering stages only
-by its own text; of near duplicates the one with the smallest ``doc_id`` stays
-(of repeated rows, one).
+by its own text; of near duplicates the row with the smallest ``doc_id`` stays
+(null last; of equal ids the smallest SHA-256 of the row; of equal rows, one).
 """
 
 from __future__ import annotations
@@ -37,16 +37,18 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints."""
+    """One row of each group of linked fingerprints, chosen by the row itself:
+    rows of one id, or of none, that differ in text are compared like others."""
     prepare(spark)
-    grouped = saved(simhash.simhash_near_dedup(docs), "pipeline-groups")
-    chosen = grouped.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows = docs.select(*TABLE).withColumn("known", F.coalesce("doc_id", F.lit(suffixes.LOWEST)))
-    kept = rows.join(chosen.select(F.coalesce("doc_id", F.lit(suffixes.LOWEST)).alias("known")), "known", "left_semi")
-    again = rows.groupBy("known").agg(F.count("*").alias("n")).filter("n > 1").select("known")
-    if not again.isEmpty():  # repeated ids keep one row; the others need no comparison
-        once = kept.join(again, "known", "left_anti")
-        kept = once.union(kept.join(again, "known", "left_semi").dropDuplicates(["known"]))
+    rest = F.to_json(F.struct(*[c for c in TABLE if c != "text"]))
+    key = F.unhex(F.sha2(F.concat(F.coalesce(F.sha2("text", 256), F.lit("")), rest), 256))
+    chosen, again = (saved(x, name) for x, name in zip(
+        simhash.representatives(docs, key), ("pipeline-chosen", "pipeline-again")))
+    rows = docs.select(*TABLE, key.alias("row_key"))
+    kept = rows.join(chosen, "row_key", "left_semi")
+    if not again.isEmpty():  # rows that are equal in all columns keep one; the others need no comparison
+        once = kept.join(again, "row_key", "left_anti")
+        kept = once.union(kept.join(again, "row_key", "left_semi").dropDuplicates(["row_key"]))
     return kept.select(*TABLE)
 
 

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from cartcast.llm import packing
 from cartcast.llm.common import documents, saved, table
@@ -46,6 +48,20 @@ def test_near_duplicates_keep_the_smallest_id(llm, make):
     assert sorted((r["doc_id"] or -1) for r in got) == [-1, 2, 7]
 
 
+def test_near_duplicates_of_null_and_repeated_ids_differ_by_text(llm, make):
+    rng = random.Random(3)
+    text = [" ".join(rng.choices([f"w{i}" for i in range(500)], k=120)) for _ in range(8)]
+    rows = ([(None, t) for t in text[:4]] + [(7, t) for t in text[4:7]]
+            + [(None, text[0]), (7, text[4]), (3, text[5]), (9, text[7]), (9, text[6])])
+    for order in (rows, rows[::-1]):
+        got = cp.near_duplicate_stage(llm, make(order), SF).collect()
+        assert sorted(r["text"] for r in got) == sorted(text)
+        assert {r["text"]: r["doc_id"] for r in got} == dict(zip(text, [None] * 4 + [7, 3, 7, 9]))
+    same = make([(None, text[0])] * 3 + [(4, text[1])] * 3).withColumn("source", F.lit("s"))
+    got = cp.near_duplicate_stage(llm, same, SF).collect()
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in got) == [(-1, text[0]), (4, text[1])]
+
+
 def test_odd_rows_pass_through(llm, make):
     rows = [(1, None), (2, ""), (None, "x"), (3, "y " * 50_000), (3, "y " * 50_000)]
     frame = make(rows)
