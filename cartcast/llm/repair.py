@@ -2,12 +2,18 @@
 
 A shard is a run of documents in ascending ``doc_id`` order, about
 ``SHARD_TOKENS`` ids. Rounds replace its frequent adjacent pairs by
-nonterminals: a round counts all pairs that lie within a document, takes up to
+nonterminals: a round counts the pairs that lie within a document, takes up to
 ``PAIRS_PER_ROUND`` of the most frequent, lets the more frequent of two
-overlapping occurrences win, and writes one rule per pair. What is stored is
+overlapping occurrences win, and writes one rule per pair. Rounds go on until
+no pair has ``LEAST_USES`` occurrences that do not overlap. The first round
+looks at all pairs; a count only falls unless a new nonterminal is part of the
+pair, so later rounds look at pairs beside new nonterminals and at pairs that
+were frequent but left over (past the number a round takes, or without a hash
+slot). What is stored is
 the rules, the expansion length of every rule, the symbols that are left and,
 per document, its count of symbols and of ids, so that one document is decoded
-without the others.
+without the others. Symbols have 24 bits: a shard holds at most ``MOST_RULES``
+rules, which only a single document of over 60 million ids could exceed.
 
 File format: Parquet, one row per shard (``SHARD_DDL``); symbols are 24-bit,
 as a plane of low 16-bit halves and a plane of high bytes. Rows carry
@@ -32,11 +38,11 @@ from . import tokens
 from .common import by_bytes, documents, keyed_text, prepare, saved
 
 SHARD_TOKENS = 1_000_000
-ROUNDS = 2
 PAIRS_PER_ROUND = 16384
 SLOT_BITS = 17
 LEAST_USES = 4
 FIRST_RULE = 1 << 17  # above every vocabulary id
+MOST_RULES = (1 << 24) - FIRST_RULE
 END_ID = 0
 
 SHARD = pa.schema([
@@ -48,61 +54,75 @@ SHARD_DDL = ("part int, shard int, n_tokens long, doc_ids array<long>, doc_token
              "doc_symbols array<long>, rules binary, rule_lengths binary, low binary, high binary")
 
 
-def _frequent(keys: np.ndarray, most: int, least: int) -> np.ndarray:
-    """The most frequent values of ``keys``, by falling frequency."""
+def _frequent(keys: np.ndarray, least: int) -> np.ndarray:
+    """Values of ``keys`` with at least ``least`` uses, by falling frequency."""
     ordered = np.sort(keys)
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     uses = np.diff(first, append=len(ordered))
     often = np.flatnonzero(uses >= least)
-    if len(often) > most:
-        often = often[np.argpartition(-uses[often], most)[:most]]
     often = often[np.argsort(-uses[often], kind="stable")]
     return ordered[first[often]]
 
 
-def compress(seq: np.ndarray, last: np.ndarray, rounds: int = ROUNDS,
+def _every_other(at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which positions count: in a run of one pair (``at`` ascending, ``keys``
+    the pairs there) every other occurrence."""
+    repeat = np.zeros(len(at), bool)
+    repeat[1:] = (keys[1:] == keys[:-1]) & (at[1:] == at[:-1] + 1)
+    if not repeat.any():
+        return ~repeat
+    index = np.arange(len(at))
+    return (index - np.maximum.accumulate(np.where(repeat, 0, index))) % 2 == 0
+
+
+def compress(seq: np.ndarray, last: np.ndarray, rounds: int | None = None,
              most: int = PAIRS_PER_ROUND) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Grammar of a shard.
+    """Grammar of a shard; ``rounds`` bounds the rounds, None is until no pair
+    is frequent.
 
     ``seq``: uint32 ids of all documents; ``last``: true at each document's
     final id. Returns (symbols, last, rules) with rules as (n, 2) uint32.
     """
     rules = [np.empty((0, 2), np.uint32)]
-    next_rule = FIRST_RULE
-    for _ in range(rounds):
-        if len(seq) < 2:
+    next_rule, done = FIRST_RULE, 0
+    live = ~last[:-1] if len(last) else last  # pairs that may be frequent
+    while rounds is None or done < rounds:
+        done += 1
+        at = np.flatnonzero(live)
+        if len(at) < LEAST_USES:
             break
-        keys = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        chosen = _frequent(keys[~last[:-1]], most, LEAST_USES)
+        keys = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
+        counts = _every_other(at, keys)
+        frequent = _frequent(keys[counts], LEAST_USES)
+        chosen = frequent[:min(most, FIRST_RULE + MOST_RULES - next_rule)]
         if not len(chosen):
             break
+        # what stays frequent without being replaced is looked at again; a
+        # slot may hold a rare pair too, which the next count drops
+        slots = _slot(keys)
+        often = np.zeros(1 << SLOT_BITS, bool)
+        often[_slot(frequent)] = True
+        often = often[slots]
+        live = np.zeros(len(seq), bool)
+        live[at[often]] = True
+        often &= counts
+        at, keys, slots = at[often], keys[often], slots[often]
         # rank of each position's pair by a hash table that keeps, of pairs
         # falling on one slot, the most frequent
         table = np.full(1 << SLOT_BITS, -1, np.int32)
         table[_slot(chosen[::-1])] = np.arange(len(chosen) - 1, -1, -1, dtype=np.int32)
-        rank = table[_slot(keys)]
-        at = np.flatnonzero((rank >= 0) & ~last[:-1])
-        rank = rank[at]
-        hit = chosen[rank] == keys[at]
+        rank = table[slots]
+        hit = (rank >= 0) & (chosen[rank] == keys)
         at, rank = at[hit], rank[hit]
-        # in a run of one pair every other occurrence counts; of overlapping
-        # occurrences of two pairs the more frequent wins
-        repeat = np.zeros(len(at), bool)
-        repeat[1:] = (at[1:] == at[:-1] + 1) & (rank[1:] == rank[:-1])
-        if repeat.any():
-            index = np.arange(len(at))
-            odd = (index - np.maximum.accumulate(np.where(repeat, 0, index))) % 2 == 1
-            at, rank = at[~odd], rank[~odd]
+        # of overlapping occurrences of two pairs the more frequent wins
         near = at[1:] == at[:-1] + 1
         win = np.ones(len(at), bool)
         win[1:] &= ~(near & (rank[:-1] < rank[1:]))
         win[:-1] &= ~(near & (rank[1:] < rank[:-1]))
         at, rank = at[win], rank[win]
         uses = np.bincount(rank, minlength=len(chosen))
-        paid = uses >= LEAST_USES
+        paid = uses >= LEAST_USES  # the most frequent pair always is
         at, rank = at[paid[rank]], rank[paid[rank]]
-        if not len(at):
-            break
         number = np.cumsum(paid) - 1 + next_rule
         pair = chosen[paid]
         rules.append(np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
@@ -110,7 +130,10 @@ def compress(seq: np.ndarray, last: np.ndarray, rounds: int = ROUNDS,
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         last[at] |= last[at + 1]
+        live[at] = True
+        live[at[at > 0] - 1] = True
         seq, last = seq[keep], last[keep]
+        live = live[keep][:-1] & ~last[:-1]
         next_rule += int(paid.sum())
     return seq, last, np.concatenate(rules)
 

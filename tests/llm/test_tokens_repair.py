@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -48,6 +49,38 @@ def test_grammar_round_trip(seed):
         assert len(symbols) < len(seq) / 2
 
 
+def uses(symbols, ends):
+    """Non-overlapping occurrences of every pair, documents apart."""
+    count, free = Counter(), {}
+    for i in np.flatnonzero(~ends[:-1]).tolist():
+        pair = (int(symbols[i]), int(symbols[i + 1]))
+        if free.get(pair, 0) <= i:
+            count[pair] += 1
+            free[pair] = i + 2
+    return count
+
+
+@pytest.mark.parametrize("slots", [repair.SLOT_BITS, 4])
+@pytest.mark.parametrize("most", [repair.PAIRS_PER_ROUND, 3])
+def test_no_frequent_pair_is_left(slots, most, monkeypatch):
+    monkeypatch.setattr(repair, "SLOT_BITS", slots)
+    rng = np.random.default_rng(slots + most)
+    passage = rng.integers(0, 60_000, 200)
+    for parts in ([passage] * 8,
+                  [np.full(n, 7) for n in range(1, 120)],
+                  [rng.integers(0, 6, n) for n in rng.integers(1, 90, 60)],
+                  [np.concatenate([rng.integers(0, 300, 40), passage, np.full(9, 7)]) for _ in range(30)]):
+        seq = np.concatenate(parts).astype(np.uint32)
+        last = np.zeros(len(seq), bool)
+        last[np.cumsum([len(p) for p in parts]) - 1] = True
+        symbols, ends, rules = repair.compress(seq.copy(), last.copy(), most=most)
+        assert (repair.expand(symbols, rules, repair.rule_lengths(rules)) == seq).all()
+        assert ends.sum() == len(parts)
+        assert max(uses(symbols, ends).values(), default=0) < repair.LEAST_USES
+    symbols = repair.compress(np.tile(passage, 8).astype(np.uint32), np.arange(1, 1601) % 200 == 0)[0]
+    assert len(symbols) == 8  # every copy is one symbol
+
+
 def test_files_decode_to_library_ids(llm):
     docs = documents(llm, "/root/testdata/sf0.001")
     files = repair.token_files(docs, BYTES, shard_tokens=5000)
