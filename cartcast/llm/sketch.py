@@ -1,7 +1,13 @@
 """Document fingerprints as invertible Bloom lookup sketches.
 
-A text is cut into paragraphs: lines, and within long lines blocks that end
-with a sentence. Every paragraph (with its number among equal ones) is hashed
+A text is cut into paragraphs: lines, and within lines blocks of ``LEAST`` to
+``MOST`` bytes that end with a sentence where there is one. A block without a
+sentence end is cut after the word of smallest hash among those that lie within
+these bounds, and where there are no words after the smallest four bytes'; a cut
+depends on the bytes around it only, so that texts agree again soon after an
+edit, whatever their script and however long their lines. The first ``START``
+bytes of every text have finer blocks, so that short texts have several. Every
+paragraph (with its number among equal ones) is hashed
 to 64 bits and added to ``HASHES`` cells of a small table; a cell holds a
 count, the XOR of digests and the XOR of their checks. Two tables of one size
 subtract cell by cell; what both texts share cancels, and peeling cells that
@@ -27,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -40,17 +47,46 @@ from .common import arrow_rows, documents, keyed_text, prepare, saved
 
 CELLS = 12
 HASHES = 3
-BLOCK = re.compile(r".{160,}?[.!?]+(?= )|.+")
+LEAST, MOST = 48, 160
+START, START_LEAST, START_MOST = 128, 8, 32
+BLOCK = re.compile(rb".{%d,}?[.!?]+(?= )|.+" % LEAST)
+WIDE = 16  # digests from which a table is filled by array operations
+
+
+def _cut(block: bytes, at: int, least: int, most: int) -> int:
+    """Where the part of a long block that starts at ``at`` ends."""
+    window = block[at + least:at + most]
+    words = window.split(b" ")
+    inner = list(map(zlib.crc32, words[1:-1]))  # words that lie in the window whole
+    if inner:
+        n = inner.index(min(inner)) + 2
+        return at + least + sum(map(len, words[:n])) + n - 1
+    grams = [zlib.crc32(window[i:i + 4]) for i in range(len(window) - 3)]
+    return at + least + grams.index(min(grams)) + 4
+
+
+def blocks(text: str):
+    """The paragraphs of a text, as bytes."""
+    for found in BLOCK.finditer(text.encode("utf-8", "surrogatepass")):
+        block, begin, at = found.group(), found.start(), 0
+        while True:
+            least, most = (START_LEAST, START_MOST) if begin + at < START else (LEAST, MOST)
+            if len(block) - at <= most:
+                break
+            end = _cut(block, at, least, most)
+            yield block[at:end]
+            at = end
+        yield block[at:]
 
 
 def paragraph_digests(text: str | None) -> list[int]:
     """64-bit digests of the paragraphs; equal ones are numbered apart."""
     seen: dict[int, int] = {}
     out = []
-    for block in BLOCK.findall(text or ""):
+    for block in blocks(text or ""):
         block = block.strip()
         if block:
-            h = xxhash.xxh64_intdigest(block.encode("utf-8", "surrogatepass"), 1)
+            h = xxhash.xxh64_intdigest(block, 1)
             n = seen[h] = seen.get(h, -1) + 1
             out.append(xxhash.xxh64_intdigest(h.to_bytes(8, "little"), n + 2) if n else h)
     return out
@@ -73,6 +109,15 @@ class Sketch:
         self.level = level
         size = CELLS << level
         part = size // HASHES
+        if len(digests) >= WIDE:
+            d = np.array(digests, np.uint64)
+            cells = np.concatenate([c.astype(np.int64) for c in _cells(d, np.uint64(part))])
+            keys, checks = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
+            np.bitwise_xor.at(keys, cells, np.tile(d, HASHES))
+            np.bitwise_xor.at(checks, cells, np.tile(_check(d), HASHES))
+            self.count = np.bincount(cells, minlength=size).tolist()
+            self.keys, self.checks = keys.tolist(), checks.tolist()
+            return
         self.count = [0] * size
         self.keys = [0] * size
         self.checks = [0] * size

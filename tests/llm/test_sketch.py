@@ -37,6 +37,40 @@ def test_equal_digests_end_with_the_exact_difference():
     assert a.compare(b)[0] == [5, 5]
 
 
+def test_edits_in_texts_without_sentence_ends():
+    rng = random.Random(4)
+    word = [f"w{i}" for i in range(300)]
+    texts = {"words": " ".join(rng.choices(word, k=6000)),
+             "table": ",".join(str(rng.randrange(10 ** 6)) for _ in range(3000)),
+             "script": "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(8000)),
+             "short": " ".join(rng.choices(word, k=20)),
+             "run": "x" * 20_000}
+    other = " ".join(rng.choices(word, k=8000))
+    for name, text in texts.items():
+        own = Versions(text)
+        assert own.likeness(Versions(sketch.edited_text(text, other))) > (0.2 if len(text) > 200 else 0), name
+        if name != "run":
+            at = len(text) // 2
+            edited = text[:at] + "qqq" + text[at + 1:]
+            lost = len(own.compare(Versions(edited))[0])
+            assert lost <= max(8, len(own.digests) // 10), name
+    assert max(map(len, sketch.blocks(texts["words"] + texts["run"]))) <= sketch.MOST
+    assert b"".join(sketch.blocks(texts["script"])) == texts["script"].encode()
+
+
+def test_tables_filled_by_arrays_are_the_same():
+    rng = random.Random(5)
+    digests = [rng.getrandbits(64) for _ in range(100)]
+    for level in (0, 3):
+        one = Sketch([], level)
+        for d in digests:
+            for at in sketch._cells(d, (sketch.CELLS << level) // sketch.HASHES):
+                one.count[at] += 1
+                one.keys[at] ^= d
+                one.checks[at] ^= sketch._check(d)
+        assert one.data() == Sketch(digests, level).data()
+
+
 def brute(rows):
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0]))
     out = []
