@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators and their registered queries.
+"""Training-data operators: the corpus operators and their registered queries.
 
 ``QUERIES`` and ``ORACLE`` hold what ``__spark_entry__.py`` adds to the
 library's own registry. Nothing else in the library imports this subpackage.

@@ -12,6 +12,7 @@ from .simhash import op3_simhash_near_dedup
 from .sketch import op6_document_fingerprints
 from .suffixes import op1_suffix_dedup
 from .toxicity import op10_toxicity
+from .wordshuffle import op13_word_shuffle_bpe
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op13_word_shuffle_bpe": op13_word_shuffle_bpe,
 }
 
 ORACLE: dict[str, str] = {"op9_token_counts": OP9_SQL}
