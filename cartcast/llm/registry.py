@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .alignment import op12_token_alignment
 from .bpe import op5_bpe
+from .dialogue import op11_conversation_repair
 from .langid import op2_language_id
 from .packing import op8_best_fit_packing
 from .quality import op4_quality_rules
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_token_alignment": op12_token_alignment,
     "op13_word_shuffle_bpe": op13_word_shuffle_bpe,
 }
 
