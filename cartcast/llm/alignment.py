@@ -39,18 +39,28 @@ from .common import by_bytes, documents, keyed_text, prepare, saved
 from .tokens import UnitTokenizer, _byte_characters
 from .wordshuffle import pack, unpack
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+UNITS = 150_000           # units a generation of the first tokenizer's memory holds
 PART_CHARS = 1 << 20      # characters of a text given to the second tokenizer at once
 HELD_PAIRS = 1 << 20      # pairs a task sums before it merges equal ones
 _CUT = re.compile(r"(?<=[^ ]) (?=[^ ])")
 
 
+class Units(UnitTokenizer):
+    """Keeps fewer units: the second tokenizer's model shares the worker."""
+
+    def _learn(self, units: set[str]) -> None:
+        if len(self.young) > UNITS:
+            self.young, self.old = {}, self.young
+        super()._learn(units)
+
+
 class Tokenizers:
     """The two tokenizers with the bytes of their tokens."""
 
     def __init__(self, first: str, second: str):
         import sentencepiece
-        self.a = UnitTokenizer(first)
+        self.a = Units(first)
         self.a.library.encode_special_tokens = True   # their strings in texts are plain
         byte_of = {s: b for b, s in _byte_characters().items()}
         vocabulary = self.a.library.get_vocab(with_added_tokens=True)
@@ -190,6 +200,8 @@ def align_documents(docs: DataFrame, first: str, second: str) -> DataFrame:
                     [pack(a[s:e]) for s, e in zip(cut, cut[1:])], [pack(b[s:e]) for s, e in zip(cut, cut[1:])]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c
                                               for c, f in zip(cols, ALIGNED)], schema=ALIGNED)
+            del got, a, b, cols
+            pa.default_memory_pool().release_unused()
     return keyed_text(docs).mapInArrow(run, ALIGNED_DDL)
 
 
