@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import (DCT, IDF, PCA, Binarizer, Bucketizer, CountVectorizer,
                                 ElementwiseProduct, HashingTF, IndexToString, Interaction,
                                 MaxAbsScaler, MinMaxScaler, NGram, Normalizer, OneHotEncoder,
-                                PolynomialExpansion, QuantileDiscretizer, RFormula,
+                                PolynomialExpansion, RFormula,
                                 StandardScaler, StopWordsRemover, StringIndexer,
                                 UnivariateFeatureSelector, VectorAssembler, VectorIndexer,
                                 VectorSlicer, Word2Vec)
@@ -13,6 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators.quantiles import quantile_splits
 from ..operators.text import CUSTOM_STOPWORDS, regex_tokens
 from ..tables import Tables
 from . import query
@@ -149,9 +150,10 @@ WITH q AS (SELECT quantile_disc(value, 0.25) AS a, quantile_disc(value, 0.5) AS
 t AS (SELECT value, CAST((value >= a)::INT + (value >= b)::INT + (value >= c)::INT AS DOUBLE) AS bucket FROM events, q)
 SELECT bucket, COUNT(*) AS n, MIN(value) AS lo, MAX(value) AS hi FROM t GROUP BY bucket""")
 def quantile_bucket(spark, sf):
-    """Quantile buckets with exact boundaries (E13): size and range of each."""
+    """Quantile buckets with exact boundaries (E13), found by refined
+    histograms: size and range of each."""
     e = Tables(spark, sf).events.select("value")
-    b = QuantileDiscretizer(numBuckets=4, relativeError=0.0, inputCol="value", outputCol="bucket").fit(e).transform(e)
+    b = Bucketizer(splits=quantile_splits(e, "value", 4), inputCol="value", outputCol="bucket").transform(e)
     return b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
 
 
