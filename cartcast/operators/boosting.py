@@ -268,6 +268,9 @@ class SoftmaxModel:
     def __init__(self, binner: Binner, trees: list[Tree], classes: int):
         self.binner, self.trees, self.classes = binner, trees, classes
 
+    def first_rounds(self, n: int) -> "SoftmaxModel":
+        return SoftmaxModel(self.binner, self.trees[:n], self.classes)
+
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         bins = self.binner.matrix(x)
         return softmax(sum((t.margins(bins, self.classes) for t in self.trees), np.zeros((len(x), self.classes))))

@@ -11,7 +11,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 
-from .boosting import SoftmaxBoosting
+from .boosting import SoftmaxBoosting, SoftmaxModel
 
 
 class PurchaseDayModel:
@@ -37,13 +37,13 @@ class PurchaseDayClassifier:
         self.kind, self.num_trees, self.max_depth, self.seed = kind, num_trees, max_depth, seed
         self.rounds, self.boosted_depth = rounds, boosted_depth
 
-    def fit(self, train: DataFrame) -> PurchaseDayModel:
+    def fit(self, train: DataFrame) -> PurchaseDayModel | SoftmaxModel:
         if self.kind == "forest":
             model = RandomForestClassifier(numTrees=self.num_trees, maxDepth=self.max_depth, seed=self.seed).fit(train)
             return PurchaseDayModel(lambda df: model.transform(df).withColumn(
                 "probabilities", vector_to_array("probability")))
         model = SoftmaxBoosting(classes=32, rounds=self.rounds, depth=self.boosted_depth, seed=self.seed).fit(train)
-        return PurchaseDayModel(model.transform)
+        return model
 
 
 def purchase_day_classifier(kind: str = "forest", **options) -> PurchaseDayClassifier:

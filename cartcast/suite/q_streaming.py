@@ -13,6 +13,7 @@ from ..operators.relational import hash_unit, hash_unit_sql
 from ..plans import contest as C
 from ..session import scratch_path
 from ..streaming import online as ON
+from ..streaming import panes as PN
 from ..streaming import runner as RN
 from ..streaming import transforms as ST
 from ..tables import Tables
@@ -104,11 +105,37 @@ def stream_sliding(spark, sf):
     return _windowed(spark, sf, "1 hour", "15 minutes", ["event_type"], name="slide")
 
 
+def _pane_windows(rows, key, measures, length, slide, name, kind="string"):
+    """Sliding sums by panes as rows with window bounds."""
+    out = PN.sliding_sums(rows, "ts", key, measures, length, slide)
+    out = RN.run_to_table(out, "update", keys=["key", "start"], name=name)
+    end = F.col("start") + F.lit(PN.micros(length))
+    return out.select(F.timestamp_micros("start").cast("timestamp_ntz").alias("window_start"),
+                      F.timestamp_micros(end).cast("timestamp_ntz").alias("window_end"),
+                      F.col("key").cast(kind).alias(key), *measures)
+
+
 @query("stream_sliding_sum", _sliding_sql(2, 5, "COUNT(*) AS n, ROUND(SUM(value), 6) AS total", ""))
 def stream_sliding_sum(spark, sf):
-    """Incremental sliding reduce (T7): the state store adds and evicts."""
-    out = _windowed(spark, sf, "10 minutes", "2 minutes", (), "value", name="slidesum")
-    return out.withColumn("total", F.round("total", 6))
+    """Incremental sliding reduce (T7): sums by pane in the state; a window
+    adds the pane that enters and subtracts the one that leaves."""
+    s = ST.with_event_time(_event_stream(spark, sf), "ts", "1 hour").select(
+        "ts", "event_type", F.lit(1.0).alias("n"), F.col("value").alias("total"))
+    out = _pane_windows(s, "event_type", ["n", "total"], "10 minutes", "2 minutes", "slidesum")
+    return out.groupBy("window_start", "window_end").agg(F.sum("n").cast("long").alias("n"),
+                                                         F.round(F.sum("total"), 6).alias("total"))
+
+
+@query("stream_sliding_fine", "WITH w AS (" + _sliding_sql(2, 300, "event_type, COUNT(*) AS n", ", event_type", unit="SECOND") + """)
+SELECT event_type, COUNT(*) AS windows, CAST(SUM(n) AS BIGINT) AS n, CAST(SUM(n * n) AS BIGINT) AS squares, MAX(n) AS most FROM w GROUP BY event_type""")
+def stream_sliding_fine(spark, sf):
+    """T7 at ten minutes sliding by two seconds: 300 windows hold an event,
+    which is kept in one pane. The windows are reported by event type."""
+    s = ST.with_event_time(_event_stream(spark, sf), "ts", "1 hour").select("ts", "event_type", F.lit(1.0).alias("n"))
+    out = _pane_windows(s, "event_type", ["n"], "10 minutes", "2 seconds", "slidefine")
+    n = F.col("n").cast("long")
+    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("windows"), F.sum(n).alias("n"),
+                                         F.sum(n * n).alias("squares"), F.max(n).alias("most"))
 
 
 def _pv_stream(spark, sf):
@@ -128,23 +155,32 @@ SELECT window_start, window_end, zip, error_rate,
        CASE WHEN error_rate > 0.05 THEN CAST(zip AS VARCHAR) || ': **' || CAST(error_rate AS VARCHAR) || '**'
             ELSE CAST(zip AS VARCHAR) || ': ' || CAST(error_rate AS VARCHAR) END AS line FROM r""")
 def stream_error_rate(spark, sf):
-    """Error rate per zip code over 30-minute windows sliding by 10."""
-    g = ST.error_rate(_pv_stream(spark, sf), "ts", "30 minutes", "10 minutes")
-    g = g.select(*ST.window_bounds(), "zip", "error_rate")
-    # the report line is derived from the final rate, after the latest-row read
-    out = RN.run_to_table(g, "update", keys=["window_start", "window_end", "zip"], name="errrate")
-    return ST.with_error_line(out)
+    """Error rate per zip code over 30-minute windows sliding by 10, from
+    panes of requests and errors."""
+    return ST.with_error_line(_error_rate_panes(spark, sf, "30 minutes", "10 minutes"))
+
+
+def _error_rate_panes(spark, sf, length, slide):
+    views = _pv_stream(spark, sf).select("ts", "zip", F.lit(1.0).alias("n"),
+                                         (F.col("status") != 200).cast("double").alias("bad"))
+    out = _pane_windows(views, "zip", ["n", "bad"], length, slide, "errrate", "int")
+    return out.select("window_start", "window_end", "zip", F.round(F.col("bad") / F.col("n"), 4).alias("error_rate"))
+
+
+def _active_users(spark, sf, length, slide):
+    changes = RN.run_to_table(PN.user_changes(_pv_stream(spark, sf), "ts", "user", length, slide), "append", name="active")
+    end = F.col("start") + F.lit(PN.micros(length))
+    return PN.users_by_window(changes.select("start", "change"), slide).select(
+        F.timestamp_micros("start").cast("timestamp_ntz").alias("window_start"),
+        F.timestamp_micros(end).cast("timestamp_ntz").alias("window_end"), "users")
 
 
 @query("stream_active_users", _sliding_sql(5, 3, "CAST(COUNT(DISTINCT usr) AS BIGINT) AS users", "", "pv",
                                            "WITH " + PV_SQL))
 def stream_active_users(spark, sf):
-    """The stream keeps a row per window and user; users are counted
-    from the sink."""
-    g = ST.window_users(_pv_stream(spark, sf), "ts", "15 minutes", "5 minutes")
-    pairs = RN.run_to_table(g.select(*ST.window_bounds(), "user", "n"), "update",
-                            keys=["window_start", "window_end", "user"], name="active")
-    return ST.active_users(pairs)
+    """The stream keeps each user's active spans, one state row a user,
+    and emits where they start and end; windows are running sums of that."""
+    return _active_users(spark, sf, "15 minutes", "5 minutes")
 
 
 @query("stream_batch_sql", f"""WITH {_LINES_SQL}
@@ -432,8 +468,8 @@ def clickstream_sliding_pages(spark, sf):
     2, 15, "zip, ROUND(AVG(CASE WHEN status <> 200 THEN 1.0 ELSE 0.0 END), 4) AS error_rate", ", zip", "pv",
     "WITH " + PV_SQL, "SECOND"))
 def clickstream_error_rate(spark, sf):
-    """``errorRatePerZipCode``."""
-    return _dashboard_run(spark, sf, "errorRatePerZipCode", ["window_start", "window_end", "zip"])
+    """``errorRatePerZipCode``, 30 seconds by 2, from panes."""
+    return _error_rate_panes(spark, sf, "30 seconds", "2 seconds")
 
 
 @query("clickstream_active_users", f"""WITH {PV_SQL},
@@ -442,8 +478,8 @@ w AS (SELECT DISTINCT (sec // 2 - i) * 2 AS start, usr FROM s, range(8) r(i) WHE
 SELECT make_timestamp(CAST(start * 1000000 AS BIGINT)) AS window_start,
        make_timestamp(CAST((start + 15) * 1000000 AS BIGINT)) AS window_end, COUNT(*) AS users FROM w GROUP BY start""")
 def clickstream_active_users(spark, sf):
-    """``activeUserCount``."""
-    return ST.active_users(_dashboard_run(spark, sf, "activeUserCount", ["window_start", "window_end", "user"]))
+    """``activeUserCount``, 15 seconds by 2, from the users' spans."""
+    return _active_users(spark, sf, "15 seconds", "2 seconds")
 
 
 @query("welch_stream_stop", f"""
