@@ -5,14 +5,16 @@ Pieces are dealt evenly over partitions of bounded size; each partition packs
 its own by best-fit decreasing and computes a lower bound on its bins from
 dual-feasible functions over its length histogram. Where the bound meets the
 bins used, the partition is certified and done. Where a gap is left, the
-partition gives up its emptiest bins, whose waste covers the gap; what all
-partitions gave up is dealt anew to fewer partitions and packed again, for
-``EXCHANGES`` rounds or until nothing is given up. No round moves a settled
-piece, and a partition's work is bounded by ``PIECES_PER_TASK``.
+partition gives up its emptiest bins, whose waste covers the gap, and fuller
+ones too as rounds go on; what all partitions gave up is dealt anew to fewer
+partitions and packed again, until nothing is given up or the count no longer
+falls. No round moves a settled piece, and a partition's work is bounded by
+``PIECES_PER_TASK``. Every round's bins and bounds are kept as certificates.
 
 Defined edge cases: null and empty texts are one piece that holds the end id;
 repeated rows are each packed; an empty table gives an empty result; null ids
-are kept.
+are kept; pieces of equal length are packed in the order they come in; a very
+long text is many pieces; further columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from .common import by_bytes, documents, keyed_text, prepare, saved
 
 CAPACITY = 2048
 PIECES_PER_TASK = 100_000
-EXCHANGES = 3
+PATIENCE = 3        # rounds in a row without a lower count after which the rest stays
 END_ID = 0
 
 
@@ -68,9 +70,13 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     """Fewest bins any packing needs, by two families of dual-feasible
     functions: thresholds (items over ``capacity - t`` count as whole bins,
     items under ``t`` as nothing) and roundings to multiples of ``1 / k``."""
-    if not len(lengths):
+    return bound_of_histogram(np.bincount(lengths, minlength=capacity + 1), capacity)
+
+
+def bound_of_histogram(count: np.ndarray, capacity: int = CAPACITY) -> int:
+    """:func:`lower_bound` from the number of items of each length."""
+    if not count.sum():
         return 0
-    count = np.bincount(lengths, minlength=capacity + 1)
     volume = np.concatenate([[0], np.cumsum(count * np.arange(capacity + 1))])
     below = np.concatenate([[0], np.cumsum(count)])
     best = int(volume[-1])
@@ -95,9 +101,13 @@ def emptiest(fill: np.ndarray, gap: int, capacity: int) -> np.ndarray:
     return order[:max(2, int(np.searchsorted(waste, gap * capacity)) + 1)]
 
 
-def _pack_round(items: DataFrame, turn: int, last: bool, capacity: int) -> DataFrame:
+def _pack_round(items: DataFrame, turn: int, capacity: int) -> DataFrame:
+    """Every partition packed; ``task, bins, bound`` say what it used and the
+    least any packing of its items needs, ``settled`` which items stay."""
     schema = T.StructType([*items.schema.fields, T.StructField("sequence_id", T.LongType()),
-                           T.StructField("offset", T.LongType()), T.StructField("settled", T.BooleanType())])
+                           T.StructField("offset", T.LongType()), T.StructField("settled", T.BooleanType()),
+                           T.StructField("task", T.IntegerType()), T.StructField("bins", T.LongType()),
+                           T.StructField("bound", T.LongType()), T.StructField("given", T.LongType())])
 
     def run(batches):
         tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
@@ -107,41 +117,104 @@ def _pack_round(items: DataFrame, turn: int, last: bool, capacity: int) -> DataF
         lengths = table["length"].to_numpy()
         bins, offsets = best_fit_decreasing(lengths, capacity)
         n_bins = int(bins.max()) + 1
-        gap = n_bins - lower_bound(lengths, capacity)
-        settled = np.ones(len(bins), bool)
-        if gap and not last:
+        bound = lower_bound(lengths, capacity)
+        settled, given = np.ones(len(bins), bool), 0
+        if n_bins > bound:
+            # fuller bins too, round by round
             open_bins = np.zeros(n_bins, bool)
-            open_bins[emptiest(np.bincount(bins, lengths, n_bins).astype(np.int64), gap, capacity)] = True
-            settled = ~open_bins[bins]
-        first = (turn << 56) | (TaskContext.get().partitionId() << 28)
+            waste = (n_bins - bound) << min(turn, 30)
+            open_bins[emptiest(np.bincount(bins, lengths, n_bins).astype(np.int64), waste, capacity)] = True
+            settled, given = ~open_bins[bins], int(open_bins.sum())
+        task = TaskContext.get().partitionId()
+        first = (turn << 56) | (task << 28)
+        n = len(bins)
         out = (table.append_column("sequence_id", pa.array(bins + first))
-               .append_column("offset", pa.array(offsets)).append_column("settled", pa.array(settled)))
+               .append_column("offset", pa.array(offsets)).append_column("settled", pa.array(settled))
+               .append_column("task", pa.array(np.full(n, task, np.int32)))
+               .append_column("bins", pa.array(np.full(n, n_bins))).append_column("bound", pa.array(np.full(n, bound)))
+               .append_column("given", pa.array(np.full(n, given))))
         yield from out.to_batches(max_chunksize=10_000)
     return items.mapInArrow(run, schema)
 
 
-def best_fit_pack(items: DataFrame, capacity: int = CAPACITY, per_task: int = PIECES_PER_TASK,
-                  exchanges: int = EXCHANGES) -> DataFrame:
-    """Pack rows by their ``length`` (1 to ``capacity``); adds ``sequence_id``
-    and ``offset``. ``items`` should be a stored table: it is counted, dealt
-    and packed."""
+def pack_certified(items: DataFrame, capacity: int = CAPACITY, per_task: int = PIECES_PER_TASK,
+                   exchanges: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(packed rows, certificates). Packs rows by their ``length`` (1 to
+    ``capacity``); adds ``sequence_id`` and ``offset``. ``items`` should be a
+    stored table: it is counted, dealt and packed.
+
+    Rounds go on until nothing is given up. A round that does not lower the
+    count is undone and dealt in another way; after ``PATIENCE`` of them in a row
+    the rest keeps its places (``exchanges`` bounds the rounds as well, if given).
+    Certificates have a row per round and partition: ``turn, task, bins`` it used,
+    the ``bound`` of its items and the bins ``kept`` (task -1: the rest that kept
+    its places); a last row (turn -1) holds all bins and the bound over all items."""
+    spark = items.sparkSession
+    place = ("sequence_id", "offset")
+    extra = ("settled", "task", "bins", "bound", "given")
     done: list[DataFrame] = []
-    rest = items
-    for turn in range(exchanges + 1):
+    notes: list[DataFrame] = []
+
+    def noted(*row):
+        notes.append(spark.createDataFrame([row], "turn int, task long, bins long, bound long, kept long"))
+    rest, turn, before, stale, total = items, 0, None, 0, 0
+    while True:
         n = rest.count()
         if not n and turn:
             break
-        last = turn == exchanges
-        dealt = rest.repartition(max(1, -(-n // per_task)))
-        packed = saved(_pack_round(dealt, turn, last, capacity), "packed")
-        done.append(packed.filter("settled").drop("settled"))
-        rest = packed.filter("not settled").drop("settled", "sequence_id", "offset")
-    out = done[0]
-    for d in done[1:]:
-        out = out.union(d)
+        tasks = max(1, -(-n // per_task))
+        # rest is a stored table, so the numbers of its rows are the same each time
+        deal = F.xxhash64(F.monotonically_increasing_id(), F.lit(turn))
+        dealt = rest.drop(*place).withColumn("_deal", deal).repartition(tasks, "_deal").drop("_deal")
+        packed = saved(_pack_round(dealt, turn, capacity), "packed")
+        note = packed.groupBy("task").agg(*[F.max(c).alias(c) for c in ("bins", "bound", "given")])
+        used = note.agg(F.sum("bins").alias("bins"), F.sum("given").alias("given")).first()
+        bins, given = used["bins"] or 0, used["given"] or 0
+        if before is not None and bins >= before:
+            stale += 1
+            if stale >= PATIENCE or tasks == 1 or turn == exchanges:
+                done.append(rest)
+                noted(turn, -1, before, _bound_of_rows(rest, capacity), before)
+                total += before
+                break
+            turn += 1
+            continue
+        stale = 0
+        last = not given or turn == exchanges
+        kept = F.col("bins") if last else F.col("bins") - F.col("given")
+        notes.append(note.select(F.lit(turn).alias("turn"), F.col("task").cast("long").alias("task"), "bins", "bound",
+                                 kept.alias("kept")))
+        if last:
+            done.append(packed.drop(*extra))
+            total += bins
+            break
+        done.append(packed.filter("settled").drop(*extra))
+        total += bins - given
+        rest, before, turn = saved(packed.filter("not settled").drop(*extra), "unpacked"), given, turn + 1
+    noted(-1, -1, total, _bound_of_rows(items, capacity), total)
+    return _union(done), _union(notes)
+
+
+def _bound_of_rows(items: DataFrame, capacity: int) -> int:
+    count = np.zeros(capacity + 1, np.int64)
+    for r in items.groupBy("length").count().collect():  # at most `capacity` rows
+        count[r["length"]] = r["count"]
+    return bound_of_histogram(count, capacity)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
     return out
 
 
+def best_fit_pack(items: DataFrame, capacity: int = CAPACITY, per_task: int = PIECES_PER_TASK,
+                  exchanges: int | None = None) -> DataFrame:
+    """The packed rows of :func:`pack_certified`."""
+    return pack_certified(items, capacity, per_task, exchanges)[0]
+
+
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                     ("length", pa.int64()), ("ids_crc32", pa.int64())])
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"

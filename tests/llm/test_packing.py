@@ -65,12 +65,29 @@ def test_exchange_lowers_the_count(llm):
     lengths = rng.integers(600, 1100, 600).tolist()
     items = saved(llm.createDataFrame([(i, n) for i, n in enumerate(lengths)], "item long, length long"), "items")
     counts = []
-    for turns in (0, 3):
+    for turns in (0, 3, None):
         got = packing.best_fit_pack(items, per_task=20, exchanges=turns).collect()
         assert sorted((r["item"], r["length"]) for r in got) == list(enumerate(lengths))
         counts.append(gapless([(r["sequence_id"], r["offset"], r["length"]) for r in got]))
-    assert counts[1] < counts[0]
-    assert counts[1] >= packing.lower_bound(np.array(lengths))
+    assert max(counts[1:]) < counts[0]
+    assert counts[2] >= packing.lower_bound(np.array(lengths))
+
+
+def test_rounds_go_on_while_they_help(llm):
+    """Lengths that leave gaps: rounds go past the fourth."""
+    rng = np.random.default_rng(5)
+    lengths = rng.integers(600, 1100, 600).tolist()
+    items = saved(llm.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "item long, length long"), "items")
+    packed, notes = packing.pack_certified(items, per_task=20)
+    rows, notes = packed.collect(), notes.collect()
+    used = gapless([(r["sequence_id"], r["offset"], r["length"]) for r in rows])
+    total = next(r for r in notes if r["turn"] == -1)
+    assert (total["bins"], total["bound"]) == (used, packing.lower_bound(np.array(lengths)))
+    assert sum(r["kept"] for r in notes if r["turn"] >= 0) == used
+    assert all(r["bound"] <= r["bins"] for r in notes)
+    assert max(r["turn"] for r in notes) >= 4
+    none = packing.pack_certified(items, per_task=20, exchanges=0)[1].filter("turn = -1").first()
+    assert used < none["bins"]
 
 
 def test_pieces_equal_library(llm):
