@@ -12,7 +12,7 @@ import re
 import sys
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path, ship_package
@@ -63,6 +63,25 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lowest_per_class(rows: DataFrame, kind: str, turn: str, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each class, those of least ``turn`` (a 64-bit
+    hash), then ``key``. Turns are counted by 4,096 ranges first, so whole ranges
+    are kept by a filter and only each class's boundary range is ranked; no task
+    holds a class. For classes of a bounded number."""
+    span = F.shiftright(F.col(turn), 52).cast("int")
+    counted = rows.groupBy(kind, span.alias("_span")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(kind).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    counted = (counted.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+               .filter(F.col("_before") < most))
+    # at most 4,096 rows a class
+    near = rows.withColumn("_span", span).join(F.broadcast(counted), [kind, "_span"])
+    whole = near.filter(F.col("_before") + F.col("_n") <= most)
+    edge = near.filter(F.col("_before") + F.col("_n") > most)
+    place = F.row_number().over(Window.partitionBy(kind, "_span").orderBy(turn, key))
+    edge = edge.withColumn("_place", place).filter(F.col("_place") <= most - F.col("_before"))
+    return whole.select(*rows.columns).unionByName(edge.select(*rows.columns))
+
+
 def crc_of_id(col="doc_id"):
     """crc32 of the id written as text (null id: crc of the empty string)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))

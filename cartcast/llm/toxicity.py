@@ -17,7 +17,10 @@ broadcast; scoring reads each text once.
 Defined edge cases: null and empty texts have all-zero features and are scored
 like any other; null labels are not learnt from; with no labelled row, or one
 class only, every score is that class's share (0 with none); repeated rows are
-each scored; a null ``doc_id`` is kept, and hashed as the empty string.
+each scored; a null ``doc_id`` is kept, and hashed as the empty string; of a
+labelled id with several texts one is learnt from (the least by hash); ties in
+hash go by id; an empty table gives no rows; a very long text is scored whole, in
+one pass over its tokens; further columns are not read.
 """
 
 from __future__ import annotations
@@ -28,10 +31,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, crc_of_id, documents, give_back, keyed_text, prepare, table
+from .common import arrow_rows, crc_of_id, documents, give_back, keyed_text, lowest_per_class, prepare, table
 
 SAMPLE_PER_CLASS = 6000
 PREFIXES = (4, 5)
@@ -230,15 +233,17 @@ class ToxicityModel:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
-    """Fit on at most ``per_class`` labelled rows of each class."""
+    """Fit on at most ``per_class`` labelled ids of each class, one text each
+    (ids repeated with other texts give their least text by hash)."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .filter("toxic in (0, 1) and doc_id is not null")
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    turn = F.xxhash64("doc_id", F.lit(10))
-    chosen = (known.withColumn("_at", F.row_number().over(Window.partitionBy("toxic").orderBy(turn, "doc_id")))
-              .filter(F.col("_at") <= per_class).drop("_at"))
+    known = known.withColumn("turn", F.xxhash64("doc_id", F.lit(10)))
+    chosen = lowest_per_class(known, "toxic", "turn", "doc_id", per_class).drop("turn")
     # at most 2 * per_class rows of two numbers
-    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = keyed_text(docs).join(F.broadcast(chosen), "doc_id")
+    # one text an id, the least by hash: rows that share a labelled id are one row before they travel
+    sample = (found.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
               .withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(8))))
     lexicon = learn_lexicon(sample.filter("part < 4"))
 

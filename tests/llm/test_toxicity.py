@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 
 from cartcast.llm import toxicity
-from cartcast.llm.common import documents, table
+from cartcast.llm.common import documents, lowest_per_class, table
 
 
 def test_isotonic_is_the_least_squares_monotone_fit():
@@ -70,6 +70,32 @@ def test_query_on_the_given_tables(llm):
     assert np.mean([r["predicted"] for r in out if truth[r["doc_id"]] == 1]) > 0.6
 
 
+def test_one_labelled_id_with_a_third_of_all_rows(make, llm, monkeypatch):
+    docs, labels = planted(make, llm, 300)
+    hot = docs.union(make([(0, f"an ing st {i}") for i in range(150)]))
+    seen = []
+    lexicon = toxicity.learn_lexicon
+
+    def counted(sample):
+        seen.append((sample.count(), sample.select("doc_id").distinct().count()))
+        return lexicon(sample)
+    monkeypatch.setattr(toxicity, "learn_lexicon", counted)
+    model = toxicity.fit_toxicity(hot, labels, per_class=100)
+    assert seen[0][0] == seen[0][1] <= 200
+    assert model.trees is not None
+
+
+def test_lowest_of_each_class_equals_ranking(llm):
+    rows = [(i % 3, (i * 0x9E3779B97F4A7C15 & (1 << 64) - 1) - (1 << 63), i) for i in range(900)]
+    rows += [(3, 5, i) for i in range(900, 1000)]  # one range holds a whole class of ties
+    df = llm.createDataFrame(rows, "kind int, turn long, id long")
+    got = {(r["kind"], r["id"]) for r in lowest_per_class(df, "kind", "turn", "id", 70).collect()}
+    want = set()
+    for k in range(4):
+        want |= {(k, i) for _, i in sorted((t, i) for x, t, i in rows if x == k)[:70]}
+    assert got == want
+
+
 def test_edge_cases(make, llm):
     docs, labels = planted(make, llm, 300)
     odd = docs.union(make([(None, None), (5, ""), (5, "an ing")]))
