@@ -803,7 +803,7 @@ def lsh_jaccard_join(spark, sf):
     found = m.approxSimilarityJoin(tf.join(asked, "id", "left_semi"), tf, _JACCARD, distCol="dist").filter(
         "datasetA.id <> datasetB.id")
     got = found.agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("far")).first()
-    pairs = MJ.jaccard_pairs(c, 1 - _JACCARD).filter(1 - F.col("similarity") < _JACCARD)
+    pairs = MJ.jaccard_pairs(c, 1 - _JACCARD, asked=asked).filter(1 - F.col("similarity") < _JACCARD)
     both = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     exact = both.join(asked, "id", "left_semi").count()
     return spark.createDataFrame([(exact, (got["far"] or 0.0) < _JACCARD, got["n"] >= 0.9 * exact)],
