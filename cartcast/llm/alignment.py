@@ -62,7 +62,7 @@ class Tokenizers:
         import sentencepiece
         self.a = Units(first)
         self.a.library.encode_special_tokens = True   # their strings in texts are plain
-        byte_of = {s: b for b, s in _byte_characters().items()}
+        byte_of = {c: b for b, c in enumerate(_byte_characters())}
         vocabulary = self.a.library.get_vocab(with_added_tokens=True)
         a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():

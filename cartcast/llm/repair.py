@@ -64,15 +64,17 @@ def _frequent(keys: np.ndarray, least: int) -> np.ndarray:
     return ordered[first[often]]
 
 
-def _every_other(at: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which positions count: in a run of one pair (``at`` ascending, ``keys``
-    the pairs there) every other occurrence."""
-    repeat = np.zeros(len(at), bool)
-    repeat[1:] = (keys[1:] == keys[:-1]) & (at[1:] == at[:-1] + 1)
-    if not repeat.any():
-        return ~repeat
-    index = np.arange(len(at))
-    return (index - np.maximum.accumulate(np.where(repeat, 0, index))) % 2 == 0
+def _every_other(follows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which occurrences count: in a run of one pair (``follows``: begins where
+    the one before ends) every other occurrence."""
+    counts = np.ones(len(keys), bool)
+    repeat = np.flatnonzero(follows & (keys[1:] == keys[:-1])) + 1
+    if len(repeat):
+        begins = np.ones(len(repeat), bool)
+        begins[1:] = repeat[1:] != repeat[:-1] + 1
+        begin = repeat[np.flatnonzero(begins)][np.cumsum(begins) - 1]
+        counts[repeat[(repeat - begin) % 2 == 0]] = False
+    return counts
 
 
 def compress(seq: np.ndarray, last: np.ndarray, rounds: int | None = None,
@@ -82,17 +84,22 @@ def compress(seq: np.ndarray, last: np.ndarray, rounds: int | None = None,
 
     ``seq``: uint32 ids of all documents; ``last``: true at each document's
     final id. Returns (symbols, last, rules) with rules as (n, 2) uint32.
+    Replaced positions stay where they are and are stepped over by links to the
+    next and the former symbol, so a round costs what it looks at; they are
+    taken out once half of the positions are dead.
     """
     rules = [np.empty((0, 2), np.uint32)]
-    next_rule, done = FIRST_RULE, 0
-    live = ~last[:-1] if len(last) else last  # pairs that may be frequent
+    next_rule, done, gone = FIRST_RULE, 0, 0
+    follow, former = _links(len(seq))
+    alive = np.ones(len(seq), bool)
+    at = np.flatnonzero(~last[:-1])  # where pairs begin that may be frequent
     while rounds is None or done < rounds:
         done += 1
-        at = np.flatnonzero(live)
         if len(at) < LEAST_USES:
             break
-        keys = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
-        counts = _every_other(at, keys)
+        then = follow[at]
+        keys = seq[at].astype(np.uint64) << np.uint64(32) | seq[then]
+        counts = _every_other(at[1:] == then[:-1], keys)
         frequent = _frequent(keys[counts], LEAST_USES)
         chosen = frequent[:min(most, FIRST_RULE + MOST_RULES - next_rule)]
         if not len(chosen):
@@ -103,39 +110,61 @@ def compress(seq: np.ndarray, last: np.ndarray, rounds: int | None = None,
         often = np.zeros(1 << SLOT_BITS, bool)
         often[_slot(frequent)] = True
         often = often[slots]
-        live = np.zeros(len(seq), bool)
-        live[at[often]] = True
-        often &= counts
+        left = at[often]
+        often = np.flatnonzero(often & counts)
         at, keys, slots = at[often], keys[often], slots[often]
         # rank of each position's pair by a hash table that keeps, of pairs
         # falling on one slot, the most frequent
         table = np.full(1 << SLOT_BITS, -1, np.int32)
         table[_slot(chosen[::-1])] = np.arange(len(chosen) - 1, -1, -1, dtype=np.int32)
         rank = table[slots]
-        hit = (rank >= 0) & (chosen[rank] == keys)
+        hit = np.flatnonzero((rank >= 0) & (chosen[rank] == keys))
         at, rank = at[hit], rank[hit]
         # of overlapping occurrences of two pairs the more frequent wins
-        near = at[1:] == at[:-1] + 1
+        near = at[1:] == follow[at[:-1]]
         win = np.ones(len(at), bool)
         win[1:] &= ~(near & (rank[:-1] < rank[1:]))
         win[:-1] &= ~(near & (rank[1:] < rank[:-1]))
+        win = np.flatnonzero(win)
         at, rank = at[win], rank[win]
         uses = np.bincount(rank, minlength=len(chosen))
         paid = uses >= LEAST_USES  # the most frequent pair always is
-        at, rank = at[paid[rank]], rank[paid[rank]]
-        number = np.cumsum(paid) - 1 + next_rule
+        if not paid.all():
+            stays = np.flatnonzero(paid[rank])
+            at, rank = at[stays], rank[stays]
+        number = (np.cumsum(paid) - 1 + next_rule).astype(np.uint32)
         pair = chosen[paid]
         rules.append(np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         seq[at] = number[rank]
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        last[at] |= last[at + 1]
-        live[at] = True
-        live[at[at > 0] - 1] = True
-        seq, last = seq[keep], last[keep]
-        live = live[keep][:-1] & ~last[:-1]
+        dead = follow[at]
+        alive[dead] = False
+        gone += len(dead)
+        last[at] = last[dead]  # a pair never begins at a final id
+        after = follow[dead]
+        follow[at] = after
+        former[after] = at
+        look = np.zeros(len(seq) + 1, bool)  # one more place: before the first symbol
+        look[left] = True
+        look[at] = True
+        look[former[at]] = True
+        look = look[:-1]
+        look &= alive
+        look &= ~last
         next_rule += int(paid.sum())
-    return seq, last, np.concatenate(rules)
+        if 2 * gone > len(seq):
+            stays = np.flatnonzero(alive)
+            seq, last, look = seq[stays], last[stays], look[stays]
+            follow, former = _links(len(seq))
+            alive, gone = np.ones(len(seq), bool), 0
+        at = np.flatnonzero(look)
+    return seq[alive], last[alive], np.concatenate(rules)
+
+
+def _links(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Next and former place of every place; both have a place ``n`` for none."""
+    former = np.arange(-1, n)
+    former[0] = n
+    return np.arange(1, n + 2), former
 
 
 def _slot(keys: np.ndarray) -> np.ndarray:
@@ -268,5 +297,4 @@ def token_files(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS) ->
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     prepare(spark)
-    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "16")  # rows hold whole shards
     return read_documents(token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))

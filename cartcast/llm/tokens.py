@@ -14,6 +14,7 @@ import json
 import os
 import re
 from array import array
+from codecs import charmap_decode
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 # Marks of keys that are no plain unit (control characters: in no unit)
 _START, _PIECE, _LINE = "\x01", "\x02", " \x03"
 _MARKS = frozenset(".,;:!?")
+_ENDS = ".,;:!?#$%&()*+-/<=>@[]^_{|}~"  # ASCII punctuation but quotes
 _DOUBLE_SPACE = re.compile("[\\t\\n\\r\\x20]\\x20")
 
 
@@ -55,6 +57,8 @@ class UnitTokenizer:
             spec = json.load(f)["pre_tokenizer"]
         self.pieces = regex.compile(
             spec["pretokenizers"][0]["pattern"]["Regex"] if self.words else BYTE_LEVEL)
+        most = self.library.get_vocab_size(with_added_tokens=True)
+        self.packed = [i.to_bytes(4, "little") for i in range(most)]
         self.marks = {m: self._piece(m) for m in _MARKS}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -79,19 +83,24 @@ class UnitTokenizer:
         """Bring units missing from the young generation into it."""
         if len(self.young) > (WORD_GENERATION if self.words else BYTE_GENERATION):
             self.young, self.old = {}, self.young
-        young, old, one = self.young, self.old, self._piece
-        lead = "" if self.words else " "
+        young, old, one, marks = self.young, self.old, self._piece, self.marks
+        lead, shown_lead = ("", "") if self.words else (" ", _SHOWN[0x20])
+        packed, tokenize = self.packed, self.model.tokenize
         for u in units:
             known = old.get(u)
             if known is None:
                 if u.isalpha():
-                    known = one(lead + u)
-                elif u[-1:] in _MARKS and u[:-1].isalpha():
-                    # a word and one mark are two pieces
-                    known = young.get(u[:-1]) or old.get(u[:-1])
+                    if u.isascii():
+                        known = b"".join([packed[t.id] for t in tokenize(shown_lead + u)])
+                    else:
+                        known = one(lead + u)
+                elif (word := u.rstrip(_ENDS)).isalpha() and (u[len(word):] in marks or not self.words):
+                    # a word and marks without a quote are two pieces
+                    known = young.get(word) or old.get(word)
                     if known is None:
-                        known = young[u[:-1]] = one(lead + u[:-1])
-                    known += self.marks[u[-1]]
+                        known = young[word] = one(lead + word)
+                    end = u[len(word):]
+                    known += marks.get(end) or one(end)
                 else:
                     whole = u[1:] if u[:1] == _START else "\n" + u[1:] if u[:1] == _LINE[1] else lead + u
                     known = b""
@@ -104,13 +113,9 @@ class UnitTokenizer:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece of the split pattern, by the library's model."""
-        if piece.isascii() and piece.isalnum():
-            shown = piece
-        elif piece.isascii() and piece[:1] == " " and piece[1:].isalnum():
-            shown = _SHOWN[0x20] + piece[1:]
-        else:
-            shown = piece.encode("utf-8").decode("latin-1").translate(_SHOWN)
-        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        packed = self.packed
+        shown = charmap_decode(piece.encode("utf-8"), "strict", _SHOWN)[0]
+        return b"".join([packed[t.id] for t in self.model.tokenize(shown)])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -129,28 +134,27 @@ class UnitTokenizer:
         young = self.young
         for i in holes:
             known[i] = young[distinct[i]]
-        # gather every unit's ids from one table of the distinct units' ids
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        table = np.frombuffer(b"".join(known), "<u4")
-        at = coded.indices.to_numpy()
-        size = sizes[at]
-        ends = np.cumsum(size)
-        first = np.cumsum(sizes) - sizes
-        total = int(ends[-1]) if len(ends) else 0
-        ids = table[np.repeat(first[at] - (ends - size), size) + np.arange(total)].tobytes()
-        bounds = 4 * np.concatenate([[0], ends])[units.offsets.to_numpy()]
+        # every unit's ids, gathered from those of the distinct units
+        taken = pa.array(known, pa.large_binary()).take(coded.indices)
+        _, ends, ids = taken.buffers()
+        if ids is None or not len(taken):
+            return out
+        ids = memoryview(ids)
+        bounds = np.frombuffer(ends, np.int64)[taken.offset:][units.offsets.to_numpy()]
         for i, s, e in zip(plain, bounds[:-1].tolist(), bounds[1:].tolist()):
-            out[i] = ids[s:e]
+            out[i] = ids[s:e].tobytes()
         return out
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
 
-def _byte_characters() -> dict[int, str]:
-    """Printable stand-ins of the bytes that are not shown as themselves."""
-    hidden = [b for b in range(256) if not chr(b).isprintable() or b in (0x20, 0xA0, 0xAD)]
-    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+def _byte_characters() -> str:
+    """The printable stand-in of each byte: itself, or for those not shown as
+    themselves the characters from 256 on."""
+    spare = map(chr, range(256, 512))
+    return "".join(next(spare) if not chr(b).isprintable() or b in (0x20, 0xA0, 0xAD) else chr(b)
+                   for b in range(256))
 
 
 _SHOWN = _byte_characters()

@@ -32,6 +32,18 @@ def test_units_equal_whole_texts(path, generation, monkeypatch):
             [lib.encode(t or "", add_special_tokens=False).ids for t in part]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_with_marks_equal_the_library(path):
+    """Words of any script before runs of marks, at the start and after breaks."""
+    lib, own = Tokenizer.from_file(path), tokens.UnitTokenizer(path)
+    words = ["tion", "Ciónll", "Êrévi", "x1", "it's", "don't,", "\u0130stanbul", "\u00aa", "2", "", "\u4e2d\u6587"]
+    ends = ["", ",", "!?", "$$$", ".%%%", "'", "-x", "(a)", "_", "\u2026", "..a", "***,'s"]
+    texts = [lead + w + e + tail for w in words for e in ends
+             for lead, tail in (("", ""), ("a ", " b"), ("a\n", "\n" + w + e), (e + " ", "  " + w))]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == \
+        [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_grammar_round_trip(seed):
     rng = np.random.default_rng(seed)
