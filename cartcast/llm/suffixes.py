@@ -28,6 +28,19 @@ Blocks and buckets are sized by bytes of text, so their number grows with the
 corpus. A passage that a third of all documents share costs one entry per
 block, not one per document.
 
+With more than ``FAN_OUT`` buckets a block would send each of them a few bytes.
+Steps 2 and 3 then go by way of *gatherers*: a block sends to coarse buckets,
+about the root of their number; a gatherer takes one coarse bucket from as many
+blocks, merges what they share (an anchor with its number of blocks, a
+surrounding with its smallest document) and sends on to the buckets. Answers
+return the same way. What a block or gatherer sends stays near one row per
+coarse bucket at any size, and a passage of every document is one entry per
+gatherer. A document of a gatherer that is not the smallest there loses all
+windows of the shared surrounding, whatever the bucket answers.
+
+Equal rows (id, text and carried columns) become one with their number before
+the shuffle, per task, and are told apart again at the end.
+
 Defined edge cases: null texts are empty; documents shorter than ``LENGTH``
 keep all their bytes; a null ``doc_id`` counts as smaller than every other and
 equal to other nulls; rows with equal ids do not remove each other's bytes; an
@@ -37,6 +50,7 @@ empty table gives an empty result; long texts are scanned in segments.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +59,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, give_back, prepare
+from .common import by_bytes, documents, give_back, prepare
 
 LENGTH = 50
 GRAM = 20
@@ -56,6 +70,8 @@ BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 SEGMENT = 1 << 19
 HOT_BLOCKS = 64              # an anchor in more blocks is routed by more bytes
+FAN_OUT = 2048               # buckets that a block sends to directly
+HOLD_BYTES = 16 << 20        # repeated rows that a task holds before it sends them
 TASK_WINDOWS = 20_000        # surroundings whose suffixes are sorted at a time
 # Bytes of a surrounding that its windows share, and the windows' numbers: all
 # windows hold the anchor's gram; half of them also the bytes to its right
@@ -79,14 +95,15 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    """64-bit hash of the GRAM bytes that start at every position."""
+    """64-bit hash of the GRAM bytes that start at every position (of the
+    last axis)."""
     h = _BYTE[data]
     four = None
     for i, m in enumerate((1, 2, 4, 8)):
-        h = h[:-m] * _ODD[i] + h[m:]
+        h = h[..., :-m] * _ODD[i] + h[..., m:]
         if m == 2:
             four = h
-    h = h[:len(four) - 16] * _ODD[4] + four[16:]
+    h = h[..., :four.shape[-1] - 16] * _ODD[4] + four[..., 16:]
     return (h ^ (h >> np.uint64(29))) * _ODD[5]
 
 
@@ -202,10 +219,53 @@ def _by_bucket(bucket: np.ndarray, n_buckets: int):
         yield b, order[bounds[b]:bounds[b + 1]]
 
 
+# -- equal rows ------------------------------------------------------------
+def collapse(batches, hold_bytes: int = HOLD_BYTES):
+    """Equal rows of a task as one row and ``copies``. The last column is a
+    hash of id and text and is dropped. Rows that repeat within a few megabytes
+    are held, up to ``hold_bytes``, to be counted over the whole task."""
+    held, size = {}, 0
+
+    def out(table, copies):
+        return table.append_column("copies", pa.array(copies, pa.int64())).to_batches()
+
+    def flush():
+        for row, n in held.values():
+            yield from out(row, [n])
+    for t in by_bytes(batches):
+        keys = t.column(t.num_columns - 1).to_numpy()
+        t = t.select(range(t.num_columns - 1))
+        _, first, group = np.unique(keys, return_index=True, return_inverse=True)
+        copies = np.bincount(group, minlength=len(first))
+        later = np.flatnonzero(first[group] != np.arange(len(keys)))
+        if len(later):  # equal hashes of different rows are told apart
+            same = np.array([a == b for a, b in zip(t.take(later).to_pylist(), t.take(first[group[later]]).to_pylist())])
+            odd = later[~same]
+            copies -= np.bincount(group[odd], minlength=len(first))
+        else:
+            odd = later
+        once = np.sort(np.concatenate([first[copies == 1], odd]))
+        yield from out(t if len(once) == len(keys) else t.take(once), np.ones(len(once), np.int64))
+        for i, n in zip(first[copies > 1].tolist(), copies[copies > 1].tolist()):
+            row, key = t.take([i]), int(keys[i])
+            if key not in held:
+                held[key] = [row, n]
+                size += row.nbytes
+            elif held[key][0].to_pylist() == row.to_pylist():
+                held[key][1] += n
+            else:
+                yield from out(row, [n])
+        if size > hold_bytes:
+            yield from flush()
+            held, size = {}, 0
+    yield from flush()
+
+
 # -- sieve -----------------------------------------------------------------
 SIEVE = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int64()),
-                   ("hashes", pa.binary()), ("several", pa.binary())])
-SIEVE_DDL = "bucket int, block long, n long, hashes binary, several binary"
+                   ("hashes", pa.binary()), ("weights", pa.binary())])
+SIEVE_DDL = "bucket int, block long, n long, hashes binary, weights binary"
+MOST = np.iinfo(np.uint16).max  # weights stop there
 KNOWN = pa.schema([("block", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary()), ("hot", pa.binary())])
 KNOWN_DDL = "block long, n long, hashes binary, hot binary"
 
@@ -215,8 +275,9 @@ def _block(table: pa.Table) -> Block:
     return Block(table["doc_id"].to_pylist(), table["text"].to_pylist())
 
 
-def send_anchors(table: pa.Table, n_buckets: int) -> pa.Table:
-    """A block's distinct anchor hashes, and which lie in several documents."""
+def send_anchors(table: pa.Table, coarse: int, fine: int = 1) -> pa.Table:
+    """A block's distinct anchor hashes by coarse bucket, with weight 2 if they
+    lie in several of its documents, else 1."""
     block = _block(table)
     at, h = block.anchors()
     doc = block.ids[block.document_of(at)]
@@ -225,34 +286,79 @@ def send_anchors(table: pa.Table, n_buckets: int) -> pa.Table:
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
     if not len(first):
         return SIEVE.empty_table()
-    several = np.maximum.reduceat(doc, first) > np.minimum.reduceat(doc, first)
+    weight = 1 + (np.maximum.reduceat(doc, first) > np.minimum.reduceat(doc, first)).astype(np.uint16)
     h = h[first]
-    rows = [{"bucket": b, "block": table["block"][0].as_py(), "n": len(i), "hashes": _pack(_planes(h[i])),
-             "several": _pack(np.packbits(several[i]))} for b, i in _by_bucket(bucket_of(h, n_buckets), n_buckets)]
+    return _sieve_rows(h, weight, bucket_of(h, coarse * fine) // fine, coarse, 0, table["block"][0].as_py())
+
+
+def _sieve_rows(h: np.ndarray, weight: np.ndarray, bucket: np.ndarray, n_buckets: int, base: int, block: int) -> pa.Table:
+    rows = [{"bucket": base + b, "block": block, "n": len(i), "hashes": _pack(_planes(h[i])),
+             "weights": _pack(weight[i].astype(np.uint16))} for b, i in _by_bucket(bucket, n_buckets)]
     return pa.Table.from_pylist(rows, schema=SIEVE)
 
 
-def answer_anchors(table: pa.Table, hot_blocks: int) -> pa.Table:
-    """For every block, those of its anchors that two documents have, and
-    which of them more than ``hot_blocks`` blocks have."""
+def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of sieve rows and their total weights, ascending."""
     rows = table.to_pylist()
-    hashes = [_from_planes(r["hashes"], r["n"]) for r in rows]
-    several = [_bits(r["several"], r["n"]) for r in rows]
-    every = np.sort(np.concatenate([*hashes, *[h[s] for h, s in zip(hashes, several)]]))
+    every = np.concatenate([_from_planes(r["hashes"], r["n"]) for r in rows])
+    weights = np.concatenate([_unpack(r["weights"], np.uint16, r["n"]) for r in rows])
+    order = np.argsort(every)
+    every, weights = every[order], weights[order]
     first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-    count = np.diff(first, append=len(every))
-    twice, often = every[first[count > 1]], count[count > 1] > 2 * hot_blocks
+    return every[first], np.add.reduceat(weights.astype(np.int64), first)
+
+
+def _found(h: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the ascending ``among``, whether it holds the hash)."""
+    if not len(among):
+        return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+    slot = np.minimum(np.searchsorted(among, h), len(among) - 1)
+    return slot, among[slot] == h
+
+
+def _answers(table: pa.Table, alive: np.ndarray, often: np.ndarray) -> pa.Table:
+    """For every sieve row, those of its hashes that are in ``alive``."""
     out = []
-    for r, h in zip(rows, hashes):
-        if len(twice):
-            at = np.minimum(np.searchsorted(twice, h), len(twice) - 1)
-            hit = twice[at] == h
-            if hit.any():
-                out.append({"block": r["block"], "n": int(hit.sum()), "hashes": _pack(_planes(h[hit])),
-                            "hot": _pack(np.packbits(often[at[hit]]))})
+    for r in table.to_pylist():
+        h = _from_planes(r["hashes"], r["n"])
+        at, hit = _found(h, alive)
+        if hit.any():
+            out.append({"block": r["block"], "n": int(hit.sum()), "hashes": _pack(_planes(h[hit])),
+                        "hot": _pack(np.packbits(often[at[hit]]))})
     return pa.Table.from_pylist(out, schema=KNOWN)
 
 
+def answer_anchors(table: pa.Table, hot_blocks: int) -> pa.Table:
+    """For every sender, those of its anchors that two documents have, and
+    which of them more than ``hot_blocks`` blocks have."""
+    every, weight = _added(table)
+    return _answers(table, every[weight > 1], weight[weight > 1] > 2 * hot_blocks)
+
+
+def gather_anchors(table: pa.Table, coarse: int, fine: int) -> pa.Table:
+    """Anchors of a coarse bucket from many blocks, added up, by bucket."""
+    h, weight = _added(table)
+    c = table["bucket"][0].as_py()
+    return _sieve_rows(h, np.minimum(weight, MOST), bucket_of(h, coarse * fine) - c * fine, fine, c * fine,
+                       table["gatherer"][0].as_py() * coarse + c)
+
+
+def return_anchors(table: pa.Table, known: pa.Table) -> pa.Table:
+    """A gatherer's answers, for the blocks that sent to it."""
+    if not table.num_rows or not known.num_rows:
+        return KNOWN.empty_table()
+    return _answers(table, *_alive(known))
+
+
+def _alive(known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Answered hashes, ascending, and which are hot."""
+    rows = known.to_pylist()
+    alive = np.concatenate([_from_planes(r["hashes"], r["n"]) for r in rows])
+    often = np.concatenate([_bits(r["hot"], r["n"]) for r in rows])
+    order = np.argsort(alive)
+    return alive[order], often[order]
+
+
 def _bits(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(_unpack(data, np.uint8, -(-n // 8)))[:n].astype(bool)
 
@@ -272,30 +378,23 @@ def _distinct(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order[first], ids[order][first]
 
 
-def send_surroundings(table: pa.Table, known: pa.Table, n_buckets: int) -> pa.Table:
-    """Distinct surroundings of a block's surviving anchors, per bucket."""
+def send_surroundings(table: pa.Table, known: pa.Table, coarse: int, fine: int = 1) -> pa.Table:
+    """Distinct surroundings of a block's surviving anchors, by coarse bucket."""
     if not table.num_rows or not known.num_rows:
         return ROUTED.empty_table()
     block = _block(table)
     at, h = block.anchors()
-    answers = known.to_pylist()
-    alive = np.concatenate([_from_planes(r["hashes"], r["n"]) for r in answers])
-    often = np.concatenate([_bits(r["hot"], r["n"]) for r in answers])
-    order = np.argsort(alive)
-    alive, often = alive[order], often[order]
-    slot = np.minimum(np.searchsorted(alive, h), len(alive) - 1)
-    hit = alive[slot] == h
+    alive, often = _alive(known)
+    slot, hit = _found(h, alive)
     at, h, hot = at[hit], h[hit], often[slot[hit]]
     pick, least = _distinct(block.surrounding_hashes(at), block.ids[block.document_of(at)])
     at, h, hot = at[pick], h[pick], hot[pick]
     out = []
 
     def send(some: np.ndarray, keys: np.ndarray, side: int):
-        for b, i in _by_bucket(bucket_of(keys, n_buckets), n_buckets):
+        for b, i in _by_bucket(bucket_of(keys, coarse * fine) // fine, coarse):
             i = some[i]
-            rows, left, right = block.surroundings(at[i])
-            out.append({"bucket": b, "side": side, "block": table["block"][0].as_py(), "n": len(i),
-                        "bytes": _pack(rows), "left": _pack(left), "right": _pack(right), "least": _pack(least[i])})
+            out.append(_routed_row(b, side, table["block"][0].as_py(), *block.surroundings(at[i]), least[i]))
     send(np.flatnonzero(~hot), h[~hot], 0)
     some = np.flatnonzero(hot)
     if len(some):
@@ -306,6 +405,42 @@ def send_surroundings(table: pa.Table, known: pa.Table, n_buckets: int) -> pa.Ta
     return pa.Table.from_pylist(out, schema=ROUTED)
 
 
+def _routed_row(bucket: int, side: int, block: int, rows, left, right, least) -> dict:
+    return {"bucket": bucket, "side": side, "block": block, "n": len(rows), "bytes": _pack(rows),
+            "left": _pack(left), "right": _pack(right), "least": _pack(least)}
+
+
+def _by_side(table: pa.Table):
+    """(side, its rows) of the sides that occur."""
+    rows = table.to_pylist()
+    for side in range(len(SIDES)):
+        sent = [r for r in rows if r["side"] == side]
+        if sent:
+            yield side, sent
+
+
+def _sent(sent: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, left, right, least) of routed rows, end to end."""
+    return (np.concatenate([_unpack(r["bytes"], np.uint8, r["n"] * WIDTH).reshape(-1, WIDTH) for r in sent]),
+            *[np.concatenate([_unpack(r[c], t, r["n"]) for r in sent])
+              for c, t in (("left", np.uint8), ("right", np.uint8), ("least", np.int64))])
+
+
+def gather_surroundings(table: pa.Table, coarse: int, fine: int) -> pa.Table:
+    """Surroundings of a coarse bucket from many blocks, each once with its
+    smallest document, by bucket."""
+    c, out = table["bucket"][0].as_py(), []
+    key = table["gatherer"][0].as_py() * coarse + c
+    for side, sent in _by_side(table):
+        rows, left, right, least = _sent(sent)
+        pick, lowest, _ = _groups(rows, left, right, least, surrounding_hash(rows, left, right))
+        rows, left, right = rows[pick], left[pick], right[pick]
+        keys = bytes_hash(rows, side) if side else _gram_hashes(rows[:, LEFT:LEFT + GRAM])[:, 0]
+        for b, i in _by_bucket(bucket_of(keys, coarse * fine) - c * fine, fine):
+            out.append(_routed_row(c * fine + b, side, key, rows[i], left[i], right[i], lowest[i]))
+    return pa.Table.from_pylist(out, schema=ROUTED)
+
+
 # -- two-stage suffix sorting ----------------------------------------------
 def two_stage_sort(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
     """Positions where ``wanted``, in the order of their suffixes.
@@ -468,33 +603,30 @@ def _sorted_windows(rows, left, right, least, side) -> np.ndarray:
 
 MARKED = pa.schema([("block", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()), ("masks", pa.binary())])
 MARKED_DDL = "block long, n long, keys binary, masks binary"
+ALL = np.uint32((1 << SPAN) - 1)  # every window
 
 
 def mark_windows(table: pa.Table) -> pa.Table:
-    """Per block: surroundings with windows that start in a smaller document
+    """Per sender: surroundings with windows that start in a smaller document
     elsewhere, as (hash, bit per window)."""
     out = []
-    for side in range(len(SIDES)):
-        sent = [r for r in table.to_pylist() if r["side"] == side]
-        if sent:
-            out += _mark_side(sent, side)
+    bits = np.uint32(1) << np.arange(SPAN, dtype=np.uint32)
+    for side, sent in _by_side(table):
+        rows, left, right, least = _sent(sent)
+        keys = surrounding_hash(rows, left, right)
+        pick, lowest, group = _groups(rows, left, right, least, keys)
+        best = smallest_documents(rows[pick], left[pick], right[pick], lowest, side)
+        out += _marks(sent, keys, lambda part: ((best[group[part]] < least[part, None]) @ bits).astype(np.uint32))
     return pa.Table.from_pylist(out, schema=MARKED)
 
 
-def _mark_side(sent: list[dict], side: int) -> list[dict]:
-    rows = np.concatenate([_unpack(r["bytes"], np.uint8, r["n"] * WIDTH).reshape(-1, WIDTH) for r in sent])
-    left = np.concatenate([_unpack(r["left"], np.uint8, r["n"]) for r in sent])
-    right = np.concatenate([_unpack(r["right"], np.uint8, r["n"]) for r in sent])
-    least = np.concatenate([_unpack(r["least"], np.int64, r["n"]) for r in sent])
-    keys = surrounding_hash(rows, left, right)
-    pick, lowest, group = _groups(rows, left, right, least, keys)
-    best = smallest_documents(rows[pick], left[pick], right[pick], lowest, side)
+def _marks(sent: list[dict], keys: np.ndarray, masks_of) -> list[dict]:
+    """Marked rows of routed rows that lie end to end in ``keys``."""
     out, at = [], 0
-    bits = np.uint32(1) << np.arange(SPAN, dtype=np.uint32)
     for r in sent:
         part = slice(at, at + r["n"])
         at += r["n"]
-        masks = ((best[group[part]] < least[part, None]) @ bits).astype(np.uint32)
+        masks = masks_of(part)
         hit = np.flatnonzero(masks)
         if len(hit):
             hit = hit[np.argsort(keys[part][hit])]
@@ -503,6 +635,37 @@ def _mark_side(sent: list[dict], side: int) -> list[dict]:
     return out
 
 
+def _masks(marked: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Marked hashes, ascending, and their masks; a surrounding that both
+    sides have routed has two entries."""
+    got = marked.to_pylist()
+    if not got:
+        return np.empty(0, np.uint64), np.empty(0, np.uint32)
+    keys = np.concatenate([_from_planes(r["keys"], r["n"]) for r in got])
+    masks = np.concatenate([_unpack(r["masks"], np.uint32, r["n"]) for r in got])
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.bitwise_or.reduceat(masks[order], first)
+
+
+def return_marks(table: pa.Table, marked: pa.Table) -> pa.Table:
+    """A gatherer's marks, for the blocks that sent to it: all windows of a
+    surrounding that a smaller document of the gatherer has, else the bucket's
+    marks."""
+    known, masks = _masks(marked)
+    out = []
+    for _, sent in _by_side(table):
+        rows, left, right, least = _sent(sent)
+        keys = surrounding_hash(rows, left, right)
+        _, lowest, group = _groups(rows, left, right, least, keys)
+        slot, hit = _found(keys, known)
+        mask = np.where(least > lowest[group], ALL, np.uint32(0))
+        mask[hit] |= masks[slot[hit]]
+        out += _marks(sent, keys, lambda part: mask[part])
+    return pa.Table.from_pylist(out, schema=MARKED)
+
+
 def _groups(rows, left, right, least, keys):
     """One row per distinct surrounding, its smallest document, and the group
     of every row; equal hashes of different bytes are told apart."""
@@ -520,21 +683,16 @@ def _groups(rows, left, right, least, keys):
 
 # -- removal ---------------------------------------------------------------
 def removed_bytes(block: Block, keys: np.ndarray, masks: np.ndarray) -> np.ndarray:
-    """Flag of every byte of a block that goes."""
+    """Flag of every byte of a block that goes; ``keys`` ascending."""
     at, _ = block.anchors()
     starts = np.zeros(len(block.data) + LENGTH, bool)
     own = block.surrounding_hashes(at)
     doc = block.document_of(at)
     pick, least = _distinct(own, block.ids[doc])
     later = block.ids[doc] > least[np.searchsorted(own[pick], own)]
-    mask = np.where(later, np.uint32((1 << SPAN) - 1), np.uint32(0))
-    if len(keys):  # a surrounding routed by both sides has two entries
-        order = np.argsort(keys)
-        keys = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        keys, masks = keys[first], np.bitwise_or.reduceat(masks[order], first)
-        slot = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-        mask |= np.where(keys[slot] == own, masks[slot], np.uint32(0))
+    mask = np.where(later, ALL, np.uint32(0))
+    slot, marked = _found(own, keys)
+    mask[marked] |= masks[slot[marked]]
     hit = np.flatnonzero(mask)
     at, doc, mask = at[hit], doc[hit], mask[hit]
     low, high = block.starts[doc], block.ends[doc] - LENGTH
@@ -549,7 +707,7 @@ def removed_bytes(block: Block, keys: np.ndarray, masks: np.ndarray) -> np.ndarr
 
 def suffix_dedup(docs: DataFrame, with_text: bool = False, carry: tuple[str, ...] = (),
                  block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES,
-                 hot_blocks: int = HOT_BLOCKS) -> DataFrame:
+                 hot_blocks: int = HOT_BLOCKS, fan_out: int = FAN_OUT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per document.
 
     ``with_text`` adds ``kept`` (binary, the remaining bytes) and ``kept_text``
@@ -560,7 +718,9 @@ def suffix_dedup(docs: DataFrame, with_text: bool = False, carry: tuple[str, ...
                        *[F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)])
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks, n_buckets = max(1, -(-total // block_bytes)), max(1, -(-total // bucket_bytes))
-    rows = base.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)))
+    base = base.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)))
+    rows = base.withColumn("row_key", F.xxhash64("doc_id", "text")).mapInArrow(
+        collapse, T.StructType([*base.schema.fields, T.StructField("copies", T.LongType())]))
     fields = [T.StructField("doc_id", T.LongType()), *[T.StructField(c, docs.schema[c].dataType) for c in carry],
               T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
               T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())]
@@ -569,10 +729,7 @@ def suffix_dedup(docs: DataFrame, with_text: bool = False, carry: tuple[str, ...
 
     def remove(table: pa.Table, marked: pa.Table) -> pa.Table:
         block = _block(table)
-        got = marked.to_pylist()
-        keys = np.concatenate([np.empty(0, np.uint64), *[_from_planes(r["keys"], r["n"]) for r in got]])
-        masks = np.concatenate([np.empty(0, np.uint32), *[_unpack(r["masks"], np.uint32, r["n"]) for r in got]])
-        gone = removed_bytes(block, keys, masks)
+        gone = removed_bytes(block, *_masks(marked))
         n_removed, n_spans, sha, kept = [], [], [], []
         for s, e in zip(block.starts.tolist(), block.ends.tolist()):
             g = gone[s:e]
@@ -586,17 +743,39 @@ def suffix_dedup(docs: DataFrame, with_text: bool = False, carry: tuple[str, ...
         cols = [table["doc_id"], *[table[f"carry_{i}"] for i in range(len(carry))],
                 pa.array(block.ends - block.starts), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()),
                 pa.array(sha, pa.string()), *([pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())]
-                  if with_text else [])]
-        return pa.Table.from_arrays(cols, names=[f.name for f in fields])
+                  if with_text else []), table["copies"]]
+        return pa.Table.from_arrays(cols, names=[*[f.name for f in fields], "copies"])
+
+    coarse = n_buckets if n_buckets <= fan_out else math.isqrt(n_buckets - 1) + 1
+    fine = -(-n_buckets // coarse)
+
+    def gathered(sent: DataFrame):
+        # as many blocks as coarse buckets: a gatherer gets about what a block sends
+        return sent.withColumn("gatherer", F.expr(f"block div {coarse}")).groupBy("bucket", "gatherer")
+
+    def returned(answers: DataFrame):
+        return (answers.withColumn("bucket", F.expr(f"cast(block % {coarse} as int)"))
+                .withColumn("gatherer", F.expr(f"block div {coarse}")).groupBy("bucket", "gatherer"))
+
+    def by_way_of_gatherers(sent: DataFrame, gather, answer, give) -> DataFrame:
+        """Answers of the buckets to the blocks that sent."""
+        if fine == 1:
+            return sent.groupBy("bucket").applyInArrow(*answer)
+        at_gatherers = gathered(sent)
+        answers = at_gatherers.applyInArrow(lambda t: gather(t, coarse, fine), sent.schema).groupBy("bucket").applyInArrow(*answer)
+        return at_gatherers.cogroup(returned(answers)).applyInArrow(give, answer[1])
 
     # one shuffle of the texts serves all three uses of the blocks
     blocks = rows.groupBy("block")
-    known = (blocks.applyInArrow(lambda t: send_anchors(t, n_buckets), SIEVE_DDL)
-             .groupBy("bucket").applyInArrow(lambda t: answer_anchors(t, hot_blocks), KNOWN_DDL))
+    known = by_way_of_gatherers(blocks.applyInArrow(lambda t: send_anchors(t, coarse, fine), SIEVE_DDL), gather_anchors,
+                                (lambda t: answer_anchors(t, hot_blocks), KNOWN_DDL), return_anchors)
     routed = blocks.cogroup(known.groupBy("block")).applyInArrow(
-        lambda t, k: send_surroundings(t, k, n_buckets), ROUTED_DDL)
-    marked = routed.groupBy("bucket").applyInArrow(mark_windows, MARKED_DDL)
-    return blocks.cogroup(marked.groupBy("block")).applyInArrow(remove, T.StructType(fields))
+        lambda t, k: send_surroundings(t, k, coarse, fine), ROUTED_DDL)
+    marked = by_way_of_gatherers(routed, gather_surroundings, (mark_windows, MARKED_DDL), return_marks)
+    done = blocks.cogroup(marked.groupBy("block")).applyInArrow(
+        remove, T.StructType([*fields, T.StructField("copies", T.LongType())]))
+    names = [f.name for f in fields]
+    return done.select(*names, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select(*names)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

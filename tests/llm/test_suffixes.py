@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from cartcast.llm import suffixes as S
 
@@ -75,6 +76,60 @@ def test_equals_brute_force(make):
     assert rows_of(S.suffix_dedup(frame, block_bytes=300, bucket_bytes=700)) == want
     # every repeated anchor is hot: routed by its right and its left bytes
     assert rows_of(S.suffix_dedup(frame, block_bytes=300, bucket_bytes=700, hot_blocks=0)) == want
+    # blocks reach the buckets by way of gatherers
+    for hot in (0, S.HOT_BLOCKS):
+        assert rows_of(S.suffix_dedup(frame, block_bytes=300, bucket_bytes=700, hot_blocks=hot, fan_out=2)) == want
+
+
+def test_sent_rows_do_not_grow_with_the_buckets():
+    rng = np.random.default_rng(7)
+    table = pa.table({"doc_id": list(range(50)), "block": [0] * 50,
+                      "text": ["".join(map(chr, rng.integers(97, 123, 20_000))) for _ in range(50)]})
+
+    def sent(n_buckets):
+        coarse = n_buckets if n_buckets <= S.FAN_OUT else S.math.isqrt(n_buckets - 1) + 1
+        out = S.send_anchors(table, coarse, -(-n_buckets // coarse))
+        assert sum(out["n"].to_pylist()) == hashes
+        return out.num_rows, sum(len(b) for b in out["hashes"].to_pylist())
+    hashes = len(np.unique(S._block(table).anchors()[1]))
+    few, many = sent(32), sent(1 << 20)
+    assert many[0] <= 1024 and many[1] < 1.3 * few[1]
+
+
+def test_a_shared_surrounding_is_one_entry_per_gatherer():
+    rng = np.random.default_rng(8)
+    rows = rng.integers(97, 123, (1, S.WIDTH)).astype(np.uint8)
+    full = np.full(1, S.LEFT, np.uint8), np.full(1, S.LENGTH, np.uint8)
+    key = S._gram_hashes(rows[:, S.LEFT:S.LEFT + S.GRAM])[:, 0]
+    c = int(S.bucket_of(key, 12)[0]) // 4
+    sent = [{**S._routed_row(c, 0, b, rows, *full, np.array([100 - b])), "gatherer": 5} for b in range(15, 18)]
+    table = pa.Table.from_pylist(sent, schema=S.ROUTED.append(pa.field("gatherer", pa.int64())))
+    out = S.gather_surroundings(table, 3, 4).to_pylist()
+    assert [(r["bucket"], r["block"], r["n"]) for r in out] == [(int(S.bucket_of(key, 12)[0]), 15 + c, 1)]
+    assert S._unpack(out[0]["least"], np.int64, 1).tolist() == [83]
+    # all but the smallest document lose every window, whatever the bucket says
+    back = S.return_marks(table, S.MARKED.empty_table()).to_pylist()
+    assert [r["block"] for r in back] == [15, 16]
+    assert all(S._unpack(r["masks"], np.uint32, 1)[0] == S.ALL for r in back)
+
+
+def test_equal_rows_are_counted_first(make, monkeypatch):
+    def batches():
+        for part in range(6):
+            yield pa.RecordBatch.from_pylist(
+                [{"doc_id": d, "text": t, "key": k} for d, t, k in
+                 [(1, "hot", 7), (1, "hot", 7), (None, None, 8), (2, "other", 7), (3 + part, "one", 9 + part)] * (1 + part % 2)])
+    monkeypatch.setattr(S, "by_bytes", lambda it: (pa.Table.from_batches([b]) for b in it))
+    for hold in (0, 1 << 20):
+        got = [r for b in S.collapse(batches(), hold) for r in b.to_pylist()]
+        total = {}
+        for r in got:
+            total[r["doc_id"], r["text"]] = total.get((r["doc_id"], r["text"]), 0) + r["copies"]
+        assert total == {(1, "hot"): 18, (None, None): 9, (2, "other"): 9, **{(3 + i, "one"): 1 + i % 2 for i in range(6)}}
+    assert sum(r["text"] == "hot" for r in got) == 1  # held over the whole task
+    monkeypatch.undo()
+    rows = [(4, "x" * 70)] * 40 + [(None, "y" * 60)] * 30 + [(5, "x" * 60), (4, "y" * 50 + "z")]
+    assert rows_of(S.suffix_dedup(make(rows))) == brute(rows)
 
 
 def test_parts_of_a_bucket(monkeypatch):
