@@ -5,8 +5,8 @@ maps every mergeable pair to all its positions in that sequence; active ranks
 leave a heap in ascending order, each is applied at all its live positions from
 left to right, and the lists of the pairs that appear are updated. Text is
 therefore merged once per distinct word and batch, whatever its frequency, and
-results are remembered per worker in a cache of bounded size (a full cache is
-emptied; nothing depends on it but speed).
+results are remembered per worker in a cache bounded in words and in bytes (a
+full cache is emptied; nothing depends on it but speed).
 
 The vocabulary file is the tokenizers JSON format: NFC, white space collapsed,
 lower case, words by pattern, bytes as printable characters, ``</w>`` on the
@@ -14,7 +14,10 @@ last symbol of a word, special-token strings recognised in the raw text. With
 no decoder in the file, ids decode to their symbols joined by spaces.
 
 Defined edge cases: null and empty texts encode to no ids and decode to the
-empty string; repeated rows are each encoded; null ids are kept.
+empty string; repeated rows are each encoded; null ids are kept; a pair's
+overlapping occurrences are merged from the left; a very long text or unbroken
+word is encoded whole, through the same index; an empty table gives an empty
+result; further columns are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import arrow_rows, documents, keyed_text, prepare
 
 CACHE_WORDS = 500_000
+CACHE_BYTES = 256 << 20  # of words, ids and shown symbols
 
 
 def byte_symbols() -> dict[int, str]:
@@ -69,6 +73,7 @@ class WordBpe:
         self.pair_keys, self.pair_ranks = keys[order], order
         self.cache: dict[str, bytes] = {}
         self.shown: dict[str, str] = {}
+        self.held = 0  # bytes in both
 
     # -- merging -----------------------------------------------------------
     def _layout(self, words: list[str]) -> np.ndarray:
@@ -183,9 +188,10 @@ class WordBpe:
     def learn(self, units: set[str]) -> None:
         """Encode the units that the cache does not hold yet."""
         cache, shown, symbols = self.cache, self.shown, self.symbols
-        if len(cache) + len(units) > CACHE_WORDS:
+        if len(cache) + len(units) > CACHE_WORDS or self.held > CACHE_BYTES:
             cache.clear()
             shown.clear()
+            self.held = 0
         new = units.difference(shown)
         split = {u: self._pieces(u) for u in new.difference(cache, self.special)
                  if not (u.isascii() and u.isalpha())}
@@ -194,6 +200,7 @@ class WordBpe:
             words.update(ws)
         words = sorted(words.difference(cache))
         cache.update(zip(words, self.encode_words(words)))
+        self.held += sum(len(w) + len(cache[w]) for w in words)
         for u, ws in split.items():
             if len(ws) != 1 or ws[0] != u:
                 cache[u] = b"".join([cache[w] for w in ws])
@@ -201,6 +208,7 @@ class WordBpe:
             if u in self.special:
                 cache[u] = np.array([self.special[u]], "<u4").tobytes()
             shown[u] = " ".join([symbols[i] for i in np.frombuffer(cache[u], "<u4").tolist()])
+            self.held += len(u) + len(shown[u])
 
     def encode_batch(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
         """(little-endian 32-bit ids, decoded text) of each text."""

@@ -10,17 +10,20 @@ probabilities averaged per document.
 
 Defined edge cases: a null text, or one without a letter, gives ``und`` and
 score 0; with no labelled row every text gives ``und`` and score 0; a null
-``doc_id`` is hashed as the empty string; empty tables give empty results.
+``doc_id`` is hashed as the empty string; repeated rows are each labelled, and
+learnt from once; equal probabilities give the language that sorts first; every
+window of a very long text counts, ``CHUNK`` at a time; further columns are not
+read; empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, crc_of_id, documents, prepare
+from .common import arrow_rows, crc_of_id, documents, lowest_per_class, prepare
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -162,15 +165,13 @@ def fit_language_model(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG)
     """Train on a bounded sample of ``(doc_id, text, lang)``.
 
     The sample is the ``docs_per_lang`` distinct documents per language that
-    come first in hash order. Only hashes are ranked (the limit is applied
-    before the shuffle, so a hot language sends no more of them than a rare
-    one); texts are then read for the chosen hashes, each once.
+    come first in hash order. Hashes are counted by ranges first and only a
+    language's boundary range is ranked, so no task holds a language; texts are
+    then read for the chosen hashes, each once.
     """
     known = (labelled.filter("text is not null and lang is not null and lang != ''")
              .select("lang", "text", F.xxhash64("doc_id", "text").alias("key")))
-    order = Window.partitionBy("lang").orderBy("key")
-    chosen = (known.select("lang", "key").distinct()
-              .withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= docs_per_lang).drop("_at"))
+    chosen = lowest_per_class(known.select("lang", "key").distinct(), "lang", "key", "key", docs_per_lang)
     # at most docs_per_lang rows a language
     texts = known.join(F.broadcast(chosen), ["lang", "key"]).groupBy("lang", "key").agg(F.first("text").alias("text"))
 

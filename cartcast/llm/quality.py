@@ -12,8 +12,10 @@ corpus. The per-document scalars are saved once to the shared scratch folder,
 so texts are read a single time.
 
 Defined edge cases: a null or wordless text has no words, fails the base rules
-and is not kept; repeated rows are each judged; an empty table gives an empty
-result; a null ``doc_id`` is passed through.
+and is not kept; repeated rows are each judged; a posterior of exactly one half
+keeps the text; a very long text is measured whole, in one task; an empty table
+gives an empty result; a null ``doc_id`` is passed through; further columns are
+not read.
 """
 
 from __future__ import annotations

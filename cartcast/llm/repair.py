@@ -21,7 +21,8 @@ as a plane of low 16-bit halves and a plane of high bytes. Rows carry
 
 Defined edge cases: null and empty texts hold the end id alone; repeated rows
 and equal ids are each written, ordered by text; null ids come first; a long
-document fills a shard of its own; an empty table writes no shard.
+document fills a shard of its own; of two pairs that occur equally often the
+smaller goes first; an empty table writes no shard; further columns are not read.
 """
 
 from __future__ import annotations

@@ -15,12 +15,15 @@ Spark's own commit protocol, complete when they hold ``_SUCCESS``.
 
 Defined edge cases: null and empty texts count zero tokens and one document;
 null sources, languages or versions form a key of their own; repeated rows
-count as often as they occur; an empty batch commits with no rows.
+count as often as they occur, and of several rows with the smallest id of a text
+none is a copy; an empty batch commits with no rows, and an empty table gives no
+totals; a very long text is counted whole, by one pass of the pattern; further
+columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -28,6 +31,7 @@ from .common import documents, prepare, saved
 
 KEYS = ("source", "lang", "version")
 MEASURES = ("n_docs", "n_tokens", "n_chars")
+SALTS = 64  # places of a text's copies
 
 # Tokenizer versions of the registered query: pattern of one token.
 VERSIONS = {"words-1": "[^\\x20\\x09-\\x0D]+", "letters-1": "[A-Za-z]+"}
@@ -127,10 +131,16 @@ class Rollup:
 
 def marked_copies(rows: DataFrame) -> DataFrame:
     """Measured documents and ``is_copy``: a document with a smaller id has
-    the same text. A hot text's first id is pre-aggregated."""
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    return rows.join(first, "digest").withColumn(
-        "is_copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))).drop("first_id")
+    the same text. Texts are dealt by digest and a salt of their id, so a hot
+    text lies in ``SALTS`` places; the first ids of these, at most ``SALTS`` a
+    text, are compared, and only texts with several rows are joined."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    whole = Window.partitionBy("digest")
+    first = (salted.groupBy("digest", "salt").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+             .select("digest", "salt", F.min("first_id").over(whole).alias("first_id"), F.sum("n").over(whole).alias("n"))
+             .filter("n > 1").drop("n"))
+    return salted.join(first, ["digest", "salt"], "left").withColumn(
+        "is_copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))).drop("first_id", "salt")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,9 @@ it, which connects any two members up to three bits apart.
 
 Defined edge cases: null and empty texts have fingerprint zero, linked like
 any other; repeated rows share a fingerprint; an empty table gives an empty
-result; null ids are kept and ignored when the smallest id is taken.
+result; null ids are kept and ignored when the smallest id is taken; a very long
+text gives one fingerprint of all its shingles; a bit set in exactly half of the
+hashes is 0; further columns are not read.
 """
 
 from __future__ import annotations

@@ -25,8 +25,9 @@ each, are set aside and joined afterwards, last to the next partition's first.
 Defined edge cases: null and empty texts have no paragraph (an all-zero
 table); two texts without paragraphs are alike (1), and one without to one
 with is not (0); repeated rows and equal ids follow each other by text; null
-ids come first; a single document is its own next; an empty table gives an
-empty result.
+ids come first; a single document is its own next; a very long text takes as many
+cells as its differences ask for; an empty table gives an empty result; further
+columns are not read.
 """
 
 from __future__ import annotations

@@ -59,3 +59,20 @@ def test_nulls_repeats_and_empty(make):
     rows = bpe.encode_documents(frame, PATH).collect()
     assert sorted(r["n_tokens"] for r in rows) == [0, 0, 2, 2, 2]
     assert bpe.bpe_digests(frame.limit(0), PATH).count() == 0
+
+
+def test_very_long_texts_and_words(make):
+    texts = ["several plain words, again " * 30_000, "abc" * 20_000, "é" * 30_000]
+    got = {r["doc_id"]: r for r in bpe.bpe_digests(make(list(enumerate(texts))), PATH).collect()}
+    for i, (ids, text) in enumerate(want(texts)):
+        assert (got[i]["ids_sha256"], got[i]["decoded_sha256"]) == \
+            (hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_cache_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 10_000)
+    coder = bpe.WordBpe(PATH)
+    for i in range(30):
+        texts = [f"long{i}" + "q" * 900, "short"]
+        assert coder.encode_batch(texts) == want(texts)
+        assert sum(map(len, coder.cache)) + sum(map(len, coder.cache.values())) < 20_000

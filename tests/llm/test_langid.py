@@ -55,3 +55,54 @@ def test_edge_cases(make):
     assert langid.language_id(make(rows).limit(0)).count() == 0
     unlabelled = langid.language_id(make([(1, "text", None)])).first()
     assert (unlabelled["lang_pred"], unlabelled["score"]) == ("und", 0.0)
+
+
+def brute_label(net, text):
+    """Label and score by the definition, in plain loops."""
+    if text is None or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    data = text.encode()
+    data += bytes(-len(data) % langid.WINDOW)
+    total = [0.0] * len(net.labels)
+    windows = [data[i:i + langid.WINDOW] for i in range(0, len(data), langid.WINDOW)]
+    for window in windows:
+        hidden = []
+        for filters, bias, width in zip(net.filters, net.bias, langid.WIDTHS):
+            for f in range(langid.FILTERS):
+                top = max(sum(float(filters[k][window[i + k]][f]) for k in range(width))
+                          for i in range(langid.WINDOW - width + 1))
+                hidden.append(max(0.0, top + float(bias[f])))
+        z = [sum(h * float(net.out[i][j]) for i, h in enumerate(hidden)) + float(net.out_bias[j]) for j in range(len(total))]
+        e = [np.exp(v - max(z)) for v in z]
+        total = [t + v / sum(e) for t, v in zip(total, e)]
+    share = [t / len(windows) for t in total]
+    return net.labels[share.index(max(share))], max(share)
+
+
+def test_whole_rows_equal_a_brute_force_scorer(make):
+    rng = np.random.default_rng(9)
+    net = langid.ByteConvNet(["a", "b", "c"])
+    net.bias[:] = rng.normal(0, 0.5, net.bias.shape)
+    net.out[:] = rng.normal(0, 0.4, net.out.shape)
+    texts = [None, "", "12 !", "x", "é" * 70, "plain words of a text " * 9,
+             *["".join(map(chr, rng.integers(32, 600, n))) for n in (5, 64, 127, 128, 129, 400)]]
+    rows = [(i if i else None, t) for i, t in enumerate(texts)]
+    docs = make(rows).selectExpr("doc_id", "text", "doc_id % 2 = 0 held_out")
+    got = {r["doc_id"]: tuple(r)[1:] for r in langid.identify(docs, net).collect()}
+    assert len(got) == len(rows)
+    for i, text in rows:
+        label, score = brute_label(net, text)
+        held, lang, value = got[i]
+        assert lang == label and abs(value - score) < 1e-4 and held == (None if i is None else i % 2 == 0)
+
+
+def test_sample_takes_the_first_hashes_of_each_language(make, monkeypatch):
+    seen = []
+
+    def fit(net, x, y):
+        seen.append((net.labels, len(x), np.bincount(y).tolist()))
+        return net
+    monkeypatch.setattr(langid.ByteConvNet, "fit", fit)
+    rows = [(i, f"text {i}", ("en", "de")[i % 9 == 0]) for i in range(400)] + [(1, "text 1", "en")] * 300
+    langid.fit_language_model(make(rows), 50)
+    assert seen == [(["de", "en"], 95, [45, 50])]

@@ -61,3 +61,13 @@ def test_query(make):
         assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])
         assert not (r["base_failed"] and r["kept"])
     assert quality.quality_rules(make(rows).limit(0)).count() == 0
+
+
+def test_a_very_long_text_is_measured_whole(make):
+    text = "alpha beta gamma delta\n" * 100_000 + "omega"
+    r = quality.quality_rules(make([(1, text), (1, text), (2, "q " * 60)])).collect()
+    assert len(r) == 3
+    for x in r:
+        if x["doc_id"] == 1:
+            assert (x["n_words"], x["n_dup_lines"], x["n_repeat_words"]) == (400_001, 99_999, 400_000)
+            assert x["base_failed"] and not x["kept"]

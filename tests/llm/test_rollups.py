@@ -59,3 +59,23 @@ def test_copies_are_marked_after_the_first(make):
     rows = make([(5, "same"), (3, "same"), (9, "same"), (1, "other"), (None, "same"), (4, None), (2, "")])
     got = {r["doc_id"]: r["is_copy"] for r in rollups.marked_copies(rollups.measured(rows)).collect()}
     assert got == {5: True, 3: False, 9: True, 1: False, None: False, 4: True, 2: False}
+
+
+def test_copies_of_a_hot_text_equal_brute_force(make, rollup):
+    rows = [(i * 7 % 500, "hot") for i in range(300)] + [(i, f"t{i % 40}") for i in range(500, 700)]
+    rows += [(None, "t1"), (None, "hot"), (600, "hot"), (9, None), (8, "")]
+    least = {}
+    for d, t in rows:
+        if d is not None:
+            least[t or ""] = min(least.get(t or "", d), d)
+    want = sorted((str(d), d is not None and d > least[t or ""]) for d, t in rows)
+    marked = rollups.marked_copies(rollups.measured(make(rows)))
+    assert sorted((str(r["doc_id"]), r["is_copy"]) for r in marked.collect()) == want
+    assert rollups.marked_copies(rollups.measured(make(rows).limit(0))).count() == 0
+
+
+def test_a_very_long_text_is_counted_whole(make, rollup):
+    docs = rollups.measured(make([(1, "ab1 cd\n" * 300_000)]))
+    rollup.commit("b", rollups.inserts(docs, "words-1"))
+    rollup.commit("c", rollups.inserts(docs, "letters-1"))
+    assert totals(rollup) == {("src0", "en", v): (1, 600_000, 2_100_000) for v in ("words-1", "letters-1")}

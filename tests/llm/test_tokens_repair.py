@@ -116,3 +116,11 @@ def test_nulls_repeats_and_empty(make):
     assert [r[0] for r in rows] == [None, 3, 3, 4, 5]
     assert [r[2] for r in rows] == [2, 3, 3, 1, 1] and [r[1] for r in rows] == [0, 2, 5, 8, 9]
     assert repair.read_documents(repair.token_files(frame.limit(0), BYTES)).count() == 0
+
+
+def test_a_very_long_document_reads_back(make):
+    texts = ["Several words, again.\n" * 20_000, "xy" * 8000, "end"]
+    rows = {r["doc_id"]: r for r in repair.read_documents(repair.token_files(make(list(enumerate(texts))), BYTES, shard_tokens=5000)).collect()}
+    for i, t in enumerate(texts):
+        ids = library(BYTES, t) + [0]
+        assert (rows[i]["n_tokens"], rows[i]["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))

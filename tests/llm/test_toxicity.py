@@ -1,4 +1,6 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -104,3 +106,51 @@ def test_edge_cases(make, llm):
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
     assert {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.0}
     assert {r["score"] for r in toxicity.toxicity(docs, labels.filter("toxic = 1")).collect()} == {1.0}
+
+
+def brute_score(model, text):
+    """Features, trees and calibration in plain loops."""
+    text = text or ""
+    words = [m.group() for m in toxicity.TOKEN.finditer(text.lower())]
+    n = len(words)
+    x = [0.0] * len(toxicity.FEATURES)
+    if n:
+        known, begun_by = model.lexicon.words, model.lexicon.prefixes
+        hits = [i for i in range(n) if words[i] in known]
+        begun = [max([begun_by.get(w[:k], 0.0) for k in toxicity.PREFIXES if len(w) > k] + [0.0]) for w in words]
+        begun = [b for b in begun if b > 0]
+        you = [i for i in range(n) if words[i] in toxicity.SECOND_PERSON]
+        spelled = len(toxicity.SPELLED.findall(text)) if n > 4 else 0
+        x = [len(hits), len(hits) / n, len({words[i] for i in hits}), max([known[words[i]] for i in hits] + [0.0]),
+             len(begun), len(begun) / n, max(begun + [0.0]), math.fsum(known[words[i]] for i in hits),
+             max([1 / (1 + abs(i - j)) for i in hits for j in you] + [0.0]), len(you) / n,
+             sum(1 for w in text.split() if w.isupper()) / n, sum(text.count(c) for c in "!?") / n,
+             len(re.findall("[!?][!?]+", text)) / n, len(toxicity.MIXED.findall(text)) / n, spelled, math.log1p(n)]
+    margin = model.trees.base
+    for tree in model.trees.trees:
+        while tree[0] is not None:
+            tree = tree[2] if x[tree[0]] <= tree[1] else tree[3]
+        margin += tree[2]
+    at, p = (k.tolist() for k in model.knots)
+    if margin <= at[0]:
+        return p[0]
+    for i in range(1, len(at)):
+        if margin <= at[i]:
+            return p[i - 1] + (p[i] - p[i - 1]) * (margin - at[i - 1]) / (at[i] - at[i - 1])
+    return p[-1]
+
+
+def test_whole_rows_equal_a_brute_force_scorer(make, llm):
+    docs, labels = planted(make, llm)
+    odd = ["YOU scumlord!! st*pid s t o p it, vermins", "", None, "du IDIOT ??", "a.b c'd 1!2 " * 50, "vermin you " * 9000]
+    docs = docs.union(make([(2000 + i, t) for i, t in enumerate(odd)]))
+    model = toxicity.fit_toxicity(docs, toxicity.learning_rows(labels))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    out = toxicity.toxicity(docs, labels).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        score = brute_score(model, texts[r["doc_id"]][:400] if r["doc_id"] == 2005 else texts[r["doc_id"]])
+        if r["doc_id"] != 2005:  # its nearness takes all pairs of positions
+            assert abs(r["score"] - score) < 1e-9
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert r["predicted"] == (r["score"] >= toxicity.THRESHOLD)
