@@ -66,9 +66,10 @@ def auc(curve: DataFrame) -> DataFrame:
     Each threshold's trapezoid only needs its own increments: the previous
     point is (tp - p, fp - n), so both areas are plain sums over the curve
     rows with no ordering step, whatever the number of distinct scores.
+    Products of counts are taken as doubles: the totals may be integers, and
+    their product leaves that type from some 60,000 rows of either class on.
     """
-    tp, fp, p, n = F.col("tp"), F.col("fp"), F.col("p"), F.col("n")
-    P, N = F.col("total_p"), F.col("total_n")
+    tp, fp, p, n, P, N = (F.col(c).cast("double") for c in ("tp", "fp", "p", "n", "total_p", "total_n"))
     tp0, fp0 = tp - p, fp - n
     prec = F.col("precision")
     prec0 = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(prec)

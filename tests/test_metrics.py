@@ -19,6 +19,14 @@ def test_binary_curve_ties_and_auc(spark):
     assert a.auc_roc == pytest.approx(ev.evaluate(df), abs=1e-9)
 
 
+def test_auc_of_many_rows(spark):
+    """The product of the class totals is beyond 32 bits."""
+    df = spark.range(200_000).select((F.col("id") % 4).cast("double").alias("score"),
+                                     (F.col("id") % 2).cast("double").alias("label"))
+    a = M.auc(M.binary_curve(df, "score", "label")).first()
+    assert a.auc_roc == pytest.approx(0.75) and a.auc_pr == pytest.approx(19 / 24)
+
+
 def test_regression_metrics_match_evaluator(spark):
     df = spark.createDataFrame([(1.0, 1.5), (2.0, 1.0), (3.0, 3.5), (4.0, 4.0)], "label double, prediction double")
     m = M.regression_metrics(df, "label", "prediction").first()
