@@ -5,7 +5,11 @@ The sum of a window is the sum of the window before it plus the pane that enters
 minus the pane that leaves, carried as running sums over the panes in order; a
 batch emits the windows that its panes touch. Panes leave the state when the
 watermark has passed their last window, and a timer clears a key that gets no
-more rows, so a key's state is the panes of one window and the delay.
+more rows, so a key's state is the panes of one window and the delay. Time is cut
+into slabs of panes: a slab owns the windows that start in it and gets the rows
+of their panes (those of the first ``k - 1`` panes of a slab also go to the one
+before), so few keys still make many groups, and a group holds one slab of panes
+and windows, however many rows or days a batch has.
 
 :func:`user_changes` keeps, per user, the spans of window starts in which the
 user is active, merged. A batch emits +1 where a newly covered span starts and
@@ -44,6 +48,12 @@ def check_panes(length: str, slide: str) -> tuple[int, int]:
     return step, size // step
 
 
+def slab_panes(step: int, k: int) -> int:
+    """Panes of a slab: a day's, between 8 ``k`` (an eighth of the rows, at most,
+    goes to two slabs) and 4,096 (or 8 ``k`` where that is more)."""
+    return max(8 * k, min(4096, -(-86400 * MICROS // step)))
+
+
 def merged_panes(old: np.ndarray, old_sums: np.ndarray, new: np.ndarray, new_sums: np.ndarray):
     """Panes in order with summed values."""
     every = np.concatenate([old, new])
@@ -53,18 +63,29 @@ def merged_panes(old: np.ndarray, old_sums: np.ndarray, new: np.ndarray, new_sum
     return panes, sums
 
 
+def window_starts(touched: np.ndarray, k: int) -> np.ndarray:
+    """First panes of the windows of ``k`` panes that hold any of the touched
+    panes (in order, distinct): of each pane those after the pane before it."""
+    first = touched - (k - 1)
+    first[1:] = np.maximum(first[1:], touched[:-1] + 1)
+    n = touched - first + 1
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 def touched_windows(panes: np.ndarray, sums: np.ndarray, touched: np.ndarray, k: int):
     """First pane and sums of every window of ``k`` panes that holds a touched
     pane. Running sums in pane order: a window is what has entered by its end
     minus what has left by its start."""
-    starts = np.unique((touched[:, None] - np.arange(k)).ravel())
+    starts = window_starts(touched, k)
     entered = np.concatenate([np.zeros((1, sums.shape[1])), np.cumsum(sums, axis=0)])
     return starts, entered[np.searchsorted(panes, starts + k)] - entered[np.searchsorted(panes, starts)]
 
 
 class SlidingSums(StatefulProcessor):
-    def __init__(self, step: int, k: int, measures: Sequence[str]):
-        self.step, self.k, self.measures = step, k, list(measures)
+    """Keys are (key, slab); only windows that start in the slab are emitted."""
+
+    def __init__(self, step: int, k: int, measures: Sequence[str], slab: int):
+        self.step, self.k, self.measures, self.slab = step, k, list(measures), slab
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -89,6 +110,8 @@ class SlidingSums(StatefulProcessor):
         passed = timerValues.getCurrentWatermarkInMs() * 1000 // self.step
         if touched:
             starts, values = touched_windows(panes, sums, np.unique(np.concatenate(touched)), self.k)
+            own = starts // self.slab == key[1]
+            starts, values = starts[own], values[own]
             for i in range(0, len(starts), 50_000):
                 out = pd.DataFrame(values[i:i + 50_000], columns=self.measures)
                 out.insert(0, "start", starts[i:i + 50_000] * self.step)
@@ -129,13 +152,16 @@ def sliding_sums(rows: DataFrame, ts: str, key: str, measures: Sequence[str], le
     that a batch touches, in update fashion: the latest row of a window holds.
     ``rows`` has a watermark on ``ts``; ``key`` is returned as text."""
     step, k = check_panes(length, slide)
+    slab = slab_panes(step, k)
     _by_value()
     _rocks(rows)
     pane = F.floor(F.unix_micros(ts) / step).cast("long")
     narrow = rows.select(ts, F.col(key).cast("string").alias("key"), pane.alias("pane"),
                          *[F.col(m).cast("double").alias(m) for m in measures])
-    return narrow.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=SlidingSums(step, k, measures), outputMode="Update", timeMode="EventTime",
+    slabs = F.array_distinct(F.array(*[F.floor((F.col("pane") - back) / slab).cast("long") for back in (k - 1, 0)]))
+    narrow = narrow.withColumn("slab", F.explode(slabs))
+    return narrow.groupBy("key", "slab").transformWithStateInPandas(
+        statefulProcessor=SlidingSums(step, k, measures, slab), outputMode="Update", timeMode="EventTime",
         outputStructType="key string, start long, " + ", ".join(f"{m} double" for m in measures))
 
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -33,6 +34,31 @@ def test_running_sums_equal_each_window():
         assert np.allclose(v, sums[(panes >= s) & (panes < s + 7)].sum(axis=0))
 
 
+def test_starts_are_listed_without_a_product():
+    touched = np.unique(np.random.default_rng(5).integers(0, 900, 60))
+    want = np.unique((touched[:, None] - np.arange(9)).ravel())
+    assert (PN.window_starts(touched.copy(), 9) == want).all()
+    # 300,000 panes of 300 windows each: 90 million pairs, but 300,299 windows
+    tracemalloc.start()
+    assert len(PN.window_starts(np.arange(300_000), 300)) == 300_299
+    assert tracemalloc.get_traced_memory()[1] < 50 << 20
+    tracemalloc.stop()
+
+
+def test_a_key_is_dealt_over_slabs_of_time(spark):
+    """One key over three days: its state and windows lie in many groups, and
+    windows across the slabs' borders are whole."""
+    times = list(range(0, 3 * 86400, 977)) + [8191, 8192, 8193, 16383, 16384]
+    a = arrivals(spark, [[(t, "a", 1) for t in times]])
+    out = RN.run_to_table(PN.sliding_sums(stream(a), "ts", "k", ["v"], "1 hour", "2 seconds"), "update",
+                          keys=["key", "start"], name="sliding", arrivals=a).collect()
+    got = {r["start"] // PN.MICROS - BASE: r["v"] for r in out}
+    assert len(got) == len(out)
+    assert got == {s - BASE: len(x) for s, x in windows([(BASE + t, "a") for t in times], 2, 3600).items()}
+    # three days are nine slabs
+    assert 3 * 43200 // PN.slab_panes(2 * PN.MICROS, 1800) == 9
+
+
 def windows(events, step, size):
     out = defaultdict(list)
     for t, *rest in events:
