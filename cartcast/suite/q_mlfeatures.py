@@ -339,10 +339,12 @@ def hashing_tf(spark, sf):
     # every token again on its own, through the same transformer
     own = tf.transform(d.select("doc_id", F.explode(F.array_distinct("tokens")).alias("t"))
                        .select("doc_id", F.array("t").alias("tokens")))
-    bucket = own.select("doc_id", F.array_position(vector_to_array("tf"), 1.0).alias("b"))
+    # the stored entries of the sparse vectors: no row becomes 4,096 doubles
+    entries = F.unwrap_udt("tf")
+    bucket = own.select("doc_id", F.element_at(entries["indices"], 1).alias("b"))
     seen = bucket.groupBy("doc_id").agg(F.count_distinct("b").alias("n"))
-    used = F.size(F.filter(vector_to_array("tf"), lambda x: x > 0))
-    out = h.select("doc_id", F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda s, x: s + x).alias("total"),
+    used = F.size(F.filter(entries["values"], lambda x: x > 0))
+    out = h.select("doc_id", F.aggregate(entries["values"], F.lit(0.0), lambda s, x: s + x).alias("total"),
                    used.alias("used"))
     return out.join(seen, "doc_id", "left").select(
         "doc_id", "total", (F.col("used") == F.coalesce("n", F.lit(0))).alias("terms_ok"))
