@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import relational as R
 from ..plans import contest as C
 from ..plans import jobs as J
-from ..session import scratch_path
+from ..session import saved_table, scratch_path
 from ..sources import files as SF
 from ..tables import Tables
 from . import query
@@ -55,7 +55,7 @@ t AS (SELECT label, key, CASE WHEN {_hs('key', 1)} < 0.8 THEN 0 ELSE 1 END AS sp
 SELECT split, COUNT(*) AS n, CAST(SUM(CASE WHEN label > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_pos
 FROM t WHERE split = 1 OR label > 0 OR {_hs('key', 0)} < 0.05 GROUP BY 1""")
 def model_input(spark, sf):
-    mi = J.model_input(purchase_features_df(spark, sf))
+    mi = J.model_input(saved_table(purchase_features_df(spark, sf), "purchase-features"))
     return mi.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
                                    F.sum(F.when(F.col("label") > 0, 1).otherwise(0)).alias("n_pos"))
 

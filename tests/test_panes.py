@@ -50,11 +50,14 @@ def test_a_key_is_dealt_over_slabs_of_time(spark):
     windows across the slabs' borders are whole."""
     times = list(range(0, 3 * 86400, 977)) + [8191, 8192, 8193, 16383, 16384]
     a = arrivals(spark, [[(t, "a", 1) for t in times]])
+    ckpt = scratch_path(spark, "panes-ckpt")
     out = RN.run_to_table(PN.sliding_sums(stream(a), "ts", "k", ["v"], "1 hour", "2 seconds"), "update",
-                          keys=["key", "start"], name="sliding", arrivals=a).collect()
+                          keys=["key", "start"], name="sliding", arrivals=a, checkpoint=ckpt).collect()
     got = {r["start"] // PN.MICROS - BASE: r["v"] for r in out}
     assert len(got) == len(out)
     assert got == {s - BASE: len(x) for s, x in windows([(BASE + t, "a") for t in times], 2, 3600).items()}
+    state = spark.read.format("statestore").option("stateVarName", "panes").load(ckpt)
+    assert state.schema["key"].dataType.names == ["key", "slab"]
     # three days are nine slabs
     assert 3 * 43200 // PN.slab_panes(2 * PN.MICROS, 1800) == 9
 
