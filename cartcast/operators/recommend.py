@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..session import saved_table
 from .relational import dense_index
 
+_ROWS = 256  # users whose scores of a block are held at a time
 _STATE = pa.schema([("user", pa.int64()), ("features", pa.list_(pa.float64())), ("norm", pa.float64()),
                     ("items", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))])
 _STATE_DDL = "user long, features array<double>, norm double, items array<long>, scores array<double>"
@@ -58,6 +59,23 @@ def top_products(users: DataFrame, items: DataFrame, n: int, block: int = 4096)
     return out.select("user", "items", "scores")
 
 
+def _best(x: np.ndarray, old_items: list, old_scores: list, ids: np.ndarray, y: np.ndarray, n: int):
+    """The n best items and scores of every row of ``x`` among those it has and
+    the block's; scores of ``_ROWS`` rows are held at a time."""
+    k = min(n, len(ids))
+    out_items, out_scores = [], []
+    for s in range(0, len(x), _ROWS):
+        score = x[s:s + _ROWS] @ y.T
+        # the n-th best score of the block, then all items that reach it (ties)
+        edge = np.partition(score, len(ids) - k, axis=1)[:, len(ids) - k]
+        for row, least, old_i, old_s in zip(score, edge, old_items[s:s + _ROWS], old_scores[s:s + _ROWS]):
+            at = np.flatnonzero(row >= least)
+            best = sorted(zip([-v for v in old_s] + (-row[at]).tolist(), old_i + ids[at].tolist()))[:n]
+            out_items.append([i for _, i in best])
+            out_scores.append([-v for v, _ in best])
+    return out_items, out_scores
+
+
 def _scored(state: DataFrame, ids: np.ndarray, y: np.ndarray, n: int) -> DataFrame:
     shared = state.sparkSession.sparkContext.broadcast((ids, y))  # one block of items
 
@@ -67,16 +85,7 @@ def _scored(state: DataFrame, ids: np.ndarray, y: np.ndarray, n: int) -> DataFra
             if not b.num_rows:
                 continue
             x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            score = x @ y.T
-            k = min(n, len(ids))
-            out_items, out_scores = [], []
-            # the n-th best score of the block, then all items that reach it (ties)
-            edge = np.partition(score, len(ids) - k, axis=1)[:, len(ids) - k]
-            for row, least, old_i, old_s in zip(score, edge, b.column(3).to_pylist(), b.column(4).to_pylist()):
-                at = np.flatnonzero(row >= least)
-                best = sorted(zip([-s for s in old_s] + (-row[at]).tolist(), old_i + ids[at].tolist()))[:n]
-                out_items.append([i for _, i in best])
-                out_scores.append([-s for s, _ in best])
+            out_items, out_scores = _best(x, b.column(3).to_pylist(), b.column(4).to_pylist(), ids, y, n)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1).cast(_STATE.field(1).type), b.column(2),
                  pa.array(out_items, _STATE.field(3).type), pa.array(out_scores, _STATE.field(4).type)], schema=_STATE)

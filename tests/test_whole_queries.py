@@ -1,9 +1,12 @@
 """Queries that score every row, sparse term counts, the stored feature table."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cartcast.operators import recommend as RC
 from cartcast.session import scratch_path
 from cartcast.suite import q_mlfeatures as QF
 from cartcast.suite import q_models as QM
@@ -40,3 +43,15 @@ def test_term_counts_stay_sparse(spark):
 def test_model_input_reads_a_stored_table(spark):
     plan = QM._purchase_input(spark, SF_SMALL)._jdf.queryExecution().analyzed().toString()
     assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_scores_of_few_users_are_held_at_a_time():
+    rng = np.random.default_rng(4)
+    x, y, ids = rng.normal(size=(5000, 5)), rng.normal(size=(4096, 5)), np.arange(4096)
+    tracemalloc.start()
+    items, scores = RC._best(x, [[]] * 5000, [[]] * 5000, ids, y, 3)
+    assert tracemalloc.get_traced_memory()[1] < 40 << 20  # all scores: 160 MB
+    tracemalloc.stop()
+    for i in (0, 255, 256, 4999):
+        assert items[i] == np.argsort(-(y @ x[i]))[:3].tolist()
+        assert scores[i] == pytest.approx(np.sort(y @ x[i])[:-4:-1].tolist())
