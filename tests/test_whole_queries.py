@@ -55,3 +55,55 @@ def test_scores_of_few_users_are_held_at_a_time():
     for i in (0, 255, 256, 4999):
         assert items[i] == np.argsort(-(y @ x[i]))[:3].tolist()
         assert scores[i] == pytest.approx(np.sort(y @ x[i])[:-4:-1].tolist())
+
+
+def test_stored_ratings_are_not_computed_again(spark):
+    plan = QM._stored_ratings(QM.Tables(spark, SF_SMALL))._jdf.queryExecution().analyzed().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+class Fitted(Exception):
+    """Raised instead of fitting; holds what was to be fitted."""
+
+
+def fitted(monkeypatch, name, query, spark, folder):
+    class Estimator:
+        def __init__(self, **options):
+            pass
+
+        def fit(self, d):
+            raise Fitted(d)
+    monkeypatch.setattr(QM, name, Estimator)
+    with pytest.raises(Fitted) as e:
+        query(spark, folder)
+    return e.value.args[0]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    folder = scratch_path(spark, "tables")
+    rows = [(i, f"le mot{i % 7} b{i} b{i} c") for i in range(60)] + [(60, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    return folder
+
+
+def test_perplexity_keeps_vectors_alone(spark, texts, monkeypatch):
+    train = fitted(monkeypatch, "LDA", QM.lda_perplexity, spark, texts)
+    assert train.columns == ["features"]
+    assert train.agg(F.sum(QM._term_total())).first()[0] == 4 * train.where(QM._term_total() > 0).count()
+    spark.catalog.clearCache()
+
+
+def test_em_corpus_is_stored_in_bounded_parts(spark, texts, monkeypatch):
+    monkeypatch.setattr(QM, "_EM_EDGES", 30)
+    corpus = fitted(monkeypatch, "LDA", QM.lda_em, spark, texts)
+    assert corpus.columns == ["features"] and not corpus.is_cached
+    assert corpus.rdd.getNumPartitions() == 6  # 60 texts of three terms
+
+
+def test_tree_rows_are_dealt_into_bounded_parts(spark, monkeypatch):
+    monkeypatch.setattr(QM, "_TREE_ROWS", 50)
+    d = fitted(monkeypatch, "GBTRegressor", QM.gbt_regress, spark, SF_SMALL)
+    n = d.count()
+    sizes = [r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect()]
+    assert n > 1000 and max(sizes) <= 60
