@@ -95,10 +95,10 @@ def test_perplexity_keeps_vectors_alone(spark, texts, monkeypatch):
 
 
 def test_em_corpus_is_stored_in_bounded_parts(spark, texts, monkeypatch):
-    monkeypatch.setattr(QM, "_EM_EDGES", 30)
+    monkeypatch.setattr(QM, "_EM_EDGES", 3)
     corpus = fitted(monkeypatch, "LDA", QM.lda_em, spark, texts)
     assert corpus.columns == ["features"] and not corpus.is_cached
-    assert corpus.rdd.getNumPartitions() == 6  # 60 texts of three terms
+    assert corpus.rdd.getNumPartitions() == 60  # 60 texts of three terms
 
 
 def test_tree_rows_are_dealt_into_bounded_parts(spark, monkeypatch):
