@@ -1,23 +1,34 @@
-"""Frequent sequential patterns of any length by relational projection.
+"""Frequent sequential patterns of any length by projection.
 
 A pattern is a list of item sets; an entity contains it if its sets occur on
-ascending dates. Patterns grow level by level. A frequent pattern keeps, per
-entity that contains it, the dates on which its last set can end. It is extended
+ascending dates. Patterns grow level by level. A pattern is extended
 * by a further set: the entity's items whose last date is after the pattern's
-  earliest end (one row per entity and item decides the count);
-* within its last set: a larger item on the same date as one of its ends.
-Counts are aggregates per (pattern, item), infrequent ones leave at once, and a
-level that has none ends the search. No history is held as a value, so an entity
-of any length is rows like any other; each level is stored, which cuts lineage.
+  earliest end;
+* within its last set: a larger item on the same date as one of its ends, the
+  dates after the earliest end of the sets before on which it has the whole set.
+
+The rows are shuffled once, by entity, and stored in packs of whole entities, about
+``PART_ROWS`` rows each. Per level every pack counts the extensions of all frequent
+patterns for its entities at once and gives one row per (pattern, item); Spark adds
+these up and infrequent ones leave at once. Ends are derived again from the pack, so
+nothing that grows with patterns times entities is shuffled or written; a level that
+has no pattern ends the search. The driver holds the frequent patterns, which are the
+result and few; a task holds a pack, so an entity's own distinct (date, item) rows,
+as three numbers each, have to fit there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..session import saved_table
 
+PART_ROWS = 500_000  # about so many rows of a partition, and of its entities counted at once
+
 
 def frequent_sequences(rows: DataFrame, entity: str, date: str, item: str, least: int,
                        max_items: int | None = None) -> DataFrame:
@@ -26,55 +37,117 @@ def frequent_sequences(rows: DataFrame, entity: str, date: str, item: str, least
     ``max_items`` items where that is given."""
     if least < 1:
         raise ValueError("least must be at least 1")
-    lines = rows.select(F.col(entity).alias("e"), F.col(date).alias("d"), F.col(item).alias("item")).distinct()
+    spark = rows.sparkSession
+    lines = rows.select(F.col(entity).alias("e"), F.col(date).alias("d"), F.col(item).alias("item"))
     lines = lines.where("e is not null and d is not null and item is not null")
     one = lines.groupBy("item").agg(F.count_distinct("e").alias("freq")).where(F.col("freq") >= least)
     one = saved_table(one, "sequence-items")
-    # only frequent items can be part of a frequent pattern
-    lines = saved_table(lines.join(one.select("item"), "item"), "sequence-lines")
-    span = saved_table(lines.groupBy("e", "item").agg(F.max("d").alias("last_d")), "sequence-spans")
-    found = [one.select(F.array(F.array("item")).alias("sequence"), "freq")]
-    ends = lines.select(F.array(F.array("item")).alias("sequence"), F.col("item").alias("tail"), "e", "d")
+    # only frequent items can be part of a frequent pattern; they are numbered in their order
+    first = one.orderBy("item").collect()
+    names = [r["item"] for r in first]
+    found = [([[r["item"]]], r["freq"]) for r in first]
+    schema = one.select(F.array(F.array("item")).alias("sequence"), "freq").schema
+    codes = spark.createDataFrame(list(zip(names, range(len(names)))), StructType(
+        [StructField("item", one.schema["item"].dataType), StructField("i", IntegerType())]))
+    packed = saved_table(_packed(lines.join(F.broadcast(codes), "item")), "sequence-lines")
+    level = [((i,),) for i in range(len(names))]
     size = 1
-    while max_items is None or size < max_items:
-        grown = _grown(ends, lines, span, least)
-        level = saved_table(grown, "sequence-level")
-        if level.isEmpty():
-            break
-        found.append(level.select(_extended("sequence", "item", "same").alias("sequence"), "freq"))
+    while level and (max_items is None or size < max_items):
+        grown = (packed.mapInArrow(_extensions(level, len(names)), "p int, i int, same boolean, freq long")
+                 .groupBy("p", "i", "same").agg(F.sum("freq").alias("freq")).where(F.col("freq") >= least).collect())
+        last, level = level, []
+        for r in grown:
+            p = last[r["p"]]
+            level.append((*p[:-1], (*p[-1], r["i"])) if r["same"] else (*p, (r["i"],)))
+            found.append(([[names[x] for x in s] for s in level[-1]], r["freq"]))
+        level.sort()
         size += 1
-        if max_items is None or size < max_items:
-            ends = saved_table(_ends(ends, lines, level), "sequence-ends")
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def _extended(sequence: str, item: str, same: str):
-    s = F.col(sequence)
-    head = F.slice(s, 1, F.size(s) - 1)
-    within = F.concat(head, F.array(F.concat(F.element_at(s, -1), F.array(item))))
-    return F.when(F.col(same), within).otherwise(F.concat(s, F.array(F.array(item))))
-
-
-def _grown(ends: DataFrame, lines: DataFrame, span: DataFrame, least: int) -> DataFrame:
-    """``sequence, item, same, freq`` of the frequent extensions."""
-    first = ends.groupBy("sequence", "e").agg(F.min("d").alias("end"))
-    later = (first.join(span, "e").where("last_d > end")
-             .groupBy("sequence", "item").agg(F.count(F.lit(1)).alias("freq")).withColumn("same", F.lit(False)))
-    same = (ends.join(lines, ["e", "d"]).where("item > tail").select("sequence", "item", "e").distinct()
-            .groupBy("sequence", "item").agg(F.count(F.lit(1)).alias("freq")).withColumn("same", F.lit(True)))
-    return later.unionByName(same).where(F.col("freq") >= least).select("sequence", "item", "same", "freq")
-
-
-def _ends(ends: DataFrame, lines: DataFrame, level: DataFrame) -> DataFrame:
-    """Per extended pattern and entity the dates on which it can end."""
-    wider, longer = (level.where(c).select("sequence", "item", "same") for c in ("same", "not same"))
-    first = ends.groupBy("sequence", "e").agg(F.min("d").alias("end"))
-    after = (first.join(longer, "sequence").join(lines, ["e", "item"]).where("d > end")
-             .select("sequence", "item", "same", "e", "d"))
-    within = (ends.join(lines, ["e", "d"]).where("item > tail").join(wider, ["sequence", "item"])
-              .select("sequence", "item", "same", "e", "d"))
-    return (after.unionByName(within).distinct()
-            .select(_extended("sequence", "item", "same").alias("sequence"), F.col("item").alias("tail"), "e", "d"))
+    return spark.createDataFrame(found, schema)
+
+
+def _packed(lines: DataFrame) -> DataFrame:
+    """``e, t, i``: packed numbers of the distinct rows of whole entities, about
+    ``PART_ROWS`` rows at a time: the entity's place in the pack, the rank of the
+    date among the entity's own dates, the item's number."""
+    n = max(lines.sparkSession.sparkContext.defaultParallelism, -(-lines.count() // PART_ROWS))
+    by_date = Window.partitionBy("e").orderBy("d")
+    ranked = lines.repartition(n, "e").select("e", "d", "i").distinct().select(
+        (F.row_number().over(by_date) == 1).alias("start"), F.dense_rank().over(by_date).alias("t"), "i")
+    return ranked.mapInArrow(_packs, "e binary, t binary, i binary")
+
+
+def _packs(batches):
+    held = []
+
+    def out(parts):
+        start, t, i = (np.concatenate(c) for c in zip(*parts))
+        e = np.cumsum(start, dtype=np.int32) - 1
+        return pa.RecordBatch.from_arrays([pa.array([c.astype(np.int32).tobytes()], pa.binary()) for c in (e, t, i)],
+                                          ["e", "t", "i"])
+    for b in batches:
+        new = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+        starts = np.flatnonzero(new[0])
+        if sum(len(h[0]) for h in held) + b.num_rows > PART_ROWS and len(starts):
+            cut = starts[-1]  # the last entity may go on in the next batch
+            yield from [out(p) for p in [held + [[c[:cut] for c in new]]] if sum(len(h[0]) for h in p)]
+            held, new = [], [c[cut:] for c in new]
+        if len(new[0]):
+            held.append(new)
+    if held:
+        yield out(held)
+
+
+def _extensions(level: list[tuple], items: int):
+    """``p, i, same, freq``: of each pack the entities that show pattern ``p`` of the
+    level extended by item ``i``, within its last set (same) or as a further one."""
+    def counted(e, t, i):
+        new = np.r_[True, (e[1:] != e[:-1]) | (t[1:] != t[:-1])]
+        group = np.cumsum(new) - 1  # an entity's date
+        ge, gt = e[new], t[new]
+        order = np.argsort(i, kind="stable")
+        at = np.searchsorted(i[order], np.arange(items + 1))
+        pair = e.astype(np.int64) * items + i
+        last = np.lexsort((t, pair))
+        last = last[np.r_[pair[last][1:] != pair[last][:-1], True]]  # the last date of an entity's item
+        le, lt, li = e[last], t[last], i[last]
+        never = np.iinfo(np.int32).max
+
+        def ends(end, items_of_set):
+            """Dates after ``end`` that have the whole set."""
+            for k, x in enumerate(items_of_set):
+                own = group[order[at[x]:at[x + 1]]]
+                q = np.intersect1d(q, own, assume_unique=True) if k else own
+            return q[gt[q] > end[ge[q]]]
+
+        def earliest(q):
+            end = np.full(e[-1] + 1, never, np.int32)
+            who = ge[q]
+            new = np.r_[True, who[1:] != who[:-1]] if len(q) else np.zeros(0, bool)
+            end[who[new]] = gt[q[new]]
+            return end
+
+        path = [((), np.full(e[-1] + 1, -1, np.int32))]  # patterns come in order, so those of one head together
+        for p, pattern in enumerate(level):
+            head, tail = pattern[:-1], pattern[-1]
+            while path[-1][0] != head[:len(path[-1][0])]:
+                path.pop()
+            while len(path[-1][0]) < len(head):
+                known, end = path[-1]
+                path.append((head[:len(known) + 1], earliest(ends(end, head[len(known)]))))
+            q = ends(path[-1][1], tail)
+            later = np.bincount(li[lt > earliest(q)[le]], minlength=items)
+            inside = np.zeros(len(ge), bool)
+            inside[q] = True
+            within = np.bincount(np.unique(pair[inside[group] & (i > tail[-1])]) % items, minlength=items)
+            for same, n in ((False, later), (True, within)):
+                x = np.flatnonzero(n)
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), p), pa.int32()), pa.array(x, pa.int32()),
+                                                      pa.array(np.full(len(x), same)), pa.array(n[x], pa.int64())],
+                                                     ["p", "i", "same", "freq"])
+
+    def run(batches):
+        for b in batches:
+            for row in zip(*[c.to_pylist() for c in b.columns]):
+                yield from counted(*(np.frombuffer(c, np.int32) for c in row))
+    return run

@@ -82,3 +82,25 @@ def test_hot_history_nulls_and_empty(spark):
     assert got(spark, [], 1) == {}
     with pytest.raises(ValueError):
         got(spark, rows, 0)
+
+
+def test_packs_hold_whole_entities(spark, monkeypatch):
+    """Entities of any length cross the packs' limit; nothing per pattern and
+    entity is stored, whatever the number of levels."""
+    from cartcast.operators import sequences as S
+    rng = random.Random(5)
+    rows = [(e, d, x) for e in range(40) for d in range(rng.randrange(1, 30)) for x in "abc" if rng.random() < 0.3]
+    batches = list(S._packs(iter([S.pa.RecordBatch.from_pydict(
+        {"start": [k % 7 == 0 for k in range(a, a + 10)], "t": [k % 7 for k in range(a, a + 10)], "i": [0] * 10})
+        for a in range(0, 70, 10)])))
+    assert len(batches) == 1 and S.np.frombuffer(batches[0]["e"][0].as_py(), "int32").max() == 9
+    monkeypatch.setattr(S, "PART_ROWS", 12)
+    packs = [S.np.frombuffer(b["e"][0].as_py(), "int32") for b in S._packs(iter([S.pa.RecordBatch.from_pydict(
+        {"start": [k % 7 == 0 for k in range(a, a + 10)], "t": [k % 7 for k in range(a, a + 10)], "i": [0] * 10})
+        for a in range(0, 70, 10)]))]
+    assert len(packs) > 2 and all(len(p) % 7 == 0 for p in packs) and sum(map(len, packs)) == 70
+    stored = []
+    monkeypatch.setattr(S, "saved_table", lambda df, name, keep=S.saved_table: stored.append(name) or keep(df, name))
+    found = got(spark, rows, 12)
+    assert found == brute(rows, 12, None) and max(sum(map(len, p)) for p in found) >= 3
+    assert stored == ["sequence-items", "sequence-lines"]
