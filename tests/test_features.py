@@ -127,3 +127,20 @@ def test_cutoffs_reach_the_scans(spark):
     plan = purchase_features_df(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     pushed = " ".join(re.findall(r"PushedFilters: \[[^\]]*", plan))
     assert "LessThan(o_orderdate" in pushed and "LessThan(ts," in pushed and "LessThanOrEqual(o_orderdate" in pushed
+
+
+def test_feature_partitions_grow_with_the_rows(spark, monkeypatch):
+    """The pairs are dealt by rows, once, and give the same table."""
+    from cartcast.suite import q_features as Q
+
+    from .conftest import SF_SMALL
+    monkeypatch.setattr(Q, "_PART_ROWS", 200)
+    df = Q.purchase_features_df(spark, SF_SMALL)
+    parts = -(-Q.Tables(spark, SF_SMALL).lineitem.count() // 200)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {parts}), REPARTITION_BY_NUM") >= 3
+    t = Q.Tables(spark, SF_SMALL)
+    plain = Q.FT.purchase_features(Q.C.order_log(t), Q.C.order_products(t), Q.C.action_log(t, Q.C.ORDER_CUTOFF),
+                                   Q.C.comment_log(t), Q.C.user_table(t), Q.C.product_table(t), Q.C.ORDER_CUTOFF)
+    assert df.schema == plain.schema
+    assert sorted(map(str, df.collect())) == sorted(map(str, plain.collect()))
