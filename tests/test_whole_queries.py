@@ -101,6 +101,18 @@ def test_em_corpus_is_stored_in_bounded_parts(spark, texts, monkeypatch):
     assert corpus.rdd.getNumPartitions() == 60  # 60 texts of three terms
 
 
+def test_em_corpus_keeps_its_order(spark, monkeypatch):
+    """Documents of a part come in stored order, so that a part read again numbers
+    them as before."""
+    folder = scratch_path(spark, "tables")
+    rows = [(i, "w " * (i + 1)) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    corpus = fitted(monkeypatch, "LDA", QM.lda_em, spark, folder)
+    parts = corpus.select(QM._term_total().alias("n")).rdd.glom().collect()
+    counts = [[r["n"] for r in p] for p in parts]
+    assert sorted(sum(counts, [])) == list(range(1, 301)) and all(p == sorted(p) for p in counts)
+
+
 def test_tree_rows_are_dealt_into_bounded_parts(spark, monkeypatch):
     monkeypatch.setattr(QM, "_TREE_ROWS", 50)
     d = fitted(monkeypatch, "GBTRegressor", QM.gbt_regress, spark, SF_SMALL)
