@@ -30,6 +30,18 @@ def test_every_row_is_scored(spark, embeddings, query):
     assert all(r["beats_majority"] for r in got)
 
 
+def test_l2_join_takes_every_row(spark):
+    """All ordered pairs within the distance count, whatever their ids."""
+    x = (np.random.default_rng(7).normal(size=(80, 64)) * 0.42).astype(np.float32)
+    folder = scratch_path(spark, "tables")
+    rows = [(50 * i + 1, i % 10, v.tolist()) for i, v in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+    gaps = np.linalg.norm(x[:, None].astype(float) - x[None], axis=2)
+    want = int((gaps < QM._L2_RADIUS).sum()) - 80
+    got = QM.lsh_l2_join(spark, folder).first()
+    assert 1000 < want < 80 * 79 and (got["exact"], got["within"]) == (want, True)
+
+
 def test_term_counts_stay_sparse(spark):
     folder = scratch_path(spark, "tables")
     texts = ["a b b c", "", "x " * 500]
