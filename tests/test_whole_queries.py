@@ -42,6 +42,15 @@ def test_l2_join_takes_every_row(spark):
     assert 1000 < want < 80 * 79 and (got["exact"], got["within"]) == (want, True)
 
 
+def test_jaccard_join_takes_every_set(spark):
+    """All ordered pairs of classes count, also where no document's id 50 divides."""
+    folder = scratch_path(spark, "tables")
+    rows = [(50 * i + 1, " ".join(f"t{i // 4}x{j}" for j in range(12 + i % 4))) for i in range(40)] + [(3, ""), (4, "t0x0")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = QM.lsh_jaccard_join(spark, folder).first()
+    assert (got["exact"], got["within"]) == (10 * 4 * 3, True)
+
+
 def test_term_counts_stay_sparse(spark):
     folder = scratch_path(spark, "tables")
     texts = ["a b b c", "", "x " * 500]
